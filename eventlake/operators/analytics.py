@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.functions import boundary_diff, percent, round_half_up, trunc_ts
+from eventlake.functions import boundary_diff, percent, round_half_up, surrogate_key, trunc_ts
 from eventlake.sources.ndjson import has_field
 
 
@@ -72,6 +72,11 @@ def event_type_distribution(events: DataFrame) -> DataFrame:
     return types.withColumn("percent_of_total", percent(F.col("event_count"), total))
 
 
+def _largest_first(count: str, keys: list[str]) -> list[Column]:
+    """Sort order of every top-k report: by count, ties by the keys."""
+    return [F.col(count).desc(), *[F.col(c).asc_nulls_last() for c in keys]]
+
+
 def _top_groups(events: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Detail rows of the ``k`` largest groups.
 
@@ -80,8 +85,8 @@ def _top_groups(events: DataFrame, keys: list[str], k: int) -> DataFrame:
     ``k`` rows, so broadcasting it is safe at any data size.
     """
     counts = events.groupBy(*keys).agg(_count().alias("_n"))
-    order = [F.col("_n").desc(), *[F.col(c).asc_nulls_last() for c in keys]]
-    winners = F.broadcast(counts.orderBy(*order).limit(k).select(*[F.col(c).alias(f"_{c}") for c in keys]))
+    winners = counts.orderBy(*_largest_first("_n", keys)).limit(k)
+    winners = F.broadcast(winners.select(*[F.col(c).alias(f"_{c}") for c in keys]))
     on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
     return events.join(winners, on, "left_semi")
 
@@ -94,14 +99,20 @@ def top_repositories(events: DataFrame, k: int = 100) -> DataFrame:
         .groupBy(*keys, "actor_id", "event_type")
         .agg(_count().alias("n"), F.min("created_at").alias("lo"), F.max("created_at").alias("hi"))
     )
-    return per_actor.groupBy(*keys).agg(
-        F.sum("n").alias("total_events"),
-        F.countDistinct("actor_id").alias("unique_contributors"),
-        F.countDistinct("event_type").alias("event_type_count"),
-        F.min("lo").alias("first_event"),
-        F.max("hi").alias("last_event"),
-        F.array_sort(F.collect_set("event_type")).alias("event_type_list"),
-    ).orderBy(F.col("total_events").desc(), *[F.col(c).asc_nulls_last() for c in keys])
+    # the type list has a handful of entries, so its length also gives the distinct count
+    return (
+        per_actor.groupBy(*keys)
+        .agg(
+            F.sum("n").alias("total_events"),
+            F.countDistinct("actor_id").alias("unique_contributors"),
+            F.array_sort(F.collect_set("event_type")).alias("event_type_list"),
+            F.min("lo").alias("first_event"),
+            F.max("hi").alias("last_event"),
+        )
+        .withColumn("event_type_count", F.size("event_type_list").cast("bigint"))
+        .orderBy(*_largest_first("total_events", keys))
+        .limit(k)
+    )
 
 
 def top_developers(events: DataFrame, k: int = 100) -> DataFrame:
@@ -117,7 +128,8 @@ def top_developers(events: DataFrame, k: int = 100) -> DataFrame:
             F.min("created_at").alias("first_event"),
             F.max("created_at").alias("last_event"),
         )
-        .orderBy(F.col("total_events").desc(), *[F.col(c).asc_nulls_last() for c in keys])
+        .orderBy(*_largest_first("total_events", keys))
+        .limit(k)
     )
 
 
@@ -156,7 +168,7 @@ def language_distribution(events: DataFrame, k: int = 30) -> DataFrame:
         events.where(F.col("language").isNotNull())
         .groupBy("language")
         .agg(_count().alias("event_count"), F.countDistinct("repo_id").alias("repo_count"))
-        .orderBy(F.col("event_count").desc(), "language")
+        .orderBy(*_largest_first("event_count", ["language"]))
         .limit(k)
     )
 
@@ -275,9 +287,18 @@ def raw_sample(raw: DataFrame, n: int = 10) -> DataFrame:
 # --- star schema ----------------------------------------------------------------------------
 
 
+NATURAL = {"actor_key": "actor_id", "repo_key": "repo_id", "event_type_key": "event_type"}
+
+
 def _counts_by(fact: DataFrame, *keys: str) -> DataFrame:
-    """Collapse the fact to its keys before any join with a dimension."""
-    return fact.groupBy(*keys).agg(_count().alias("n"))
+    """Collapse the fact to the given keys before any join with a dimension.
+
+    A dimension key is the hash of a natural id, so grouping goes by the short id and the key is
+    computed once per group.
+    """
+    counts = fact.groupBy(*[NATURAL.get(k, k) for k in keys]).agg(_count().alias("n"))
+    columns = [surrogate_key(NATURAL[k]).alias(k) if k in NATURAL else F.col(k) for k in keys]
+    return counts.select(*columns, "n")
 
 
 def star_join_rollup(
@@ -292,7 +313,7 @@ def star_join_rollup(
         .join(repositories.select("repo_key", "repo_name"), "repo_key", "left")
         .groupBy(*groups)
         .agg(F.sum("n").alias("event_count"))
-        .orderBy(F.col("event_count").desc(), *[F.col(c).asc_nulls_last() for c in groups])
+        .orderBy(*_largest_first("event_count", groups))
         .limit(k)
     )
 
@@ -311,7 +332,7 @@ def mart_top_repositories(
             F.countDistinct("actor_key").alias("unique_contributors"),
             F.countDistinct("event_type").alias("event_types"),
         )
-        .orderBy(F.col("event_count").desc(), F.col("repo_name").asc_nulls_last())
+        .orderBy(*_largest_first("event_count", ["repo_name"]))
         .limit(k)
     )
 

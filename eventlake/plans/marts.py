@@ -17,7 +17,13 @@ from eventlake.functions import (
     trunc_ts,
 )
 from eventlake.operators.merge import newer_than_loaded, overlapping, upsert_by_key
-from eventlake.plans.staging import with_actor_class
+from eventlake.plans.staging import (
+    merge_actors,
+    merge_repositories,
+    stg_actors,
+    stg_repositories,
+    with_actor_class,
+)
 from eventlake.schemas import DIM_ACTOR, FACT_EVENTS
 from eventlake.sources import tables
 
@@ -164,6 +170,25 @@ def dim_actor_scd2(target: DataFrame, actors: DataFrame, changed_at: datetime) -
     return merged.select("v.*").unionByName(history)
 
 
+def dim_actor_from_batch(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
+    """Type-2 merge of newly loaded events, without reading the older ones again.
+
+    The current versions stand for all earlier events: merged with the staged actors of the batch
+    they give the snapshot that staging everything would give, even if the batch has late rows.
+    """
+    columns = ["actor_id", "actor_login", "actor_type", "first_seen_at", "last_seen_at"]
+    known = target.where("is_current").select(*columns)
+    snapshot = merge_actors(known.unionByName(stg_actors(events).select(*columns)))
+    return dim_actor_scd2(target, snapshot, as_of)
+
+
+def dim_repository_from_batch(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
+    """Type-1 merge of newly loaded events into the repository dimension."""
+    columns = ["repo_id", "repo_name", "first_event_at", "last_event_at"]
+    parts = target.select(*columns).unionByName(stg_repositories(events).select(*columns))
+    return dim_repository(merge_repositories(parts), as_of)
+
+
 def actor_history(events: DataFrame) -> DataFrame:
     """All type-2 versions of every actor, rebuilt from the events themselves.
 

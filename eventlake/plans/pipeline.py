@@ -1,8 +1,9 @@
 """The hourly pipeline: ingest, staging, marts, then tests and freshness.
 
 Each step writes its table and the next one reads it back, so a lost executor only repeats tasks
-of the running step. Staging and the fact are incremental; the dimensions are rebuilt from the
-staged table because they carry totals over all events.
+of the running step. Staging, the fact and the two large dimensions only read what was loaded since
+the last run. The fact goes last: its newest row is the high-water mark, so a run that breaks off
+before it is simply repeated, and the dimension merges do not mind seeing an event twice.
 """
 
 from __future__ import annotations
@@ -67,30 +68,43 @@ def build_staging(spark: SparkSession, paths: LakePaths) -> None:
     tables.append_by_partition(staged, paths.table("stg_events"), "source_file")
 
 
-def build_fact(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
-    """First run writes the clustered layout, later runs merge the newly loaded events."""
-    events, path = read(spark, paths, "stg_events"), paths.table("fact_events")
-    if not tables.has_data(spark, path):
-        fact = marts.fact_events(dedup_by_key(events), as_of)
-        marts.write_fact(require_schema(fact, FACT_EVENTS), path)
-        return
-    fresh = newer_than_loaded(events, marts.read_fact(spark, path), fixed.BEGIN_OF_TIME)
-    fact = require_schema(marts.fact_events(dedup_by_key(fresh), as_of), FACT_EVENTS)
-    tables.upsert_table(fact, path, "event_id", "event_date", FACT_EVENTS)
+def unmerged_events(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Staged events loaded after the newest row of the fact."""
+    fact = read(spark, paths, "fact_events")
+    return newer_than_loaded(read(spark, paths, "stg_events"), fact, fixed.BEGIN_OF_TIME)
 
 
 def build_dimensions(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
-    events = read(spark, paths, "stg_events")
-    actors = marts.dim_actor_scd2(
-        read(spark, paths, "dim_actor"), staging.stg_actors(events), as_of
-    )
+    """Merge the unmerged events into the actor and repository dimensions.
+
+    Only the event type dimension reads all staged events, because its distinct counts cannot be
+    added up; it needs four narrow columns.
+    """
+    fresh = unmerged_events(spark, paths)
+    actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), fresh, as_of)
     tables.overwrite_table(require_schema(actors, DIM_ACTOR), paths.table("dim_actor"))
-    repositories = marts.dim_repository(staging.stg_repositories(events), as_of)
+    repositories = marts.dim_repository_from_batch(read(spark, paths, "dim_repository"), fresh, as_of)
     tables.overwrite_table(require_schema(repositories, DIM_REPOSITORY), paths.table("dim_repository"))
-    types = marts.dim_event_type(staging.stg_event_types(events), as_of)
+    types = marts.dim_event_type(staging.stg_event_types(read(spark, paths, "stg_events")), as_of)
     tables.overwrite_table(require_schema(types, DIM_EVENT_TYPE), paths.table("dim_event_type"))
 
 
+def build_fact(
+    spark: SparkSession, paths: LakePaths, as_of: datetime, fixed_dates: bool = False
+) -> None:
+    """First run writes the clustered layout, later runs merge the unmerged events.
+
+    ``fixed_dates`` is passed on to :func:`tables.upsert_table`.
+    """
+    path = paths.table("fact_events")
+    events = dedup_by_key(unmerged_events(spark, paths))
+    fact = require_schema(marts.fact_events(events, as_of), FACT_EVENTS)
+    if tables.has_data(spark, path):
+        tables.upsert_table(fact, path, "event_id", "event_date", FACT_EVENTS, fixed_dates)
+    else:
+        marts.write_fact(fact, path)
+
+
 def lake_models(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     """All tables and staging views by the names the declared tests use."""
     models = {name: read(spark, paths, name) for name in TABLES}
@@ -101,7 +115,11 @@ def lake_models(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
 
 
 def run_pipeline(
-    spark: SparkSession, landing: str, paths: LakePaths, as_of: datetime
+    spark: SparkSession,
+    landing: str,
+    paths: LakePaths,
+    as_of: datetime,
+    fixed_dates: bool = False,
 ) -> DataFrame:
     """Run all steps once; returns ``step_no, step, status, row_count``.
 
@@ -110,8 +128,8 @@ def run_pipeline(
     """
     loads.load_once(spark, landing, paths.table("raw_events"), paths.table("load_history"), as_of)
     build_staging(spark, paths)
-    build_fact(spark, paths, as_of)
     build_dimensions(spark, paths, as_of)
+    build_fact(spark, paths, as_of, fixed_dates)
 
     models = lake_models(spark, paths)
     suite = quality.run_dq_suite(models).agg(F.count_if(F.col("status") != "pass").alias("row_count"))

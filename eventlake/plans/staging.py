@@ -61,15 +61,24 @@ def stg_actors(events: DataFrame) -> DataFrame:
         with_actor_class(events)
         .where(F.col("actor_id").isNotNull() & F.col("actor_login").isNotNull())
         .groupBy("actor_id", "actor_login", "actor_type")
-        .agg(F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"))
+        .agg(F.min("created_at").alias("first_seen_at"), F.max("created_at").alias("last_seen_at"))
     )
-    latest = F.min(F.struct(_newest_first("last_at").alias("age"), "actor_login", "actor_type"))
+    return merge_actors(versions)
+
+
+def merge_actors(parts: DataFrame) -> DataFrame:
+    """Combine actor rows of several event sets, as if staged from all the events at once.
+
+    Every input row states a login and type that were valid at its ``last_seen_at``. Merging a
+    part twice changes nothing, so a repeated load is harmless.
+    """
+    latest = F.min(F.struct(_newest_first("last_seen_at").alias("age"), "actor_login", "actor_type"))
     return (
-        versions.groupBy("actor_id")
+        parts.groupBy("actor_id")
         .agg(
             latest.alias("latest"),
-            F.min("first_at").alias("first_seen_at"),
-            F.max("last_at").alias("last_seen_at"),
+            F.min("first_seen_at").alias("first_seen_at"),
+            F.max("last_seen_at").alias("last_seen_at"),
         )
         .select(
             "actor_id",
@@ -87,15 +96,20 @@ def stg_repositories(events: DataFrame) -> DataFrame:
     versions = (
         events.where(F.col("repo_id").isNotNull() & F.col("repo_name").isNotNull())
         .groupBy("repo_id", "repo_name")
-        .agg(F.min("created_at").alias("first_at"), F.max("created_at").alias("last_at"))
+        .agg(F.min("created_at").alias("first_event_at"), F.max("created_at").alias("last_event_at"))
     )
-    latest = F.min(F.struct(_newest_first("last_at").alias("age"), "repo_name"))
+    return merge_repositories(versions)
+
+
+def merge_repositories(parts: DataFrame) -> DataFrame:
+    """Combine repository rows of several event sets; see :func:`merge_actors`."""
+    latest = F.min(F.struct(_newest_first("last_event_at").alias("age"), "repo_name"))
     return (
-        versions.groupBy("repo_id")
+        parts.groupBy("repo_id")
         .agg(
             latest.alias("latest"),
-            F.min("first_at").alias("first_event_at"),
-            F.max("last_at").alias("last_event_at"),
+            F.min("first_event_at").alias("first_event_at"),
+            F.max("last_event_at").alias("last_event_at"),
         )
         .select(
             "repo_id",

@@ -116,13 +116,17 @@ def bulk_append(raw: DataFrame, raw_path: str) -> None:
 
 
 def file_row_counts(spark: SparkSession, raw_path: str, names: list[str]) -> DataFrame:
-    """Rows per file of the raw table; reads only the named partitions, no data columns."""
-    raw = tables.read_table(spark, raw_path, RAW_EVENTS)
-    return (
-        raw.where(F.col("file_name").isin(names))
-        .groupBy("file_name")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+    """Rows per file of the raw table.
+
+    Only the folders of the named files are listed and only footers are read, however many files
+    the table holds.
+    """
+    folders = [f"{raw_path}/file_name={name}" for name in names]
+    folders = [f for f in folders if tables.path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], "file_name STRING, row_count BIGINT")
+    raw = spark.read.schema(RAW_EVENTS).option("basePath", raw_path).parquet(*folders)
+    return raw.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 class AlreadyLoadedError(RuntimeError):

@@ -6,7 +6,9 @@ the parallelism. Lines are parsed once, into a VARIANT, on the executors.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +33,19 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("raw_data", F.try_parse_json("value"))
 
 
+def _documents(lines: DataFrame, keep: Callable[[Column], Column]) -> DataFrame:
+    """Rows ``raw_data, file_name`` of the lines whose parsed document satisfies ``keep``.
+
+    A plain filter on the parsed column would be pushed below the projection and parse every line
+    once per condition. Filtering a one-element array and exploding it parses each line once.
+    """
+    document = F.filter(F.array(F.try_parse_json("value")), keep)
+    return lines.select(F.explode(document).alias("raw_data"), "file_name")
+
+
 def skip_malformed_lines(lines: DataFrame) -> DataFrame:
     """Parsed rows only: blank and unparsable lines are left out."""
-    return parse_lines(lines).where(F.col("raw_data").isNotNull()).drop("value")
+    return _documents(lines, lambda document: document.isNotNull())
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
@@ -52,16 +64,18 @@ def line_counts(lines: DataFrame) -> DataFrame:
     )
 
 
-def has_field(name: str, document: str = "raw_data") -> Column:
+def has_field(name: str, document: Column | str = "raw_data") -> Column:
     """Is the key present? A JSON null counts as present."""
     return F.variant_get(document, f"$.{name}", "variant").isNotNull()
 
 
-def has_required_fields(document: str = "raw_data") -> Column:
-    present = F.lit(True)
-    for name in fixed.REQUIRED_FIELDS:
-        present = present & has_field(name, document)
-    return present
+def has_required_fields(document: Column | str = "raw_data") -> Column:
+    return reduce(Column.__and__, [has_field(name, document) for name in fixed.REQUIRED_FIELDS])
+
+
+def valid_documents(lines: DataFrame) -> DataFrame:
+    """Rows of the lines that are JSON and carry every required key, parsed once."""
+    return _documents(lines, has_required_fields)
 
 
 def valid_events(raw: DataFrame) -> DataFrame:
@@ -85,7 +99,7 @@ def scan_hourly_ndjson(
     spark: SparkSession, paths: str | list[str], load_ts: datetime
 ) -> DataFrame:
     """Raw rows ``raw_data, load_ts, file_name`` of all parsable, valid lines."""
-    rows = valid_events(skip_malformed_lines(read_lines(spark, paths)))
+    rows = valid_documents(read_lines(spark, paths))
     return rows.select(
         "raw_data", F.lit(load_ts).cast("timestamp_ntz").alias("load_ts"), "file_name"
     )
@@ -122,9 +136,10 @@ def available_files(discovered: DataFrame, expected: DataFrame) -> DataFrame:
 
 def write_hour_files(raw_text: DataFrame, folder: str) -> None:
     """Write ``value, file_name`` rows as one gzip text file per hour, for tests and exports."""
+    tasks = int(raw_text.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         raw_text.select("value", "file_name")
-        .repartition("file_name")
+        .repartition(tasks, "file_name")
         .write.mode("overwrite")
         .option("compression", "gzip")
         .partitionBy("file_name")

@@ -74,17 +74,25 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 
 
 def upsert_table(
-    source: DataFrame, path: str, key: str, partition_col: str, schema: T.StructType
+    source: DataFrame,
+    path: str,
+    key: str,
+    partition_col: str,
+    schema: T.StructType,
+    fixed_partitions: bool = False,
 ) -> int:
     """MERGE ``source`` (unique per ``key``) into a Parquet table; returns partitions rewritten.
 
     A key that already lives in another partition is found by a semi join over the table's key
     column, so it moves instead of appearing twice. Only the touched partitions are read in full
     and rewritten. The list of touched partition values is the only thing that reaches the driver.
+
+    ``fixed_partitions`` promises that a key never changes its partition. Then the key column of
+    the other partitions is not read, which matters once the table is much larger than a batch.
     """
     spark = source.sparkSession
     if not has_data(spark, path):
-        append_by_partition(_spread(source, key, partition_col), path, partition_col)
+        append_by_partition(_balanced(source, partition_col), path, partition_col)
         return source.select(partition_col).distinct().count()
 
     staged_source = fresh_path(spark, "upsert-source")
@@ -92,21 +100,18 @@ def upsert_table(
     source = spark.read.schema(source.schema).parquet(staged_source)
 
     target = read_table(spark, path, schema)
-    moved = target.select(key, partition_col).join(source.select(key), key, "left_semi")
-    touched = [
-        row[0]
-        for row in source.select(partition_col)
-        .unionByName(moved.select(partition_col))
-        .distinct()
-        .collect()
-    ]
+    affected = source.select(partition_col)
+    if not fixed_partitions:
+        moved = target.select(key, partition_col).join(source.select(key), key, "left_semi")
+        affected = affected.unionByName(moved.select(partition_col))
+    touched = [row[0] for row in affected.distinct().collect()]
     if not touched:
         drop_path(spark, staged_source)
         return 0
 
     merged = upsert_by_key(target.where(F.col(partition_col).isin(touched)), source, key)
     staged = fresh_path(spark, "upsert-merged")
-    _spread(merged, key, partition_col).write.partitionBy(partition_col).parquet(staged)
+    _balanced(merged, partition_col).write.partitionBy(partition_col).parquet(staged)
     merged = read_table(spark, staged, schema)
     append_by_partition(merged, path, partition_col)
 
@@ -120,9 +125,9 @@ def upsert_table(
     return len(touched)
 
 
-def _spread(df: DataFrame, key: str, partition_col: str) -> DataFrame:
-    """Range-partition by (partition, key): a huge partition splits over several tasks."""
-    return df.repartitionByRange(partition_col, key)
+def _balanced(df: DataFrame, partition_col: str) -> DataFrame:
+    """Group rows by partition value for writing; AQE splits large groups and joins small ones."""
+    return df.hint("rebalance", partition_col)
 
 
 def delete_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.merge import dedup_by_key
-from eventlake.plans import marts, staging
+from eventlake.plans import marts
 from eventlake.plans.pipeline import TABLES, LakePaths, read
 from eventlake.sources import audit, ndjson, tables
 
@@ -56,7 +56,7 @@ def stream_ingest_files(
     stamp = F.lit(load_ts).cast("timestamp_ntz").alias("load_ts")
 
     def batch(lines: DataFrame, _: int) -> None:
-        rows = ndjson.valid_events(ndjson.skip_malformed_lines(lines))
+        rows = ndjson.valid_documents(lines)
         audit.bulk_append(rows.select("raw_data", stamp, "file_name"), raw_path)
 
     return _run(line_stream(spark, landing, files_per_batch), checkpoint, batch)
@@ -129,10 +129,10 @@ def stream_late_data(
 def stream_upsert_marts(
     events: DataFrame, paths: LakePaths, checkpoint: str, as_of: datetime
 ) -> StreamingQuery:
-    """Maintain the staged table, the fact and the actor dimension from a stream of staged events.
+    """Maintain the fact and the actor and repository dimensions from a stream of staged events.
 
-    The fact is merged by event id and the dimension by a type-2 merge of the actors of the batch;
-    both give the same tables when a batch is repeated.
+    The fact is merged by event id, the dimensions with the entities of the batch; all of them give
+    the same tables when a batch is repeated.
     """
 
     def batch(rows: DataFrame, _: int) -> None:
@@ -141,9 +141,13 @@ def stream_upsert_marts(
         tables.upsert_table(
             fact, paths.table("fact_events"), "event_id", "event_date", TABLES["fact_events"]
         )
-        dim = marts.dim_actor_scd2(
-            read(spark, paths, "dim_actor"), staging.stg_actors(rows), as_of
+        actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), rows, as_of)
+        tables.overwrite_table(actors.select(*TABLES["dim_actor"].names), paths.table("dim_actor"))
+        repositories = marts.dim_repository_from_batch(
+            read(spark, paths, "dim_repository"), rows, as_of
+        )
+        tables.overwrite_table(
+            repositories.select(*TABLES["dim_repository"].names), paths.table("dim_repository")
         )
-        tables.overwrite_table(dim.select(*TABLES["dim_actor"].names), paths.table("dim_actor"))
 
     return _run(events, checkpoint, batch)
