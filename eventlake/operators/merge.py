@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def upsert_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """MERGE on a unique key: source rows replace matching target rows, others are inserted."""
     kept = target.join(source.select(key), key, "left_anti")
-    return kept.unionByName(source)
+    return kept.select(*target.columns).unionByName(source)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

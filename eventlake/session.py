@@ -47,17 +47,17 @@ def local_session(app_name: str, cores: str = "*", shuffle_partitions: int = 8)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder, because there
-    every task runs on this machine.
+    Without that setting it is the checkpoint folder set on the context. Only a local-mode session
+    that has neither gets a temporary folder, because there every task runs on this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="eventlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="eventlake-"))
+    return context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
