@@ -215,34 +215,39 @@ def quality_report_rows(raw: DataFrame, events: DataFrame, audit: DataFrame) ->
     )
     span = F.concat_ws(" to ", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("lo", "hi")])
 
-    def lines(df: DataFrame, first: int, section: str, entries: list[tuple[str, Column]]) -> DataFrame:
+    def lines(df: DataFrame, entries: list[tuple[int, str, str, Column]]) -> DataFrame:
         items = [
             F.struct(
-                F.lit(first + i).cast("bigint").alias("line_no"),
+                F.lit(line_no).cast("bigint").alias("line_no"),
                 F.lit(section).alias("section"),
                 F.lit(label).alias("label"),
                 value.cast("string").alias("value"),
             )
-            for i, (label, value) in enumerate(entries)
+            for line_no, section, label, value in entries
         ]
         return df.select(F.inline(F.array(*items)))
 
-    top = lines(coverage, 1, "Coverage", [("Total Events", F.col("n")), ("Date Range", span)])
-    completeness = lines(gaps, 3, "Data Completeness", [(t, F.col(f)) for t, f in missing])
-    entities = lines(
+    from_events = lines(
         coverage,
-        7,
-        "Entity Counts",
         [
-            ("Unique Developers", F.col("actors")),
-            ("Unique Repositories", F.col("repos")),
-            ("Event Types", F.col("types")),
+            (1, "Coverage", "Total Events", F.col("n")),
+            (2, "Coverage", "Date Range", span),
+            (7, "Entity Counts", "Unique Developers", F.col("actors")),
+            (8, "Entity Counts", "Unique Repositories", F.col("repos")),
+            (9, "Entity Counts", "Event Types", F.col("types")),
         ],
     )
-    status = lines(
-        loads, 10, "Load Status", [("Files Loaded", F.col("good")), ("Load Failures", F.col("bad"))]
+    from_raw = lines(
+        gaps, [(3 + i, "Data Completeness", t, F.col(f)) for i, (t, f) in enumerate(missing)]
     )
-    return top.unionByName(completeness).unionByName(entities).unionByName(status)
+    from_loads = lines(
+        loads,
+        [
+            (10, "Load Status", "Files Loaded", F.col("good")),
+            (11, "Load Status", "Load Failures", F.col("bad")),
+        ],
+    )
+    return from_events.unionByName(from_raw).unionByName(from_loads)
 
 
 def duplicate_events(events: DataFrame) -> DataFrame:

@@ -195,39 +195,51 @@ def actor_history(events: DataFrame) -> DataFrame:
     A version starts with the event that changes login or type and ends where the next one starts.
     Late and replayed events are harmless because the whole history is derived again.
 
-    The change search runs twice. First inside (actor, hour), keeping the first event of each hour
-    and every change within it; then inside the actor over those few rows. That finds exactly the
-    changes of a search over all events, and an actor holding a large share of the data is spread
-    over its hours instead of landing in one task.
+    Events are first collapsed to one row per (actor, hour, login, type), which combines before the
+    shuffle, so an actor holding a large share of the data costs a few rows per hour. Where the
+    versions of an hour follow each other their first times tell the order. Only hours in which
+    they alternate go back to the events, and there the search stays inside (actor, hour).
     """
     seen = with_actor_class(events).where(
         F.col("actor_id").isNotNull() & F.col("actor_login").isNotNull()
     )
     seen = seen.select(
-        "actor_id",
-        "actor_login",
-        "actor_type",
-        "created_at",
-        "event_id",
-        trunc_ts("hour", "created_at").alias("chunk"),
+        *_VERSION, "created_at", trunc_ts("hour", "created_at").alias("chunk")
+    )
+    runs = seen.groupBy(*_VERSION, "chunk").agg(
+        F.min("created_at").alias("created_at"), F.max("created_at").alias("last_at")
+    )
+    in_chunk = Window.partitionBy("actor_id", "chunk")
+    earlier = in_chunk.orderBy(*_in_time()).rowsBetween(Window.unboundedPreceding, -1)
+    alternates = F.coalesce(F.max("last_at").over(earlier) >= F.col("created_at"), F.lit(False))
+    runs = runs.withColumn("alternates", alternates)
+    runs = runs.withColumn("alternates", F.bool_or("alternates").over(in_chunk))
+
+    tangled = runs.where("alternates").select("actor_id", "chunk").distinct()
+    detail = seen.join(tangled, ["actor_id", "chunk"], "left_semi").select(*seen.columns)
+    starts = runs.where(~F.col("alternates")).select(*_VERSION, "created_at").unionByName(
+        _changes(detail, in_chunk.orderBy(*_in_time())).select(*_VERSION, "created_at")
     )
-    order = [F.col(c).asc_nulls_last() for c in ("created_at", "actor_login", "actor_type", "event_id")]
-    in_chunk = Window.partitionBy("actor_id", "chunk").orderBy(*order)
-    per_actor = Window.partitionBy("actor_id").orderBy(*order)
 
-    starts = _changes(_changes(seen, in_chunk), per_actor)
+    per_actor = Window.partitionBy("actor_id").orderBy(*_in_time())
+    starts = _changes(starts, per_actor)
     next_start = F.lead("created_at").over(per_actor)
     return starts.select(
         surrogate_key("actor_id").alias("actor_key"),
-        "actor_id",
-        "actor_login",
-        "actor_type",
+        *_VERSION,
         F.col("created_at").alias("valid_from"),
         F.coalesce(next_start, _ts(fixed.OPEN_END)).alias("valid_to"),
         next_start.isNull().alias("is_current"),
     )
 
 
+_VERSION = ["actor_id", "actor_login", "actor_type"]
+
+
+def _in_time() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in ("created_at", "actor_login", "actor_type")]
+
+
 def _changes(rows: DataFrame, window) -> DataFrame:
     """Rows whose login or type differs from the row before them in the window."""
     previous = F.lag(F.struct("actor_login", "actor_type")).over(window)

@@ -1,8 +1,9 @@
 """Partitioned Parquet tables: paths, appends by partition, upserts.
 
-Plain Parquet has no MERGE. An upsert therefore rewrites the partitions it touches: the merged
-rows are first written to the shared folder, then swapped in with a dynamic partition overwrite,
-so no plan reads a path it is about to overwrite and a retry repeats the same result.
+Plain Parquet has no MERGE. An upsert therefore rewrites the partitions it touches with a dynamic
+partition overwrite: tasks read the old files and write to a staging folder, and only the finished
+job replaces the partitions. A lost executor repeats tasks on intact input, and repeating the whole
+upsert gives the same table.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from eventlake.operators.merge import upsert_by_key
 from eventlake.session import fresh_path
 
 
+# siblings of a table folder while it is being replaced
+NEXT, OLD = "__next", "__old"
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -26,8 +31,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def _recover(spark: SparkSession, path: str) -> None:
+    """Undo an :func:`overwrite_table` that was interrupted between its two renames."""
+    if not path_exists(spark, path) and path_exists(spark, path + OLD):
+        rename(spark, path + OLD, path)
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Does the folder hold a readable Parquet table?"""
+    _recover(spark, path)
     if not path_exists(spark, path):
         return False
     jvm_path, fs = _hadoop_path(spark, path)
@@ -35,6 +47,12 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in names)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    jvm_path, fs = _hadoop_path(spark, path)
+    if not fs.rename(jvm_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder; True if there was one."""
     jvm_path, fs = _hadoop_path(spark, path)
@@ -63,14 +81,19 @@ def append_rows(df: DataFrame, path: str) -> None:
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Replace a whole table with a frame that may be derived from it."""
+    """Replace a whole table with a frame that may be derived from it.
+
+    The new table is complete before two renames put it in place of the old one, so a failing job
+    never costs the old table.
+    """
     spark = df.sparkSession
-    staged = fresh_path(spark, "overwrite")
-    df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
-    drop_path(spark, staged)
+    df.write.mode("overwrite").parquet(path + NEXT)
+    _recover(spark, path)
+    if path_exists(spark, path):
+        drop_path(spark, path + OLD)
+        rename(spark, path, path + OLD)
+    rename(spark, path + NEXT, path)
+    drop_path(spark, path + OLD)
 
 
 def upsert_table(
@@ -100,31 +123,31 @@ def upsert_table(
     source = spark.read.schema(source.schema).parquet(staged_source)
 
     target = read_table(spark, path, schema)
-    affected = source.select(partition_col)
+    touched = _values(source.select(partition_col))
+    emptied: set = set()
     if not fixed_partitions:
         moved = target.select(key, partition_col).join(source.select(key), key, "left_semi")
-        affected = affected.unionByName(moved.select(partition_col))
-    touched = [row[0] for row in affected.distinct().collect()]
-    if not touched:
-        drop_path(spark, staged_source)
-        return 0
-
-    merged = upsert_by_key(target.where(F.col(partition_col).isin(touched)), source, key)
-    staged = fresh_path(spark, "upsert-merged")
-    _balanced(merged, partition_col).write.partitionBy(partition_col).parquet(staged)
-    merged = read_table(spark, staged, schema)
-    append_by_partition(merged, path, partition_col)
-
-    # a partition that lost its last row is not in the merged frame, so drop it by name
-    kept = {row[0] for row in merged.select(partition_col).distinct().collect()}
-    for value in touched:
-        if value not in kept:
+        left = _values(moved.select(partition_col)) - touched
+        if left:
+            # partitions that only lose rows; one that loses all of them is dropped afterwards
+            kept = target.where(F.col(partition_col).isin(list(left))).select(key, partition_col)
+            kept = kept.join(source.select(key), key, "left_anti")
+            emptied = left - _values(kept.select(partition_col))
+            touched |= left
+    if touched:
+        merged = upsert_by_key(target.where(F.col(partition_col).isin(list(touched))), source, key)
+        append_by_partition(_balanced(merged, partition_col), path, partition_col)
+        for value in emptied:
             drop_path(spark, f"{path}/{partition_col}={value}")
-    drop_path(spark, staged)
     drop_path(spark, staged_source)
     return len(touched)
 
 
+def _values(partitions: DataFrame) -> set:
+    """Distinct values of a partition column; there are as many as folders."""
+    return {row[0] for row in partitions.distinct().collect()}
+
+
 def _balanced(df: DataFrame, partition_col: str) -> DataFrame:
     """Group rows by partition value for writing; AQE splits large groups and joins small ones."""
     return df.hint("rebalance", partition_col)

@@ -79,3 +79,30 @@ def test_contract(spark):
     assert require_schema(good.select("d", "v", "k"), SCHEMA).columns == ["k", "v", "d"]
     with pytest.raises(SchemaDriftError):
         require_schema(drifted, SCHEMA)
+
+
+def test_interrupted_overwrite_is_undone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1, D1)], SCHEMA).write.parquet(path)
+    tables.rename(spark, path, path + tables.OLD)  # as if stopped between the renames
+    assert content(spark, path) == [("a", 1, D1)]
+
+
+def test_failing_overwrite_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1, D1)], SCHEMA).write.parquet(path)
+    broken = tables.read_table(spark, path, SCHEMA).selectExpr("k", "CAST(raise_error('stop') AS BIGINT) AS v", "d")
+    with pytest.raises(Exception, match="stop"):
+        tables.overwrite_table(broken, path)
+    assert content(spark, path) == [("a", 1, D1)]
+
+
+def test_failing_upsert_keeps_the_old_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, [("a", 1, D1), ("b", 1, D2)])
+    broken = spark.createDataFrame([("a", 2, D1)], SCHEMA).selectExpr(
+        "k", "IF(v > 1, CAST(raise_error('stop') AS BIGINT), v) AS v", "d"
+    )
+    with pytest.raises(Exception, match="stop"):
+        tables.upsert_table(broken, path, "k", "d", SCHEMA)
+    assert content(spark, path) == [("a", 1, D1), ("b", 1, D2)]
