@@ -196,6 +196,23 @@ def _load_batch(spark, files, raw_path, as_of, outcomes) -> None:
     )
 
 
+def load_latest(
+    spark: SparkSession,
+    landing: str,
+    raw_path: str,
+    audit_path: str,
+    as_of: datetime,
+    look_back_hours: int = 2,
+) -> DataFrame:
+    """The hourly load: load the newest available file of the look-back that is not loaded yet.
+
+    Returns its audit row, or no row if there is nothing new.
+    """
+    history = tables.read_table(spark, audit_path, LOAD_HISTORY)
+    newest = next_unloaded_file(discover_files(spark, landing), history, as_of, look_back_hours)
+    return load_once(spark, landing, raw_path, audit_path, as_of, expected=newest)
+
+
 def backfill(
     spark: SparkSession,
     landing: str,

@@ -992,7 +992,7 @@ WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM ev) - INTER
     )
     o["stream_late_data"] = query(
         """SELECT event_id, created_at, loaded_at,
-  CASE WHEN loaded_at > created_at + INTERVAL 3 HOUR THEN 'late' ELSE 'kept' END AS part FROM late""",
+  CASE WHEN loaded_at > created_at + INTERVAL 2 HOUR THEN 'late' ELSE 'kept' END AS part FROM late""",
         LATE,
     )
     o["stream_upsert_marts"] = query(

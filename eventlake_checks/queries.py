@@ -434,7 +434,7 @@ def stream_hourly_counts(lake: Lake) -> DataFrame:
 def stream_late_data(lake: Lake) -> DataFrame:
     kept, late = lake.path("kept"), lake.path("late")
     rows = fx.with_late_rows(event_stream(lake)).select("event_id", "created_at", "loaded_at")
-    jobs.stream_late_data(rows, kept, late, lake.path("checkpoint"), hours=3)
+    jobs.stream_late_data(rows, kept, late, lake.path("checkpoint"), hours=2)
     stored = [lake.spark.read.parquet(p).withColumn("part", F.lit(n)) for p, n in ((kept, "kept"), (late, "late"))]
     return _union(*stored).select("event_id", "created_at", "loaded_at", "part")
 

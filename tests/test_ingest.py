@@ -155,6 +155,18 @@ def test_expected_hours(spark):
     assert sorted(r.expected_hour for r in midnights) == [at(8), at(9), at(10)]
 
 
+def test_hourly_load_takes_one_file_per_run(spark, tmp_path, write_hour):
+    landing = write_hour("2024-01-01-4.json.gz", [event("1")])
+    write_hour("2024-01-01-5.json.gz", [event("2")])
+    write_hour("2024-01-01-1.json.gz", [event("3")])  # older than the look-back
+    raw_path, audit_path = paths(tmp_path)
+    loaded = []
+    for _ in range(3):
+        loaded += [r.file_name for r in audit.load_latest(spark, landing, raw_path, audit_path, AS_OF).collect()]
+    assert loaded == ["2024-01-01-5.json.gz", "2024-01-01-4.json.gz"]
+    assert [i for i, _ in ids(spark, raw_path)] == ["1", "2"]
+
+
 def test_next_unloaded_file_prefers_the_newest(spark):
     files = spark.createDataFrame(
         [("2024-01-01-3.json.gz", at(1, 3)), ("2024-01-01-4.json.gz", at(1, 4)), ("2024-01-01-5.json.gz", at(1, 5))],
