@@ -74,17 +74,22 @@ def unmerged_events(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return newer_than_loaded(read(spark, paths, "stg_events"), fact, fixed.BEGIN_OF_TIME)
 
 
-def build_dimensions(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
+def build_dimensions(
+    spark: SparkSession, paths: LakePaths, as_of: datetime, refresh_types: bool = True
+) -> None:
     """Merge the unmerged events into the actor and repository dimensions.
 
     Only the event type dimension reads all staged events, because its distinct counts cannot be
-    added up; it needs four narrow columns.
+    added up; it needs four narrow columns. With ``refresh_types=False`` it stays as it is once it
+    exists, so a large lake can refresh it daily instead of hourly.
     """
     fresh = unmerged_events(spark, paths)
     actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), fresh, as_of)
     tables.overwrite_table(require_schema(actors, DIM_ACTOR), paths.table("dim_actor"))
     repositories = marts.dim_repository_from_batch(read(spark, paths, "dim_repository"), fresh, as_of)
     tables.overwrite_table(require_schema(repositories, DIM_REPOSITORY), paths.table("dim_repository"))
+    if not refresh_types and tables.has_data(spark, paths.table("dim_event_type")):
+        return
     types = marts.dim_event_type(staging.stg_event_types(read(spark, paths, "stg_events")), as_of)
     tables.overwrite_table(require_schema(types, DIM_EVENT_TYPE), paths.table("dim_event_type"))
 
@@ -120,6 +125,7 @@ def run_pipeline(
     paths: LakePaths,
     as_of: datetime,
     fixed_dates: bool = False,
+    refresh_types: bool = True,
 ) -> DataFrame:
     """Run all steps once; returns ``step_no, step, status, row_count``.
 
@@ -128,7 +134,7 @@ def run_pipeline(
     """
     loads.load_once(spark, landing, paths.table("raw_events"), paths.table("load_history"), as_of)
     build_staging(spark, paths)
-    build_dimensions(spark, paths, as_of)
+    build_dimensions(spark, paths, as_of, refresh_types)
     build_fact(spark, paths, as_of, fixed_dates)
 
     models = lake_models(spark, paths)

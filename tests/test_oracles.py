@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 from eventlake_checks.compare import connect, differences
 
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+FORBIDDEN = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,9 @@ def test_query_matches_oracle(spark, duck, name):
     # two empty results would agree without proving anything
     count = duck.execute(f"SELECT count(*) FROM ({ORACLES[name]})").fetchall()[0][0]
     assert count > 0
+    # no Python in the plan and no join without an equality
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [operator for operator in FORBIDDEN if operator in plan]
 
 
 def test_comparison_notices_a_difference(spark, duck):
