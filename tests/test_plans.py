@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from eventlake.operators import analytics, quality
 from eventlake.plans import marts, staging
+from eventlake.sources import tables
 from eventlake_checks import fixtures as fx
 
 def plan(df) -> str:
@@ -60,6 +61,12 @@ def test_fact_partitions_are_pruned(spark, tmp_path):
     assert scans(text) == ["event_hour:bigint"]
 
 
+def test_partitioned_writes_are_rebalanced(spark):
+    """AQE may split the rows of one large partition over several writing tasks."""
+    fact = marts.fact_events(fx.staged(spark, SF_DIR), at(31))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(tables._balanced(fact, "event_date"))
+
+
 def test_documents_are_read_by_path(spark, tmp_path):
     """Stored documents are shredded: staging reads the typed paths, not whole documents."""
     path = str(tmp_path / "raw")
