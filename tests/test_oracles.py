@@ -7,8 +7,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as driver
 from eventlake_checks.compare import connect, differences
+from eventlake_checks.oracles import build_oracles
+from eventlake_checks.queries import build_queries
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = build_queries(), build_oracles()
 FORBIDDEN = ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
@@ -34,6 +36,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert not [operator for operator in FORBIDDEN if operator in plan]
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
+
+
 def test_comparison_notices_a_difference(spark, duck):
     df = QUERIES["stg_actors"](spark, SF_DIR)
     changed = ORACLES["stg_actors"].replace("ORDER BY created_at DESC", "ORDER BY created_at")
