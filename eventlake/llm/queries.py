@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, packing, quality_rules, secret_scan, token_counts, url_filter
+from eventlake.llm import ctw, mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
 from eventlake.llm.text import texts_of, word_count
 from eventlake.session import configure, fresh_path
 
@@ -67,6 +67,15 @@ def secret_digest(found: DataFrame) -> DataFrame:
     )
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
+def quality_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.score_documents(docs, quality_classifier.train(docs, labels))
+
+
 def quality_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs).select(
@@ -104,7 +113,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filters,
         "op2_best_fit_packing": best_fit_packing,
+        "op3_lm_scoring": lm_scoring,
         "op4_secret_scans": secret_scans,
+        "op6_quality_classifier": quality_classes,
         "op7_quality_rules": quality_filters,
         "op9_source_mixing": source_mixing,
         "op10_token_counts": token_counting,
