@@ -28,7 +28,7 @@ BITS = 7
 MIN_ROWS = 50
 REACH = 6
 # measure -> the least upper fence: below it nothing is dropped, however uniform the group
-FLOORS = {"word_length": 800, "symbol_rate": 100, "dup_line_rate": 100, "repeat_rate": 200}
+FLOORS = {"word_length": 1200, "symbol_rate": 100, "dup_line_rate": 100, "repeat_rate": 200}
 
 
 def measures(docs: DataFrame) -> DataFrame:

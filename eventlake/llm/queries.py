@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import ctw, mixing, packing, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
+from eventlake.llm import ctw, mixing, near_dedup, packing, pivot_index, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
 from eventlake.llm.text import texts_of, word_count
 from eventlake.session import configure, fresh_path
 
@@ -71,6 +71,11 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(table(spark, sf_dir, "documents"))
 
 
+def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivot_index.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def quality_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_classifier.score_documents(docs, quality_classifier.train(docs, labels))
@@ -91,6 +96,10 @@ def quality_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"), 0.85).drop("node")
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -115,8 +124,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": best_fit_packing,
         "op3_lm_scoring": lm_scoring,
         "op4_secret_scans": secret_scans,
+        "op5_exact_top_k": vector_search,
         "op6_quality_classifier": quality_classes,
         "op7_quality_rules": quality_filters,
+        "op8_near_duplicates": near_duplicates,
         "op9_source_mixing": source_mixing,
         "op10_token_counts": token_counting,
     }
