@@ -164,10 +164,10 @@ class Node:
         for bits in range(7, -1, -1):
             low, high = 1 << bits, 2 << bits
             sums[:, low:high] = sums[:, 2 * low : 2 * high : 2] + sums[:, 2 * low + 1 : 2 * high : 2]
-        self.zeros, self.ones = sums[:, 0::2].copy(), sums[:, 1::2].copy()
-        self.zeros[:, 0] = self.ones[:, 0] = 0
-        self.log_kt = log_kt(self.zeros, self.ones)
-        self.one = (self.ones + 0.5) / (self.zeros + self.ones + 1.0)
+        zeros, ones = sums[:, 0::2], sums[:, 1::2]
+        self.log_kt = log_kt(zeros, ones)
+        self.log_kt[:, 0] = 0.0
+        self.one = ((ones + 0.5) / (zeros + ones + 1.0)).astype(np.float32)
 
 
 class Model:
@@ -189,13 +189,13 @@ class Model:
             )
             parents.append(parent)
         # from the deepest level up: weighted probabilities, and how much of each is the node's own estimate
-        rest: list[Node | None] = [None] * len(levels)
+        rest: list[Node | np.ndarray | None] = [None] * len(levels)
         own: list[np.ndarray] = [np.empty(0)] * len(levels)
         below = None
         for d in range(len(levels) - 1, -1, -1):
             node = nodes[d]
             if d == depth:
-                own[d], below = np.ones_like(node.log_kt), node.log_kt
+                own[d], below = np.ones_like(node.one), node.log_kt
                 continue
             left, product = levels[d][1].copy(), np.zeros_like(node.log_kt)
             if d + 1 < len(levels) and sizes[d + 1]:
@@ -203,14 +203,16 @@ class Model:
                 np.add.at(product, parents[d + 1], below)
             rest[d] = Node(left)
             weighted = np.logaddexp(node.log_kt, product + rest[d].log_kt) - _LN2
-            own[d], below = np.exp(node.log_kt - _LN2 - weighted), weighted
+            own[d], below = np.exp(node.log_kt - _LN2 - weighted).astype(np.float32), weighted
+            rest[d] = rest[d].one
         # from the root down: the mixture along the path, and the share that longer contexts have
-        rows, mixed, share = [np.zeros((1, 256))], None, None
+        rows, mixed, share = [np.zeros((1, 256), np.float32)], None, None
         for d, node in enumerate(nodes):
             came, open_share = (mixed[parents[d]], share[parents[d]]) if d else (0.0, 1.0)
             mixed, share = came + open_share * own[d] * node.one, open_share * (1.0 - own[d])
-            rows.append(_byte_logs(mixed if rest[d] is None else mixed + share * rest[d].one))
-        self.table = np.concatenate(rows).astype(np.float32)
+            nodes[d] = own[d] = None
+            rows.append(_byte_logs(mixed if rest[d] is None else mixed + share * rest[d]).astype(np.float32))
+        self.table = np.concatenate(rows)
 
     def contexts(self, marked: np.ndarray, places: np.ndarray) -> np.ndarray:
         """The longest context before each place that is a node."""

@@ -349,3 +349,22 @@ def classes(docs: DataFrame, threshold: float = 0.85, k: int = K) -> DataFrame:
     return result.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "node"
     )
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8, k: int = K) -> DataFrame:
+    """The documents without near copies: of each component the one with the smallest id, all columns as they were.
+
+    Of rows that repeat that id one stays. Rows without an id cannot be told apart and stay unless they are near a
+    document with one.
+    """
+    chosen = classes(docs, threshold, k).where("kept").groupBy(F.col("doc_id").alias("chosen"))
+    path = fresh_path(docs.sparkSession, "near-kept")
+    chosen.agg(F.count(F.lit(1)).alias("times")).write.parquet(path)
+    chosen = docs.sparkSession.read.parquet(path)
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    once = (F.col("times") == 1) | F.col("chosen").isNull()
+    kept = rows.join(chosen.where(once), F.col("id").eqNullSafe(F.col("chosen")), "left_semi").select("row")
+    if not chosen.where(~once).isEmpty():
+        again = rows.join(chosen.where(~once), F.col("id") == F.col("chosen"))
+        kept = kept.unionByName(again.groupBy("id").agg(F.first("row").alias("row")).select("row"))
+    return kept.select("row.*")

@@ -150,7 +150,7 @@ def pack(docs: DataFrame, options: Lengths | None = None) -> DataFrame:
 
     One row per piece: ``doc_id, start, length`` (the piece within its document), ``bin_id``, ``capacity``
     (of the bin), ``slot`` (place in the bin), ``bin_start`` (where the piece begins in the bin) and, with ``words``,
-    ``text``: the piece's words joined by blanks.
+    ``text``: the piece's words, joined as they are.
     """
     options = options or Lengths()
     most = max(options.permitted)
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, options: Lengths | None = None) -> DataFrame:
         parts = [start.alias("start"), F.least(F.lit(most).cast("long"), F.col("length") - start).alias("length")]
         if with_text:
             words = F.slice("words", (start + 1).cast("int"), F.lit(most))
-            parts.append(F.array_join(words, " ").alias("text"))
+            parts.append(F.array_join(words, "").alias("text"))
         return F.struct(*parts)
 
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
