@@ -1,7 +1,199 @@
-"""DuckDB equivalents of this package's queries, where SQL can express them."""
+"""DuckDB equivalents of this package's queries, where SQL can express them.
+
+Written from the definitions, by other means than the jobs: item sets by grouping sets instead of FP-growth, all pairs of
+vectors instead of an index, all pairs that share a shingle instead of sketches, exact counts instead of merged sketches.
+"""
 
 from __future__ import annotations
 
+from eventlake.llm import quality_rules, secret_scan, url_filter
+
+WS = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def lower(column: str) -> str:
+    return f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def url_filters(rules: list[url_filter.Rule], default: str = "block", support: float = 0.01, confidence: float = 0.8) -> str:
+    fields = url_filter.FIELDS
+    listed = ", ".join(f"('{r.pattern}', '{r.host}', '{r.path}', '{r.verdict}')" for r in rules)
+    present = " AND ".join(f"(grouping({f}) = 1 OR {f} IS NOT NULL)" for f in fields)
+    tokens = "list_sort(list_filter([" + ", ".join(f"'{f}=' || {f}" for f in fields) + "], lambda x: x IS NOT NULL))"
+    return rf"""
+WITH listed(pattern, rule_host, rule_path, verdict) AS (VALUES {listed}),
+parts AS (
+  SELECT page_id, url,
+    {lower(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS full_host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+fields AS (
+  SELECT page_id, full_host, path,
+    nullif(regexp_extract(full_host, '([^.]+)$', 1), '') AS tld,
+    nullif(regexp_extract(full_host, '([^.]+\.[^.]+)$', 1), '') AS domain,
+    nullif(full_host, '') AS host,
+    nullif(regexp_extract(path, '^/([^/]+)', 1), '') AS dir,
+    nullif(regexp_extract(path, '\.([A-Za-z0-9]{{1,5}})$', 1), '') AS kind,
+    nullif(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^=&#]+)', 1), '') AS query,
+    (SELECT first({{'rule': pattern, 'verdict': verdict}} ORDER BY length(pattern) DESC, length(rule_host) DESC, pattern)
+     FROM listed WHERE (full_host = rule_host OR ends_with(full_host, '.' || rule_host)) AND starts_with(path, rule_path)) AS hit
+  FROM parts),
+judged AS (SELECT *, {tokens} AS tokens FROM fields),
+labelled AS (SELECT * FROM judged WHERE hit IS NOT NULL),
+total AS (SELECT count(*) AS n FROM labelled),
+sets AS (
+  SELECT {tokens} AS tokens, count(*) AS total,
+    count(*) FILTER (WHERE hit.verdict = 'allow') AS allowed, count(*) FILTER (WHERE hit.verdict = 'block') AS blocked
+  FROM labelled GROUP BY CUBE ({', '.join(fields)})
+  HAVING {present} AND NOT ({' AND '.join(f'grouping({f}) = 1' for f in fields)})),
+mined AS (
+  SELECT s.tokens, s.total, v.verdict, CASE v.verdict WHEN 'allow' THEN allowed ELSE blocked END AS hits
+  FROM sets s, (VALUES ('allow'), ('block')) v(verdict)),
+sure AS (SELECT m.* FROM mined m, total WHERE hits >= ceil(n * {support}) AND hits >= m.total * {confidence}),
+pruned AS (
+  SELECT * FROM sure a WHERE NOT EXISTS (
+    SELECT 1 FROM sure b WHERE b.verdict = a.verdict AND len(b.tokens) < len(a.tokens)
+      AND list_has_all(a.tokens, b.tokens) AND b.hits * a.total >= a.hits * b.total)),
+open AS (SELECT DISTINCT tokens FROM judged WHERE hit IS NULL),
+best AS (
+  SELECT o.tokens, first(p.verdict ORDER BY p.hits / p.total DESC, p.total DESC, len(p.tokens) DESC, p.tokens, p.verdict) AS verdict
+  FROM open o JOIN pruned p ON list_has_all(o.tokens, p.tokens) GROUP BY o.tokens)
+SELECT j.page_id, j.full_host AS host, j.path, j.hit.rule AS rule,
+  coalesce(j.hit.verdict, b.verdict, '{default}') AS verdict,
+  CASE WHEN j.hit IS NOT NULL THEN 'rule' WHEN b.verdict IS NOT NULL THEN 'mined' ELSE 'default' END AS decided_by
+FROM judged j LEFT JOIN best b ON j.hit IS NULL AND b.tokens = j.tokens"""
+
+
+def secret_scans() -> str:
+    """Matches one after the other: places of the n-th match from the text before it."""
+    parts = []
+    for place, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, i,
+    regexp_extract_all(text, '{pattern}', 0)[i] AS hit, regexp_extract_all(text, '{pattern}', {rule.group})[i] AS counted,
+    {rule.least} AS least, text
+  FROM docs, range(1, len(regexp_extract_all(text, '{pattern}', 0)) + 1) r(i) WHERE regexp_matches(text, '{pattern}')""")
+    named = "kind || ':' || start || ':' || (start + length(hit))"
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({' UNION ALL '.join(parts)}),
+placed(doc_id, place, kind, i, hit, counted, least, text, start, upto) AS (
+  SELECT *, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM (SELECT doc_id, place, kind, 0, '', '', 1, text FROM hits WHERE i = 1)
+  UNION ALL
+  SELECT h.*, p.upto + instr(substr(h.text, p.upto + 1), h.hit) - 1, p.upto + instr(substr(h.text, p.upto + 1), h.hit) - 1 + length(h.hit)
+  FROM placed p JOIN hits h ON h.doc_id = p.doc_id AND h.place = p.place AND h.i = p.i + 1),
+good AS (SELECT * FROM placed WHERE i > 0 AND length(counted) >= least)
+SELECT d.doc_id,
+  count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+  count(*) FILTER (WHERE kind = 'access') AS n_access,
+  count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg({named}, ',' ORDER BY start, place) FILTER (WHERE place < {len(secret_scan.BASE)}), '')) AS base_sha256,
+  coalesce(string_agg({named}, ',' ORDER BY start, place), '') AS spans
+FROM docs d LEFT JOIN good g ON g.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
+def exact_top_k() -> str:
+    return """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 20"""
+
+
+def quality_filters() -> str:
+    rate = {
+        "word_length": "100 * word_chars // greatest(n_words, 1)",
+        "symbol_rate": "1000 * n_symbols // greatest(word_chars, 1)",
+        "dup_line_rate": "1000 * n_dup_lines // greatest(n_words, 1)",
+        "repeat_rate": "1000 * n_repeat_words // greatest(n_words, 1)",
+    }
+    bucket = "(v >> greatest(length(bin(v)) - {b}, 0)) << greatest(length(bin(v)) - {b}, 0)".format(b=quality_rules.BITS)
+    measures = list(quality_rules.FLOORS)
+    values = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in measures)
+
+    def fences(name: str, keys: str) -> str:
+        group = f"{keys}, measure" if keys else "measure"
+        columns = ", ".join(
+            f"max(greatest(q3 + {quality_rules.REACH} * (q3 - q1), {floor})) FILTER (WHERE measure = '{m}') AS max_{m}"
+            for m, floor in quality_rules.FLOORS.items()
+        )
+        select, by = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
+        return f"""{name} AS (
+  SELECT {select}max(n) AS n, {columns} FROM (
+    SELECT {group}, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM valued GROUP BY {group}) {by})"""
+
+    chosen = ", ".join(
+        f"CAST(CASE WHEN f.n >= {quality_rules.MIN_ROWS} THEN f.max_{m} WHEN c.n >= {quality_rules.MIN_ROWS} THEN c.max_{m} "
+        f"ELSE w.max_{m} END AS BIGINT) AS max_{m}"
+        for m in measures
+    )
+    within = " AND ".join(f"{m} <= max_{m}" for m in measures)
+    return rf"""
+WITH docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '{WORD}')) AS word,
+    generate_subscripts(regexp_extract_all(text, '{WORD}'), 1) AS place FROM docs),
+windows AS (
+  SELECT doc_id, place, [word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w, lead(word, 4) OVER w] AS gram,
+    lead(word, 4) OVER w IS NOT NULL AS whole FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+twice AS (
+  SELECT doc_id, place FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM windows WHERE whole) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, place + j AS place FROM twice, range(5) r(j)) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+repeats AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+counted AS (
+  SELECT d.doc_id, lang, source,
+    len(regexp_extract_all(text, '{WORD}')) AS n_words,
+    length(regexp_replace(text, '{WS}', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(r.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM docs d LEFT JOIN repeats r ON r.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id),
+rated AS (SELECT *, {', '.join(f'{e} AS {m}' for m, e in rate.items())} FROM counted),
+valued AS (SELECT *, {bucket} AS b FROM ({values})),
+{fences('fine', 'lang, source')}, {fences('coarse', 'lang')}, {fences('whole', '')},
+judged AS (
+  SELECT r.*, {chosen}, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM rated r LEFT JOIN fine f ON f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
+  LEFT JOIN coarse c ON c.lang IS NOT DISTINCT FROM r.lang CROSS JOIN whole w)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept,
+  {', '.join(f'max_{m}' for m in measures)} FROM judged"""
+
+
+def near_duplicates(percent: int = 85) -> str:
+    return rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({lower("coalesce(text, '')")}, '{WORD}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE w[i : i + 4] END AS s
+  FROM words, range(1, greatest(len(w) - 3, 2)) r(i) WHERE len(w) > 0 AND i <= greatest(len(w) - 4, 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * s.n >= {percent} * (x.n + y.n - s.n)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id, min(r.other) = d.doc_id AS kept
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id, z.n"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    from eventlake.llm.queries import URL_RULES
+
+    return {
+        "op1_url_filters": url_filters(URL_RULES),
+        "op4_secret_scans": secret_scans(),
+        "op5_exact_top_k": exact_top_k(),
+        "op7_quality_rules": quality_filters(),
+        "op8_near_duplicates": near_duplicates(),
+    }

@@ -280,7 +280,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     # a block of queries goes to each of its slices once, not along with every block of the index
     floors = bounds.where(F.col("pivot") == 0).select("q_block", "floors")
     asked = queries.select("q_block", "q_ids", "q_rows").join(floors, "q_block")
-    asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
+    asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
     best = asked.groupBy("q_block", "slice").cogroup(work.groupBy("q_block", "slice")).applyInPandas(
         _search(sent, k), "q_block long, q long, query_id long, vec_id long, score long"
     )
