@@ -26,6 +26,7 @@ def oracle_rows(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], li
 
 # Spark type of a column and the DuckDB types that carry the same values
 _SAME = {
+    "int": {"INTEGER"},
     "bigint": {"BIGINT"},
     "double": {"DOUBLE"},
     "string": {"VARCHAR"},
