@@ -14,19 +14,20 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import quality
-from eventlake.plans.pipeline import LakePaths, read, run_pipeline
+from eventlake.plans.pipeline import LEDGER, LakePaths, read, run_pipeline
 from eventlake.session import configure
 from eventlake.sources import audit
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="eventlake", description=__doc__)
-    parser.add_argument("job", choices=["backfill", "latest", "pipeline", "monitor", "delete"])
+    parser.add_argument("job", choices=["backfill", "latest", "pipeline", "monitor", "delete", "archive"])
     parser.add_argument("--lake", required=True, help="root folder of the tables")
     parser.add_argument("--landing", help="folder with the hour files")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="UTC time, default now")
     parser.add_argument("--days", type=int, default=7, help="days to backfill")
     parser.add_argument("--look-back", type=int, default=2, help="hours the hourly load looks back")
+    parser.add_argument("--keep", type=int, default=90, help="days a load stays in the audit table")
     parser.add_argument("--file", help="hour file to delete")
     return parser.parse_args(argv)
 
@@ -48,7 +49,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         rows.select("file_name", "status", "row_count", "error_message").show(truncate=False)
         return int(rows.where("status = 'FAILED'").count() > 0)
     if args.job == "pipeline":
-        run_pipeline(spark, args.landing, paths, as_of).orderBy("step_no").show()
+        steps = run_pipeline(spark, args.landing, paths, as_of).orderBy("step_no").collect()
+        for step in steps:
+            print(step.step_no, step.step, step.status, step.row_count)
+        return int(any(step.status not in ("done", "pass") for step in steps))
+    if args.job == "archive":
+        print(f"archived {audit.archive_loads(spark, history, paths.table('load_history_archive'), as_of, args.keep)} loads")
         return 0
     if args.job == "monitor":
         checks = quality.dq_checks(
@@ -59,7 +65,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return report["exit_code"]
     if not args.file:
         raise SystemExit("delete needs --file")
-    events, rows = audit.delete_file_events(spark, raw, history, args.file)
+    events, rows = audit.delete_file_events(spark, raw, history, args.file, paths.table(LEDGER))
     print(f"deleted {events} events and {rows} audit rows of {args.file}")
     return 0
 

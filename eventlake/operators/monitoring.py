@@ -14,6 +14,7 @@ from eventlake.functions import (
     round_half_up,
     trunc_ts,
 )
+from eventlake.sources.audit import latest_attempt
 from eventlake.sources.hours import hour_series, trailing_hours
 
 
@@ -78,7 +79,8 @@ def load_failures(audit: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def retry_candidates(audit: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
-    """Failed and to-be-retried loads of the last ``days`` days, newest first."""
+    """Files whose newest attempt failed or is to be retried, within ``days`` days, newest first."""
+    audit = latest_attempt(audit)
     return load_failures(audit.where(F.col("load_ts") >= _ts(as_of - timedelta(days=days))))
 
 
@@ -95,7 +97,8 @@ def load_freshness(audit: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def missing_hours(audit: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
-    """Hours since the first load, at most ``days`` days back, without a successful load."""
+    """Hours since the first load, at most ``days`` days back, whose file's newest attempt is no success."""
+    audit = latest_attempt(audit)
     bounds = audit.agg(
         trunc_ts("hour", F.min("file_hour")).alias("start_hour"), _ts(as_of).alias("stop_hour")
     ).where(F.col("start_hour") <= F.col("stop_hour"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions import boundary_diff, fixed, percent, round_half_up
+from eventlake.sources.audit import latest_attempt
 
 
 def _ts(value: datetime) -> Column:
@@ -268,25 +269,37 @@ def missing_dimension_counts(fact: DataFrame) -> DataFrame:
 
 def check_missing_dimensions(fact: DataFrame) -> DataFrame:
     n = F.col("n")
-    total = missing_dimension_counts(fact).agg(F.sum("missing_keys").alias("n"))
+    # a hashed null is no null, so a missing id is what shows
+    total = missing_dimension_counts(fact).agg(F.sum(F.col("missing_keys") + F.col("missing_ids")).alias("n"))
     return _check(
         total,
         "missing_dimensions",
         F.when(n == 0, "OK").otherwise("FAILED"),
         n,
         F.when(n > 0, "WARNING"),
-        F.concat(n.cast("string"), F.lit(" dimension keys are missing")),
+        F.concat(n.cast("string"), F.lit(" dimension keys or ids are missing")),
     )
 
 
 def check_event_volume(
     fact: DataFrame, as_of: datetime, low: float = 0.8, high: float = 1.2
 ) -> DataFrame:
-    """Yesterday's volume against the six days before; no row if yesterday has no events."""
+    """Yesterday's volume against the six days before; without events it is 0 and an anomaly.
+
+    Only a fact whose first event is younger than yesterday is not expected to have any.
+    """
     yesterday = (_midnight(as_of) - timedelta(days=1)).date()
     days = daily_volume_anomaly(fact, as_of, 7, low, high).where(F.col("event_date") == F.lit(yesterday))
+    expected = fact.sparkSession.range(1).select(F.lit(yesterday).alias("event_date"))
+    days = expected.join(days, "event_date", "left")
+    empty = F.col("daily_events").isNull()
+    days = days.select(
+        F.coalesce("daily_events", F.lit(0)).alias("daily_events"),
+        F.when(empty, 0.0).otherwise(F.col("pct_of_avg")).alias("pct_of_avg"),
+    )
+    first = fact.agg(F.min("created_at").alias("first")).select(F.coalesce(F.to_date("first") <= F.lit(yesterday), F.lit(True)))
     pct = F.col("pct_of_avg")
-    odd = (pct < low * 100) | (pct > high * 100)
+    odd = ((pct < low * 100) | (pct > high * 100)) & first.scalar()
     return _check(
         days,
         "volume_anomaly",
@@ -568,8 +581,13 @@ def quality_summary(
     return rows.withColumn("pass_rate", rate)
 
 
-def longest_failure_run(audit: DataFrame) -> DataFrame:
-    """Length of the longest run of FAILED files in hour order, over the small audit table."""
+def longest_failure_run(audit: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
+    """Length of the longest run of FAILED files in hour order, of the ``days`` days up to ``as_of``.
+
+    A file counts with its newest attempt. The windows see one row per hour of that time.
+    """
+    hour = F.col("file_hour")
+    audit = latest_attempt(audit.where((hour >= _ts(as_of - timedelta(days=days))) & (hour <= _ts(as_of))))
     by_hour = Window.orderBy("file_hour", "file_name")
     by_group = Window.partitionBy("failed").orderBy("file_hour", "file_name")
     marked = audit.select("file_hour", "file_name", (F.col("status") == "FAILED").alias("failed"))
@@ -591,7 +609,7 @@ def quality_metrics(
     failures = suite.agg(F.count_if(F.col("status") != "pass").cast("double").alias("value"))
     named = {
         "data_freshness_hours": freshness,
-        "consecutive_load_failures": longest_failure_run(audit),
+        "consecutive_load_failures": longest_failure_run(audit, as_of),
         "duplicate_events": duplicates,
         "missing_dimension_percent": absent,
         "test_failures": failures,

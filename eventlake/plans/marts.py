@@ -78,6 +78,21 @@ def fact_events_overlap(
     return upsert_by_key(target, fact_events(recent, as_of), "event_id")
 
 
+def newer_than_stored(events: DataFrame, stored: DataFrame) -> DataFrame:
+    """Events less those of which the stored fact has a copy that was loaded later.
+
+    An event's date is fixed, so only the dates of the events are read: one small value per date.
+    """
+    dates = [row[0] for row in events.select(F.to_date("created_at")).distinct().collect()]
+    there = stored.where(F.col("event_date").isin([d for d in dates if d is not None]))
+    there = there.select("event_id", F.col("loaded_at").alias("at"), F.col("source_file").alias("file"))
+    later = (F.col("at") > F.col("loaded_at")) | (
+        (F.col("at") == F.col("loaded_at")) & (F.col("file") < F.col("source_file"))
+    )
+    newer = events.join(there, "event_id").where(later).select("event_id")
+    return events.join(newer, "event_id", "left_anti").select(*events.columns)
+
+
 def fact_push_events(raw: DataFrame) -> DataFrame:
     """Push events with their commit and branch measures."""
 

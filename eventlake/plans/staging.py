@@ -46,8 +46,8 @@ def with_actor_class(events: DataFrame) -> DataFrame:
 
 
 def _newest_first(last_at: str) -> Column:
-    """Sort value that is smallest for the newest time."""
-    return -F.unix_micros(F.col(last_at).cast("timestamp"))
+    """Sort value that is smallest for the newest time and largest without one."""
+    return F.coalesce(-F.unix_micros(F.col(last_at).cast("timestamp")), F.lit((1 << 63) - 1))
 
 
 def stg_actors(events: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from eventlake.functions import fixed, hour_of_file_name, trunc_ts
 from eventlake.schemas import LOAD_HISTORY, RAW_EVENTS
-from eventlake.sources import tables
+from eventlake.session import fresh_path
+from eventlake.sources import ledger, tables
 from eventlake.sources.hours import expected_hours
 from eventlake.sources.ndjson import discover_files, scan_hourly_ndjson
 
@@ -21,6 +22,19 @@ from eventlake.sources.ndjson import discover_files, scan_hourly_ndjson
 # --- reads ----------------------------------------------------------------------------------
 
 
+def latest_attempt(audit: DataFrame) -> DataFrame:
+    """The row of each file's newest attempt: the state of the file. Of attempts at one time a success counts."""
+    order = F.struct(F.col("load_ts"), F.col("status") == "SUCCESS")
+    newest = audit.groupBy("file_name").agg(F.max_by(F.struct(*audit.columns), order).alias("row"))
+    return newest.select("row.*")
+
+
+def last_loads(audit: DataFrame) -> DataFrame:
+    """``file_name, load_ts`` of each file's last successful load."""
+    done = audit.where(F.col("status") == "SUCCESS")
+    return done.groupBy("file_name").agg(F.max("load_ts").alias("load_ts"))
+
+
 def loaded_files(audit: DataFrame) -> DataFrame:
     return audit.where(F.col("status") == "SUCCESS").select("file_name")
 
@@ -58,6 +72,24 @@ def archive_old_loads(
     return audit.where(~is_old), audit.where(is_old)
 
 
+def archive_loads(spark: SparkSession, audit_path: str, archive_path: str, as_of: datetime, days_to_keep: int = 90) -> int:
+    """Move old successful loads from the audit table to the archive; returns how many left the audit table.
+
+    The archive is written first and only gains rows it lacks, so a run that breaks off is simply repeated.
+    """
+    audit = tables.read_table(spark, audit_path, LOAD_HISTORY)
+    kept, old = archive_old_loads(audit, as_of, days_to_keep)
+    moved = old.count()
+    if moved:
+        archive = tables.read_table(spark, archive_path, LOAD_HISTORY)
+        new = old.join(archive.select("file_name", "load_ts"), ["file_name", "load_ts"], "left_anti")
+        path = fresh_path(spark, "archive-rows")
+        new.select(*LOAD_HISTORY.names).coalesce(1).write.parquet(path)
+        tables.append_rows(spark.read.schema(LOAD_HISTORY).parquet(path), archive_path)
+        tables.overwrite_table(kept, audit_path)
+    return moved
+
+
 def without_file(table: DataFrame, file_name: str) -> DataFrame:
     """All rows but those of one file."""
     return table.where(F.col("file_name") != file_name)
@@ -121,11 +153,7 @@ def file_row_counts(spark: SparkSession, raw_path: str, names: list[str]) -> Dat
     Only the folders of the named files are listed and only footers are read, however many files
     the table holds.
     """
-    folders = [f"{raw_path}/file_name={name}" for name in names]
-    folders = [f for f in folders if tables.path_exists(spark, f)]
-    if not folders:
-        return spark.createDataFrame([], "file_name STRING, row_count BIGINT")
-    raw = spark.read.schema(RAW_EVENTS).option("basePath", raw_path).parquet(*folders)
+    raw = tables.read_partitions(spark, raw_path, RAW_EVENTS, "file_name", names)
     return raw.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -175,13 +203,19 @@ _OUTCOME = (
 )
 
 
+# what Spark and the JVM say about a file whose content cannot be read
+_UNREADABLE = ("FAILED_READ_FILE", "EOFException", "ZipException", "not a gzip file", "incorrect header check")
+
+
 def _load_batch(spark, files, raw_path, as_of, outcomes) -> None:
     names = [f.file_name for f in files]
     start = time.monotonic()
     try:
         raw = scan_hourly_ndjson(spark, [p for f in files for p in f.paths], as_of)
         bulk_append(raw, raw_path)
-    except Exception as error:  # any unreadable file fails the whole job
+    except Exception as error:  # an unreadable file fails the whole job
+        if not any(sign in str(error) for sign in _UNREADABLE):
+            raise
         if len(files) == 1:
             outcomes.append((names[0], 0, files[0].file_size_bytes, None, str(error)))
             return
@@ -226,8 +260,11 @@ def backfill(
     Outcomes: ``skipped`` (already loaded, missing, or without events), ``loaded``, ``failed``.
     """
     expected = expected_hours(spark, as_of, days)
-    before = loaded_files(tables.read_table(spark, audit_path, LOAD_HISTORY)).collect()
-    before = spark.createDataFrame(before, "file_name STRING").distinct()
+    before = loaded_files(tables.read_table(spark, audit_path, LOAD_HISTORY))
+    # as it is before this run, and no more of it than was asked for
+    path = fresh_path(spark, "loaded-before")
+    before.join(expected.select("file_name"), "file_name", "left_semi").distinct().write.parquet(path)
+    before = spark.read.parquet(path)
     done = load_once(spark, landing, raw_path, audit_path, as_of, expected=expected)
     return backfill_outcomes(expected, before, done)
 
@@ -285,11 +322,12 @@ def backfill_summary(outcomes: DataFrame, events: DataFrame, audit: DataFrame) -
 
 
 def delete_file_events(
-    spark: SparkSession, raw_path: str, audit_path: str, file_name: str
+    spark: SparkSession, raw_path: str, audit_path: str, file_name: str, ledger_path: str | None = None
 ) -> tuple[int, int]:
     """Remove one file from the raw and the audit table; returns (events, audit rows) deleted.
 
-    The raw table drops one partition folder; the small audit table is rewritten.
+    The raw table drops one partition folder; the small audit table is rewritten. The ledger, if one is named,
+    notes it, so that the next load of the file is processed again.
     """
     events = file_row_counts(spark, raw_path, [file_name]).agg(F.sum("row_count")).first()[0] or 0
     tables.delete_partition(spark, raw_path, "file_name", file_name)
@@ -297,4 +335,6 @@ def delete_file_events(
     gone = audit.where(F.col("file_name") == file_name).count()
     if gone:
         tables.overwrite_table(without_file(audit, file_name), audit_path)
+    if ledger_path is not None:
+        ledger.forget(spark, ledger_path, file_name)
     return events, gone

@@ -1,9 +1,9 @@
 """Partitioned Parquet tables: paths, appends by partition, upserts.
 
-Plain Parquet has no MERGE. An upsert therefore rewrites the partitions it touches with a dynamic
-partition overwrite: tasks read the old files and write to a staging folder, and only the finished
-job replaces the partitions. A lost executor repeats tasks on intact input, and repeating the whole
-upsert gives the same table.
+Plain Parquet has no MERGE. An upsert therefore writes the touched partitions next to the table, then a plan of which
+to put in place and which to drop, and then renames one partition after the other. A lost executor repeats tasks
+on intact input. A driver lost before the plan is written leaves the old table; after it, the next read
+or write of the table finishes the plan.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from eventlake.session import fresh_path
 
 # siblings of a table folder while it is being replaced
 NEXT, OLD = "__next", "__old"
+# and while partitions of it are
+MERGED, PLAN = "__merged", "__plan"
+_PLAN = "folder STRING"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -32,7 +35,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _recover(spark: SparkSession, path: str) -> None:
-    """Undo an :func:`overwrite_table` that was interrupted between its two renames."""
+    """Undo an :func:`overwrite_table` that stopped between its renames, finish an upsert that stopped within its."""
+    if path_exists(spark, f"{path}{PLAN}/_SUCCESS"):
+        _finish_plan(spark, path)
     if not path_exists(spark, path) and path_exists(spark, path + OLD):
         rename(spark, path + OLD, path)
 
@@ -76,6 +81,39 @@ def append_by_partition(df: DataFrame, path: str, partition_col: str) -> None:
     )
 
 
+def _finish_plan(spark: SparkSession, path: str) -> None:
+    """Put the merged partitions in place of the old ones; a folder that is no longer there was moved before."""
+    for row in spark.read.schema(_PLAN).parquet(path + PLAN).collect():
+        merged, old = f"{path}{MERGED}/{row.folder}", f"{path}/{row.folder}"
+        if path_exists(spark, merged):
+            drop_path(spark, old)
+            rename(spark, merged, old)
+    for row in spark.read.schema("folder STRING, is_empty BOOLEAN").parquet(path + PLAN).where("is_empty").collect():
+        drop_path(spark, f"{path}/{row.folder}")
+    drop_path(spark, path + PLAN)
+    drop_path(spark, path + MERGED)
+
+
+def existing_partitions(spark: SparkSession, path: str, partition_col: str, values: list) -> list[str]:
+    """Folders of the given partition values that exist; one listing of the table, not a call per value."""
+    if not path_exists(spark, path):
+        return []
+    jvm_path, fs = _hadoop_path(spark, path)
+    there = {status.getPath().getName() for status in fs.listStatus(jvm_path)}
+    return [f"{path}/{name}" for name in (f"{partition_col}={v}" for v in values) if name in there]
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, partition_col: str, values: list
+) -> DataFrame:
+    """Rows of the given partitions; folders of others are not opened."""
+    _recover(spark, path)
+    folders = existing_partitions(spark, path, partition_col, values)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -103,6 +141,8 @@ def upsert_table(
     partition_col: str,
     schema: T.StructType,
     fixed_partitions: bool = False,
+    deletes: DataFrame | None = None,
+    cluster: tuple[str, ...] = (),
 ) -> int:
     """MERGE ``source`` (unique per ``key``) into a Parquet table; returns partitions rewritten.
 
@@ -112,33 +152,37 @@ def upsert_table(
 
     ``fixed_partitions`` promises that a key never changes its partition. Then the key column of
     the other partitions is not read, which matters once the table is much larger than a batch.
+    ``deletes`` has ``key`` and ``partition_col`` of rows to remove. Files are sorted by ``cluster``.
     """
     spark = source.sparkSession
-    if not has_data(spark, path):
-        append_by_partition(_balanced(source, partition_col), path, partition_col)
-        return source.select(partition_col).distinct().count()
-
     staged_source = fresh_path(spark, "upsert-source")
     source.write.parquet(staged_source)
     source = spark.read.schema(source.schema).parquet(staged_source)
+    if not has_data(spark, path):
+        append_by_partition(_balanced(source, partition_col, cluster), path, partition_col)
+        return source.select(partition_col).distinct().count()
 
     target = read_table(spark, path, schema)
     touched = _values(source.select(partition_col))
-    emptied: set = set()
+    if deletes is not None:
+        touched |= _values(deletes.select(partition_col))
     if not fixed_partitions:
         moved = target.select(key, partition_col).join(source.select(key), key, "left_semi")
-        left = _values(moved.select(partition_col)) - touched
-        if left:
-            # partitions that only lose rows; one that loses all of them is dropped afterwards
-            kept = target.where(F.col(partition_col).isin(list(left))).select(key, partition_col)
-            kept = kept.join(source.select(key), key, "left_anti")
-            emptied = left - _values(kept.select(partition_col))
-            touched |= left
+        touched |= _values(moved.select(partition_col))
     if touched:
-        merged = upsert_by_key(target.where(F.col(partition_col).isin(list(touched))), source, key)
-        append_by_partition(_balanced(merged, partition_col), path, partition_col)
-        for value in emptied:
-            drop_path(spark, f"{path}/{partition_col}={value}")
+        part = target.where(F.col(partition_col).isin(list(touched)))
+        if deletes is not None:
+            part = part.join(deletes.select(key), key, "left_anti").select(*schema.names)
+        merged = upsert_by_key(part, source, key)
+        drop_path(spark, path + PLAN)
+        _balanced(merged, partition_col, cluster).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy(partition_col).parquet(path + MERGED)
+        folders = [f"{partition_col}={value}" for value in touched]
+        full = {f.rsplit("/", 1)[1] for f in existing_partitions(spark, path + MERGED, partition_col, list(touched))}
+        plan = [(f, f not in full) for f in folders]
+        spark.createDataFrame(plan, "folder STRING, is_empty BOOLEAN").coalesce(1).write.parquet(path + PLAN)
+        _finish_plan(spark, path)
     drop_path(spark, staged_source)
     return len(touched)
 
@@ -148,9 +192,10 @@ def _values(partitions: DataFrame) -> set:
     return {row[0] for row in partitions.distinct().collect()}
 
 
-def _balanced(df: DataFrame, partition_col: str) -> DataFrame:
-    """Group rows by partition value for writing; AQE splits large groups and joins small ones."""
-    return df.hint("rebalance", partition_col)
+def _balanced(df: DataFrame, partition_col: str, cluster: tuple[str, ...] = ()) -> DataFrame:
+    """Group rows by partition value for writing; AQE splits large groups and joins small ones. Files are sorted."""
+    grouped = df.hint("rebalance", partition_col)
+    return grouped.sortWithinPartitions(partition_col, *cluster) if cluster else grouped
 
 
 def delete_partition(spark: SparkSession, path: str, partition_col: str, value: str) -> bool:

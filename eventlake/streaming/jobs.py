@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts
 from eventlake.plans.pipeline import TABLES, LakePaths, read
+from eventlake.session import fresh_path
 from eventlake.sources import audit, ndjson, tables
 
 
@@ -106,6 +107,13 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return query
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """The rows of a batch as a table, so that the source is read once however often they are used."""
+    path = fresh_path(rows.sparkSession, "batch")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def stream_late_data(
     events: DataFrame, kept_path: str, late_path: str, checkpoint: str, hours: int = 2
 ) -> StreamingQuery:
@@ -117,7 +125,7 @@ def stream_late_data(
     late = F.col("loaded_at") > F.col("created_at") + F.make_dt_interval(hours=F.lit(hours))
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        rows = rows.withColumn("is_late", F.coalesce(late, F.lit(False))).withColumn(
+        rows = _kept(rows).withColumn("is_late", F.coalesce(late, F.lit(False))).withColumn(
             "batch_id", F.lit(batch_id).cast("bigint")
         )
         for path, wanted in ((kept_path, ~F.col("is_late")), (late_path, F.col("is_late"))):
@@ -127,19 +135,30 @@ def stream_late_data(
 
 
 def stream_upsert_marts(
-    events: DataFrame, paths: LakePaths, checkpoint: str, as_of: datetime
+    events: DataFrame, paths: LakePaths, checkpoint: str, as_of: datetime, fixed_partitions: bool = False
 ) -> StreamingQuery:
     """Maintain the fact and the actor and repository dimensions from a stream of staged events.
 
     The fact is merged by event id, the dimensions with the entities of the batch; all of them give
-    the same tables when a batch is repeated.
+    the same tables when a batch is repeated. A batch counts as of its newest load, so that versions of an actor
+    that changes in several batches follow each other; ``as_of`` is for batches without load times.
+    ``fixed_partitions`` is passed on to :func:`tables.upsert_table`.
     """
+    start = as_of
 
     def batch(rows: DataFrame, _: int) -> None:
         spark = rows.sparkSession
+        rows = _kept(rows)
+        as_of = rows.agg(F.max("loaded_at")).first()[0] or start
         fact = marts.fact_events(dedup_by_key(rows), as_of).select(*TABLES["fact_events"].names)
         tables.upsert_table(
-            fact, paths.table("fact_events"), "event_id", "event_date", TABLES["fact_events"]
+            fact,
+            paths.table("fact_events"),
+            "event_id",
+            "event_date",
+            TABLES["fact_events"],
+            fixed_partitions,
+            cluster=("repo_key", "event_key"),
         )
         actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), rows, as_of)
         tables.overwrite_table(actors.select(*TABLES["dim_actor"].names), paths.table("dim_actor"))

@@ -61,20 +61,23 @@ DUP = doubled("ev", "dup")
 
 LH = """lh AS (
   SELECT strftime(hr, '%Y-%m-%d-') || hour(hr) || '.json.gz' AS file_name,
-    hr + INTERVAL 65 MINUTE AS load_ts, hr AS file_hour, row_count,
+    hr + CASE WHEN attempt = 1 THEN INTERVAL 65 MINUTE ELSE INTERVAL 95 MINUTE END AS load_ts, hr AS file_hour, row_count,
     row_count * 300 AS file_size_bytes, status,
     CASE WHEN status <> 'SUCCESS' THEN 'timeout' END AS error_message,
     CASE WHEN status = 'RETRY' THEN h % 3 ELSE 0 END AS retry_count,
     CASE WHEN status <> 'FAILED' THEN CAST(row_count % 17 AS DOUBLE) + 0.25 END AS load_duration_seconds,
     'loader' AS loaded_by
   FROM (
-    SELECT hr, h, status, CASE WHEN status = 'FAILED' THEN 0 ELSE n END AS row_count
+    SELECT hr, h, attempt, status, CASE WHEN status = 'FAILED' THEN 0 ELSE n END AS row_count
     FROM (
-      SELECT hr, h, n, CASE WHEN h % 31 = 0 THEN 'FAILED' WHEN h % 41 = 0 THEN 'RETRY' ELSE 'SUCCESS' END AS status
-      FROM (
+      SELECT hr, h, n, attempt,
+        CASE WHEN h % 31 = 0 AND attempt = 1 THEN 'FAILED' WHEN h % 41 = 0 AND h % 31 <> 0 THEN 'RETRY' ELSE 'SUCCESS' END AS status
+      FROM (VALUES (1), (2)) a(attempt), (
         SELECT date_trunc('hour', ts) AS hr, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) // 3600 AS h, count(*) AS n
         FROM events GROUP BY ALL)
-      WHERE h % 53 <> 0)))"""
+      WHERE h % 53 <> 0 AND (attempt = 1 OR h % 62 = 0))))"""
+
+LATEST = "la AS (SELECT * FROM lh QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY load_ts DESC) = 1)"
 
 FILES = """files AS (
   SELECT DISTINCT source_file AS file_name, date_trunc('hour', created_at) AS file_hour FROM ev)"""
@@ -304,9 +307,11 @@ CHECK_DIMS = check_row(
     "CASE WHEN x = 0 THEN 'OK' ELSE 'FAILED' END",
     "x",
     "CASE WHEN x > 0 THEN 'WARNING' END",
-    "x || ' dimension keys are missing'",
-    "SELECT count(*) FILTER (WHERE actor_key IS NULL) + count(*) FILTER (WHERE repo_key IS NULL) "
-    "+ count(*) FILTER (WHERE event_type_key IS NULL) AS x FROM fd",
+    "x || ' dimension keys or ids are missing'",
+    "SELECT " + " + ".join(
+        f"count(*) FILTER (WHERE {c} IS NULL)"
+        for c in ("actor_key", "repo_key", "event_type_key", "actor_id", "repo_id", "event_type")
+    ) + " AS x FROM fd",
 )
 
 
@@ -760,9 +765,10 @@ FROM lh WHERE load_duration_seconds IS NOT NULL GROUP BY status""",
     )
     failure_columns = "file_name, file_hour, status, error_message, retry_count, load_ts"
     o["retry_candidates"] = query(
-        f"""SELECT {failure_columns} FROM lh WHERE status IN ('FAILED', 'RETRY')
+        f"""SELECT {failure_columns} FROM la WHERE status IN ('FAILED', 'RETRY')
 AND load_ts >= {AS_OF} - INTERVAL 7 DAY""",
         LH,
+        LATEST,
     )
     o["load_freshness"] = query(
         f"""SELECT max(file_hour) AS latest_loaded_hour, max(load_ts) AS load_timestamp,
@@ -771,11 +777,12 @@ AND load_ts >= {AS_OF} - INTERVAL 7 DAY""",
         LH,
     )
     o["missing_hours"] = query(
-        f"""SELECT expected_hour, CASE WHEN lh.file_name IS NULL THEN 'MISSING' ELSE 'FAILED' END AS status,
-  lh.file_name, lh.row_count
-FROM ({hour_list('(SELECT min(file_hour) FROM lh)', AS_OF)}) LEFT JOIN lh ON lh.file_hour = expected_hour
-WHERE expected_hour >= {AS_OF} - INTERVAL 30 DAY AND (lh.file_name IS NULL OR lh.status <> 'SUCCESS')""",
+        f"""SELECT expected_hour, CASE WHEN la.file_name IS NULL THEN 'MISSING' ELSE 'FAILED' END AS status,
+  la.file_name, la.row_count
+FROM ({hour_list('(SELECT min(file_hour) FROM lh)', AS_OF)}) LEFT JOIN la ON la.file_hour = expected_hour
+WHERE expected_hour >= {AS_OF} - INTERVAL 30 DAY AND (la.file_name IS NULL OR la.status <> 'SUCCESS')""",
         LH,
+        LATEST,
     )
     o["unloaded_hours"] = query(
         f"""SELECT expected_hour AS hour_value, {FILE_OF_HOUR} AS expected_file_name
@@ -955,9 +962,10 @@ WHERE db.actor_key IS NULL AND fa.actor_key IS NOT NULL GROUP BY fa.actor_key"""
         *STAR,
     )
     o["run_dq_suite"] = query("SELECT * FROM suite", *SUITE)
-    runs = """SELECT count(*) AS n FROM (
+    runs = f"""SELECT count(*) AS n FROM (
     SELECT status, row_number() OVER (ORDER BY file_hour) - row_number() OVER (PARTITION BY status = 'FAILED' ORDER BY file_hour) AS island
-    FROM lh) WHERE status = 'FAILED' GROUP BY island"""
+    FROM (SELECT * FROM lh WHERE file_hour BETWEEN {AS_OF} - INTERVAL 7 DAY AND {AS_OF}
+      QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY load_ts DESC) = 1)) WHERE status = 'FAILED' GROUP BY island"""
     metrics = [
         ("data_freshness_hours", f"SELECT date_diff('hour', max(loaded_at), {AS_OF}) FROM ev", 2, 4),
         ("consecutive_load_failures", f"SELECT coalesce(max(n), 0) FROM ({runs})", 1, 3),

@@ -238,12 +238,28 @@ def record_loads(lake: Lake) -> DataFrame:
 
 
 def delete_file_events(lake: Lake) -> DataFrame:
-    named = {"raw_events": lake.raw.select("file_name"), "load_history": lake.audit.select("file_name")}
-    return loads.deletion_counts(named, "2024-01-15-3.json.gz")
+    """Delete one file of a stored lake; what was reported as deleted and what is left."""
+    raw_path, audit_path = lake.path("raw"), lake.path("audit")
+    loads.bulk_append(lake.raw, raw_path)
+    loads.append_audit(lake.audit, audit_path)
+    events, rows = loads.delete_file_events(lake.spark, raw_path, audit_path, "2024-01-15-3.json.gz")
+    left = [
+        (name, gone, tables.read_table(lake.spark, path, schema).count())
+        for name, gone, path, schema in (
+            ("raw_events", events, raw_path, RAW_EVENTS),
+            ("load_history", rows, audit_path, LOAD_HISTORY),
+        )
+    ]
+    return lake.spark.createDataFrame(left, "table_name STRING, deleted_rows BIGINT, kept_rows BIGINT")
 
 
 def archive_old_loads(lake: Lake) -> DataFrame:
-    kept, archived = loads.archive_old_loads(lake.audit, AS_OF, 10)
+    """Both tables after the archive job has run twice."""
+    audit_path, archive_path = lake.path("audit"), lake.path("archive")
+    loads.append_audit(lake.audit, audit_path)
+    for _ in range(2):
+        loads.archive_loads(lake.spark, audit_path, archive_path, AS_OF, 10)
+    kept, archived = (tables.read_table(lake.spark, p, LOAD_HISTORY) for p in (audit_path, archive_path))
     rows = _union(kept.withColumn("part", F.lit("kept")), archived.withColumn("part", F.lit("archived")))
     return rows.select("part", "file_name", "file_hour", "load_ts", "status", "row_count")
 
@@ -452,8 +468,11 @@ def stream_upsert_marts(lake: Lake) -> DataFrame:
 
 
 def run_pipeline(lake: Lake) -> DataFrame:
+    """The report of the second of two runs, whose loads have the earlier time."""
     paths = pipeline.LakePaths(lake.path("lake"))
-    return pipeline.run_pipeline(lake.spark, lake.landing, paths, AS_OF)
+    first = lake.files.where(F.hour("file_hour") % 2 == 0)
+    pipeline.run_pipeline(lake.spark, lake.landing, paths, AS_OF, first, test=False)
+    return pipeline.run_pipeline(lake.spark, lake.landing, paths, AS_OF - timedelta(hours=1))
 
 
 def scalar_semantics(lake: Lake) -> DataFrame:

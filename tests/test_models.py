@@ -135,6 +135,16 @@ def test_scd2_merge(spark):
     assert current.count() == 0
 
 
+def test_events_without_a_time_never_win_as_latest(spark):
+    rows = [("1", "PushEvent", 1, "old", None, 1, "o/a", None, "f", at(9)), ("2", "PushEvent", 1, "zoe", None, 1, "o/z", at(5), "f", at(6))]
+    events = spark.createDataFrame(rows, DDL)
+    actor, repo = staging.stg_actors(events).first(), staging.stg_repositories(events).first()
+    assert (actor.actor_login, actor.last_seen_at) == ("zoe", at(5))
+    assert (repo.repo_name, repo.last_event_at) == ("o/z", at(5))
+    alone = staging.stg_actors(events.where("event_id = '1'")).first()
+    assert (alone.actor_login, alone.last_seen_at) == ("old", None)
+
+
 def test_late_rows_do_not_flip_the_login_back(spark):
     early = spark.createDataFrame([("1", "PushEvent", 1, "old", None, 1, "o/r", at(3), "f", at(9))], DDL)
     newer = spark.createDataFrame([("2", "PushEvent", 1, "new", None, 1, "o/r", at(5), "f", at(6))], DDL)

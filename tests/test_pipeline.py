@@ -9,7 +9,7 @@ from conftest import at, event
 from eventlake.operators import quality
 from eventlake.plans import marts, pipeline, staging
 from eventlake.schemas import RAW_EVENTS
-from eventlake.sources import ndjson, tables
+from eventlake.sources import audit, ndjson, tables
 from eventlake.streaming import jobs
 
 STAGED = (
@@ -53,6 +53,88 @@ def test_two_runs_equal_one_full_build(spark, tmp_path, write_hour):
     assert {k: v for k, v in third.items() if k != "freshness"} == {k: v for k, v in second.items() if k != "freshness"}
 
 
+def fact_ids(spark, paths):
+    return bag(pipeline.read(spark, paths, "fact_events"), "event_id", "source_file")
+
+
+def run(spark, landing, paths, as_of):
+    return {r.step: r.status for r in pipeline.run_pipeline(spark, landing, paths, as_of, test=False).collect()}
+
+
+def test_loads_in_any_order_of_time_reach_the_fact(spark, tmp_path, write_hour):
+    landing = write_hour("2024-01-01-0.json.gz", hour(0, "1", "2"))
+    paths = pipeline.LakePaths(str(tmp_path / "lake"))
+    a, b, c, d = (f"2024-01-01-{h}.json.gz" for h in range(4))
+    run(spark, landing, paths, at(1, 5))
+    write_hour(b, hour(1, "3", "2"))
+    run(spark, landing, paths, at(1, 5))  # the same time
+    # the copy in the file whose name sorts first counts, as both were loaded at one time
+    assert fact_ids(spark, paths) == [("1", a), ("2", a), ("3", b)]
+    write_hour(c, hour(2, "4", "1"))
+    run(spark, landing, paths, at(1, 3))  # an earlier time: newer copies stay
+    assert fact_ids(spark, paths) == [("1", a), ("2", a), ("3", b), ("4", c)]
+    write_hour(d, hour(3, "5", "1"))
+    run(spark, landing, paths, at(1, 7))  # a later time: its copy wins
+    assert fact_ids(spark, paths) == [("1", d), ("2", a), ("3", b), ("4", c), ("5", d)]
+    staged = pipeline.read(spark, paths, "stg_events")
+    assert staged.count() == pipeline.read(spark, paths, "raw_events").count() == 8
+    assert staged.select("event_id").distinct().count() == 5
+
+
+def test_backfill_that_ends_after_an_hourly_run(spark, tmp_path, write_hour):
+    landing = write_hour("2024-01-01-1.json.gz", hour(1, "3"))
+    paths = pipeline.LakePaths(str(tmp_path / "lake"))
+    run(spark, landing, paths, at(1, 6))
+    write_hour("2024-01-01-0.json.gz", hour(0, "1", "2"))
+    raw, history = paths.table("raw_events"), paths.table("load_history")
+    audit.backfill(spark, landing, raw, history, at(1, 4), days=1)  # began before the hourly run
+    run(spark, landing, paths, at(1, 7))
+    assert [i for i, _ in fact_ids(spark, paths)] == ["1", "2", "3"]
+
+
+def test_file_loaded_again_with_other_content(spark, tmp_path, write_hour):
+    a, b = "2024-01-01-0.json.gz", "2024-01-01-1.json.gz"
+    landing = write_hour(a, hour(0, "1", "2", "3"))
+    write_hour(b, hour(1, "3", "4"))
+    paths = pipeline.LakePaths(str(tmp_path / "lake"))
+    run(spark, landing, paths, at(1, 5))
+    raw, history, entries = (paths.table(t) for t in ("raw_events", "load_history", pipeline.LEDGER))
+    audit.delete_file_events(spark, raw, history, a, entries)
+    write_hour(a, [event("1", login="eve", at="2024-01-02T00:10:00Z"), *hour(0, "9")])
+    run(spark, landing, paths, at(1, 5))  # with the time of the first load
+    assert fact_ids(spark, paths) == [("1", a), ("3", b), ("4", b), ("9", a)]
+    rows = bag(pipeline.read(spark, paths, "fact_events").where("event_id = '1'"), "event_date", "actor_login")
+    assert [(str(d), who) for d, who in rows] == [("2024-01-02", "eve")]
+    audit.delete_file_events(spark, raw, history, b, entries)
+    write_hour(b, [""])
+    run(spark, landing, paths, at(1, 8))
+    assert [i for i, _ in fact_ids(spark, paths)] == ["1", "9"]
+
+
+def test_processed_folders_are_not_opened(spark, tmp_path, write_hour):
+    landing = write_hour("2024-01-01-0.json.gz", hour(0, "1"))
+    paths = pipeline.LakePaths(str(tmp_path / "lake"))
+    run(spark, landing, paths, at(1, 5))
+    for table, column in (("raw_events", "file_name"), ("stg_events", "source_file")):
+        for part in (tmp_path / "lake" / table / f"{column}=2024-01-01-0.json.gz").glob("*.parquet"):
+            part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+            part.write_bytes(b"no parquet")
+    write_hour("2024-01-01-1.json.gz", hour(1, "2"))
+    raw, history = paths.table("raw_events"), paths.table("load_history")
+    audit.load_once(spark, landing, raw, history, at(1, 6))
+    pipeline.build_staging(spark, paths)
+    pipeline.build_fact(spark, paths, at(1, 6))
+    assert [i for i, _ in fact_ids(spark, paths)] == ["1", "2"]
+
+
+def test_unreadable_file_shows_in_the_report(spark, tmp_path, write_hour):
+    landing = write_hour("2024-01-01-0.json.gz", hour(0, "1"))
+    with open(f"{landing}/2024-01-01-1.json.gz", "wb") as handle:
+        handle.write(b"this is not gzip")
+    steps = run(spark, landing, pipeline.LakePaths(str(tmp_path / "lake")), at(1, 2))
+    assert steps["ingest"] == "failed" and steps["fact"] == "done"
+
+
 def test_stream_ingest_takes_new_files_only(spark, tmp_path, write_hour):
     landing = write_hour("2024-01-01-0.json.gz", hour(0, "1", "2") + ["", "{"])
     raw_path, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")

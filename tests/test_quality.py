@@ -6,6 +6,7 @@ from collections import Counter
 from datetime import timedelta
 
 from conftest import at
+from pyspark.sql import functions as F
 
 from eventlake.operators import analytics, monitoring, quality
 
@@ -131,8 +132,42 @@ def test_longest_failure_run(spark):
     audit = history(
         spark, (0, "FAILED", 0), (1, "SUCCESS", 1), (2, "FAILED", 0), (3, "FAILED", 0), (4, "RETRY", 0), (5, "FAILED", 0)
     )
-    assert quality.longest_failure_run(audit).first().value == 2.0
-    assert quality.longest_failure_run(audit.where("status = 'SUCCESS'")).first().value == 0.0
+    assert quality.longest_failure_run(audit, at(1, 6)).first().value == 2.0
+    assert quality.longest_failure_run(audit.where("status = 'SUCCESS'"), at(1, 6)).first().value == 0.0
+    # failures of long ago do not count
+    assert quality.longest_failure_run(audit, at(20)).first().value == 0.0
+
+
+def test_missing_ids_raise_the_alert(spark):
+    rows = spark.createDataFrame([(str(i), "PushEvent", None, 1, at(1)) for i in range(40)], EVENTS)
+    columns = [F.lit("x").alias(c) for c in ("event_key", "actor_key", "repo_key", "event_type_key")]
+    row = quality.check_missing_dimensions(rows.select("*", *columns)).first()
+    assert (row.status, row.value, row.severity) == ("FAILED", 40.0, "WARNING")
+
+
+def test_a_day_without_events_is_an_alert(spark):
+    rows = [(str(i), "PushEvent", 1, 1, at(1 + i % 3)) for i in range(30)]
+    events = spark.createDataFrame(rows, EVENTS)
+    for day in (5, 25):  # the day after the outage began, and after more than a week of it
+        row = quality.check_event_volume(events, at(day, 2)).first()
+        assert (row.status, row.value, row.severity) == ("ANOMALY", 0.0, "WARNING")
+    assert quality.check_event_volume(events.limit(0), at(5)).first().severity == "WARNING"
+    assert quality.check_event_volume(events, at(1, 2)).first().severity is None  # it only began today
+
+
+def test_a_recovered_file_is_neither_missing_nor_retried(spark):
+    columns = "file_name STRING, file_hour TIMESTAMP_NTZ, load_ts TIMESTAMP_NTZ, status STRING, row_count BIGINT, error_message STRING, retry_count BIGINT"
+    audit = spark.createDataFrame(
+        [
+            ("a", at(1, 0), at(1, 1), "FAILED", 0, "x", 0),
+            ("a", at(1, 0), at(1, 2), "SUCCESS", 5, None, 1),
+            ("b", at(1, 1), at(1, 2), "SUCCESS", 5, None, 0),
+            ("b", at(1, 1), at(1, 3), "FAILED", 0, "y", 0),
+        ],
+        columns,
+    )
+    assert [(r.file_name, r.status) for r in monitoring.missing_hours(audit, at(1, 1, 30)).collect()] == [("b", "FAILED")]
+    assert [r.file_name for r in monitoring.retry_candidates(audit, at(1, 4)).collect()] == ["b"]
 
 
 def test_first_row_without_history_is_normal(spark):

@@ -106,3 +106,42 @@ def test_failing_upsert_keeps_the_old_partitions(spark, tmp_path):
     with pytest.raises(Exception, match="stop"):
         tables.upsert_table(broken, path, "k", "d", SCHEMA)
     assert content(spark, path) == [("a", 1, D1), ("b", 1, D2)]
+
+
+def test_interrupted_swap_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    put(spark, path, [("a", 1, D1), ("b", 1, D2), ("c", 1, D3)])
+    moves = []
+
+    def stop(spark, old, new):
+        if moves:
+            raise OSError("driver lost")
+        moves.append(new)
+        return rename(spark, old, new)
+
+    rename = tables.rename
+    monkeypatch.setattr(tables, "rename", stop)
+    with pytest.raises(OSError, match="driver lost"):
+        put(spark, path, [("a", 2, D1), ("b", 2, D2), ("c", 2, D1)])
+    monkeypatch.setattr(tables, "rename", rename)
+    assert content(spark, path) == [("a", 2, D1), ("b", 2, D2), ("c", 2, D1)]
+    put(spark, path, [("d", 1, D3)])
+    assert len(content(spark, path)) == 4
+
+
+def test_deletes_and_sorted_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, [(k, 1, D1) for k in "zyxw"] + [("a", 1, D2)], cluster=("k",))
+    gone = spark.createDataFrame([("y", 1, D1), ("a", 1, D2)], SCHEMA)
+    put(spark, path, [("b", 1, D1)], fixed_partitions=True, deletes=gone, cluster=("k",))
+    assert content(spark, path) == [(k, 1, D1) for k in "bwxz"]
+    for file in (tmp_path / "t" / "d=2024-01-01").glob("*.parquet"):
+        keys = [r.k for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+
+
+def test_partitions_are_read_by_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, [("a", 1, D1), ("b", 1, D2)])
+    assert sorted(map(tuple, tables.read_partitions(spark, path, SCHEMA, "d", [D2, D3]).collect())) == [("b", 1, D2)]
+    assert tables.read_partitions(spark, path, SCHEMA, "d", [D3]).count() == 0
