@@ -311,11 +311,12 @@ def star_join_rollup(
 ) -> DataFrame:
     """The ``k`` largest (date, type, category, login, bot, repository) combinations."""
     groups = ["event_date", "event_type", "event_category", "actor_login", "is_bot", "repo_name"]
+    counts = fact.groupBy("event_date", F.col("event_type").alias("of_type"), "actor_id", "repo_id").agg(_count().alias("n"))
+    types = event_types.select(F.col("event_type").alias("of_type"), "event_type", "event_category")
     return (
-        _counts_by(fact, "event_date", "event_type_key", "actor_key", "repo_key")
-        .join(event_types.select("event_type_key", "event_type", "event_category"), "event_type_key", "left")
-        .join(actors.select("actor_key", "actor_login", "is_bot"), "actor_key", "left")
-        .join(repositories.select("repo_key", "repo_name"), "repo_key", "left")
+        counts.join(types, "of_type", "left")
+        .join(actors.select("actor_id", "actor_login", "is_bot"), "actor_id", "left")
+        .join(repositories.select("repo_id", "repo_name"), "repo_id", "left")
         .groupBy(*groups)
         .agg(F.sum("n").alias("event_count"))
         .orderBy(*_largest_first("event_count", groups))
@@ -326,15 +327,21 @@ def star_join_rollup(
 def mart_top_repositories(
     fact: DataFrame, repositories: DataFrame, event_types: DataFrame, k: int = 20
 ) -> DataFrame:
-    """The ``k`` busiest repositories by name, from the marts."""
+    """The ``k`` busiest repositories by name, from the marts.
+
+    Joins and distinct counts go by natural ids; events without an actor are one contributor. Types count if the
+    dimension knows them.
+    """
+    counts = fact.groupBy("repo_id", "actor_id", F.col("event_type").alias("of_type")).agg(_count().alias("n"))
+    known = event_types.select(F.col("event_type").alias("of_type"), "event_type")
+    no_actor = F.max(F.col("actor_id").isNull().cast("bigint"))
     return (
-        _counts_by(fact, "repo_key", "actor_key", "event_type_key")
-        .join(repositories.select("repo_key", "repo_name"), "repo_key", "left")
-        .join(event_types.select("event_type_key", "event_type"), "event_type_key", "left")
+        counts.join(repositories.select("repo_id", "repo_name"), "repo_id", "left")
+        .join(known, "of_type", "left")
         .groupBy("repo_name")
         .agg(
             F.sum("n").alias("event_count"),
-            F.countDistinct("actor_key").alias("unique_contributors"),
+            (F.countDistinct("actor_id") + no_actor).alias("unique_contributors"),
             F.countDistinct("event_type").alias("event_types"),
         )
         .orderBy(*_largest_first("event_count", ["repo_name"]))
