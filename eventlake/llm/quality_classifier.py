@@ -169,18 +169,13 @@ def score_documents(docs: DataFrame, model: Model, fold_of: int = 3) -> DataFram
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def _keep(sent, least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                yield batch.filter(pa.array(model.scores(batch.column("text")) >= least))
-
-    return run
-
-
 def keep_good(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The documents that score at least ``least``, all their columns as they were."""
+    """The documents that score at least ``least``, all their columns as they were; only scores come back from Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.withColumn("text", F.col("text").cast("string"))
-    return rows.mapInArrow(_keep(sent, least), rows.schema)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = slices(pa.record_batch([texts], ["text"]), "text")
+        return pa.array(np.concatenate([np.empty(0), *(sent.value.scores(p.column("text")) for p in parts)]))
+
+    return docs.where(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) >= least)

@@ -46,7 +46,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
     )
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that a slice has at most ``max_bytes`` of text, or a single row beyond that."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin, total = 0, 0
@@ -94,8 +94,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     begins = inside & (first | ~before)
     ends = before & (first | ~inside)
     start, end = np.flatnonzero(begins), np.flatnonzero(ends)
-    counted = np.concatenate(([0], np.cumsum(begins[:-1])))
-    return start, end, np.diff(counted[offsets])
+    return start, end, np.diff(np.searchsorted(start, offsets))
 
 
 def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
