@@ -96,7 +96,8 @@ def match_spans(text: Column, rule: SecretRule) -> Column:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     if path_exists(spark, path):
         return spark.read.schema(LEDGER).parquet(path)
-    return spark.createDataFrame([], LEDGER)
+    columns = (column.split(" ", 1) for column in LEDGER.split(", "))
+    return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns])
 
 
 def scan_unseen(texts: DataFrame, ledger_path: str, rules: tuple[SecretRule, ...] = RULES) -> None:
