@@ -93,18 +93,21 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, rounds: i
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     sign = np.where(labels == 1, 1.0, -1.0)
     bound = np.where(labels == 1, cost * len(labels) / (2 * (labels == 1).sum()), cost * len(labels) / (2 * (labels == 0).sum()))
-    values = [ratio[p] / np.sqrt(max(1, len(p))) for p in rows]
-    squares = np.array([float(v @ v) for v in values]) + 1.0  # 1 for the bias
+    # values of a row are made when it is visited: they would be the largest thing here
+    scale = [1.0 / np.sqrt(max(1, len(p))) for p in rows]
+    squares = np.array([float(ratio[p] @ ratio[p]) * s * s for p, s in zip(rows, scale)]) + 1.0  # 1 for the bias
     weights, bias, dual = np.zeros(size), 0.0, np.zeros(len(rows))
     order = np.random.default_rng(0)
     for _ in range(rounds):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            gradient = sign[i] * (float(weights[rows[i]] @ values[i]) + bias) - 1.0
+            places = rows[i]
+            values = ratio[places] * scale[i]
+            gradient = sign[i] * (float(weights[places] @ values) + bias) - 1.0
             new = min(max(dual[i] - gradient / squares[i], 0.0), bound[i])
             step = (new - dual[i]) * sign[i]
             if step:
-                weights[rows[i]] += step * values[i]
+                weights[places] += step * values
                 bias += step
                 dual[i] = new
                 moved = max(moved, abs(step))
@@ -141,12 +144,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, fold_of: int = 3) -> Model:
     """Fit on the sample; rows are put in order first, so that reruns agree."""
     sample = labelled_sample(docs, labels, most, fold_of).select("doc_id", "quality", "text")
-    found = sample.mapInArrow(_features, "doc_id long, quality int, places array<int>").toArrow().sort_by("doc_id")
+    found = sample.mapInArrow(_features, "doc_id long, quality int, places array<int>").toArrow()
+    order = np.argsort(found.column("doc_id").to_numpy(), kind="stable")
     places = found.column("places").combine_chunks()
     flat = places.flatten().to_numpy()
     ends = np.concatenate(([0], np.cumsum(places.value_lengths().to_numpy()))) if len(places) else np.zeros(1, int)
-    rows = [flat[ends[i] : ends[i + 1]] for i in range(len(places))]
-    return fit(rows, found.column("quality").to_numpy())
+    rows = [flat[ends[i] : ends[i + 1]] for i in order]
+    return fit(rows, found.column("quality").to_numpy()[order])
 
 
 def _score(sent):
