@@ -10,7 +10,8 @@ with equal sets are one node. Then:
 2. Leaders. In each list every member is compared with the most central member, the one whose values most nodes share. Groups
    of thousands of copies are mostly settled by as many comparisons. Members linked to one leader have one label.
 3. The rest. Lists that still have several labels compare all members of different labels, in cells, so that long lists are
-   spread over tasks; a pair is looked at in its first common list only. Only pairs that pass the estimate become rows.
+   spread over tasks; a pair is looked at in its first common list only. Only pairs become rows that pass the estimate and a
+   certain bound on how many values they differ in, from parity bits of the full sets.
 4. A pair passes if its similarity, estimated from the sketch of the union, is within DEVIATIONS of the threshold; it is a
    link if the exact similarity of the full sets reaches it.
 5. Components of the links, by alternating large and small stars.
@@ -40,7 +41,8 @@ MISS = 1e-7
 DEVIATIONS = 5.0
 ROUNDS = 2
 CELL_ROWS = 256
-BITMAP_BITS = 1 << 27
+ODD_BITS = 512
+BITMAP_BITS = 1 << 26
 
 
 def shingles(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +83,18 @@ def _lists(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array
     return pa.ListArray.from_arrays(offsets, pa.array(values[place].view(np.int64)))
 
 
+def odd_sketches(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each set ODD_BITS bits: whether an odd number of its values falls into a bucket.
+
+    Two sets differ in at least as many values as their sketches differ in bits.
+    """
+    n = len(begins) - 1
+    owner = np.repeat(np.arange(n), np.diff(begins))
+    bucket = (values >> np.uint64(20)).astype(np.int64) & (ODD_BITS - 1)
+    odd = np.bincount(owner * ODD_BITS + bucket, minlength=n * ODD_BITS).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n, ODD_BITS), axis=1).view(np.int64)
+
+
 def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -88,9 +102,11 @@ def _sign(k: int):
                 values, begins = shingles(batch.column("text"))
                 names = [set_name(values[a:b]) if b > a else None for a, b in zip(begins[:-1], begins[1:])]
                 sketch = _lists(values, begins[:-1], np.minimum(begins[1:], begins[:-1] + k))
+                odd = pa.FixedSizeListArray.from_arrays(pa.array(odd_sketches(values, begins).reshape(-1)), ODD_BITS // 64)
                 yield pa.record_batch(
-                    [batch.column("doc_id"), pa.array(np.diff(begins)), pa.array(names, pa.binary()), sketch],
-                    ["doc_id", "n_shingles", "node", "sketch"],
+                    [batch.column("doc_id"), pa.array(np.diff(begins)), pa.array(names, pa.binary()), sketch,
+                     odd.cast(pa.list_(pa.int64()))],
+                    ["doc_id", "n_shingles", "node", "sketch", "odd"],
                 )
 
     return run
@@ -124,6 +140,15 @@ def close_sizes(a: Column, b: Column, threshold: float) -> Column:
     return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
 
 
+def may_be_close(a: Column, b: Column, threshold: float) -> Column:
+    """False for sets that differ in more values than sets of the similarity asked for can; never false for those.
+
+    ``a`` and ``b`` have ``n_shingles`` and ``odd``.
+    """
+    differ = sum(F.bit_count(a["odd"][i].bitwiseXOR(b["odd"][i])) for i in range(ODD_BITS // 64))
+    return differ <= (a["n_shingles"] + b["n_shingles"]) * ((1 - threshold) / (1 + threshold)) + 1e-9
+
+
 def inverted_lists(nodes: DataFrame, threshold: float, k: int) -> DataFrame:
     """``value, node, n_shingles, weight, prefix``: the lists of the rarest retained values.
 
@@ -193,7 +218,13 @@ class Linker:
         self.least = threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / k)
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` whose estimate passes."""
+        """Pairs ``a, b`` that the bound on differing values and the estimate let pass."""
+        facts = F.struct("n_shingles", "odd")
+        a = self.sketches.select(F.col("node").alias("a"), facts.alias("a_facts"))
+        b = self.sketches.select(F.col("node").alias("b"), facts.alias("b_facts"))
+        # the narrow bound first, so that wider columns travel for fewer pairs
+        close = may_be_close(F.col("a_facts"), F.col("b_facts"), self.threshold)
+        pairs = pairs.join(a, "a").join(b, "b").where(close).select("a", "b")
         a = self.sketches.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch"))
         b = self.sketches.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch"))
         found = pairs.join(a, "a").join(b, "b")
@@ -247,13 +278,14 @@ def remaining_pairs(lists: DataFrame, sketches: DataFrame, linker: Linker) -> Da
     A list has ``members / CELL_ROWS`` tiles; a cell joins two of them, so a long list is many cells.
     """
     tiles = F.ceil(F.col("members") / CELL_ROWS)
-    rows = lists.join(sketches.select("node", "sketch"), "node")
+    rows = lists.join(sketches.select("node", "sketch", "odd"), "node")
+    rows = rows.withColumn("facts", F.struct("n_shingles", "odd"))
     rows = rows.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     cell = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1),
         lambda other: F.struct(F.least("tile", other).alias("i"), F.greatest("tile", other).alias("j")),
     )
-    rows = rows.select("value", "node", "n_shingles", "label", "prefix", "sketch", "tile", F.explode(cell).alias("cell"))
+    rows = rows.select("value", "node", "n_shingles", "label", "prefix", "sketch", "facts", "tile", F.explode(cell).alias("cell"))
     a, b = rows.alias("a"), rows.alias("b")
     meets = (
         (F.col("a.value") == F.col("b.value"))
@@ -263,6 +295,7 @@ def remaining_pairs(lists: DataFrame, sketches: DataFrame, linker: Linker) -> Da
         & (F.col("a.cell.i") == F.least("a.tile", "b.tile"))
         & (F.col("a.cell.j") == F.greatest("a.tile", "b.tile"))
         & close_sizes(F.col("a.n_shingles"), F.col("b.n_shingles"), linker.threshold)
+        & may_be_close(F.col("a.facts"), F.col("b.facts"), linker.threshold)
         & (F.array_min(F.array_intersect("a.prefix", "b.prefix")) == F.col("a.value"))
         & (estimate(F.col("a.sketch"), F.col("b.sketch"), linker.k) >= linker.least)
     )
@@ -316,17 +349,20 @@ def classes(docs: DataFrame, threshold: float = 0.85, k: int = K) -> DataFrame:
         df.write.parquet(path)
         return spark.read.parquet(path)
 
-    signed = texts.mapInArrow(_sign(k), "doc_id long, n_shingles long, node binary, sketch array<bigint>")
+    signed = texts.mapInArrow(_sign(k), "doc_id long, n_shingles long, node binary, sketch array<bigint>, odd array<bigint>")
     signed = table(signed, "near-sketches")
     nodes = signed.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("first_id"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("sketch").alias("sketch"),
+        F.first("odd").alias("odd"),
     )
     nodes = table(nodes, "near-nodes")
     lists = table(inverted_lists(nodes, threshold, k), "near-lists")
     members = lists.select("node").distinct()
     wanted = table(nodes.join(members, "node", "left_semi"), "near-members")
     linker = Linker(
-        wanted.select("node", "sketch"),
+        wanted.select("node", "n_shingles", "sketch", "odd"),
         table(full_sets(texts, wanted.select("node", "first_id")).dropDuplicates(["node"]), "near-sets"),
         threshold,
         k,
@@ -343,7 +379,7 @@ def classes(docs: DataFrame, threshold: float = 0.85, k: int = K) -> DataFrame:
     named = nodes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = table(named.join(smallest, "root").select("node", "component_id"), "near-classes")
-    result = signed.drop("sketch").join(named, "node", "left")
+    result = signed.drop("sketch", "odd").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     result = result.withColumn("component_id", component)
     return result.select(

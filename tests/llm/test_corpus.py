@@ -239,6 +239,18 @@ def test_keep_one(spark, documents):  # noqa: F811
     assert kept.columns == docs.columns
 
 
+def test_odd_sketches_bound_the_difference():
+    random.seed(8)
+    sets = [np.unique(np.array([random.getrandbits(64) for _ in range(n)], np.uint64)) for n in (0, 1, 40, 900)]
+    sets += [np.unique(np.concatenate([sets[3][100:], sets[2]]))]
+    begins = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    bits = near_dedup.odd_sketches(np.concatenate(sets), begins).view(np.uint8)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            differ = int(np.unpackbits(bits[i] ^ bits[j]).sum())
+            assert differ <= len(np.setxor1d(a, b)) and (i != j or differ == 0)
+
+
 def test_least_shared_is_sound():
     for size in range(1, 80):
         assert 1 <= near_dedup.least_shared(min(size, 64), 0.85, 64) <= size
