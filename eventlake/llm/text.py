@@ -101,16 +101,17 @@ def word_hashes(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     """A 64-bit hash per word; bytes are taken column by column, so cost follows the bytes."""
     length = end - start
     out = length.astype(np.uint64)
-    order = np.argsort(-np.minimum(length, _LONG_WORD), kind="stable")
-    at, sizes = start[order], length[order]
+    clipped = np.minimum(length, _LONG_WORD + 1)  # longer words count as one byte too long, so that sizes are sorted
+    order = np.argsort(-clipped, kind="stable")
+    at, sizes = start[order], clipped[order]
     acc = np.zeros(len(order), dtype=np.uint64)
     usual = int(np.searchsorted(-sizes, -_LONG_WORD, side="left"))  # longer words come first
     with np.errstate(over="ignore"):
-        for j in range(min(_LONG_WORD, int(sizes[usual]) if usual < len(sizes) else 0)):
+        for j in range(int(sizes[usual]) if usual < len(sizes) else 0):
             n = int(np.searchsorted(-sizes, -j, side="left"))
             acc[usual:n] = (acc[usual:n] + low[at[usual:n] + j] + np.uint64(1)) * _STEP
     for i in range(usual):
-        word = low[at[i] : at[i] + sizes[i]].tobytes()
+        word = low[at[i] : end[order[i]]].tobytes()
         acc[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     with np.errstate(over="ignore"):
         out[order] = acc + out[order] * _MIX2
