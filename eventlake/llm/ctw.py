@@ -7,9 +7,12 @@ all depths are mixed by how well they coded the training texts. Block probabilit
 is counting: Spark counts all byte strings of length ``depth + 1`` of all training texts, and sums of these are
 the counts of every node.
 
-A context is a node if it has ``NODE_SHARE`` of the training bytes, which bounds a level to ``1 / NODE_SHARE`` nodes
-however large the corpus; rarer contexts of a node share one more child. So what is sent to the tasks has a proven
-size (nodes of 2 KB), while counts cover every training byte.
+Every context that occurs in a training text is a node, so the tree grows with the corpus and no evidence is left out. It is a
+table: byte strings are dealt out by the ``TOP + 1`` bytes before the coded one, so a task has whole subtrees and works
+through them block by block; what they add to the nodes of ``TOP`` bytes is summed by Spark, and these upper levels, which
+the alphabet bounds to 65,536 contexts, are weighted on the driver. A second pass over the subtrees goes downwards and gives the
+probability of every byte string that occurs in any text, held-out texts included. The ``HOT_GRAMS`` commonest are sent to
+the tasks that score; the others are joined. Both ways give the same score, so the bound only decides how many rows travel.
 
 Each text begins after ``depth`` marks 0xFF and ends with one; no UTF-8 text has that byte. The mark is coded
 too, so probabilities of all texts add up to 1, and the empty text has a score.
@@ -25,9 +28,11 @@ and scored. Without training texts all counts are 0. An empty table gives an emp
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +41,9 @@ from eventlake.llm.text import crc_bucket, fold, run_starts, slices, text_bytes,
 from eventlake.session import fresh_path
 
 DEPTH = 5
-NODE_SHARE = 1 / 32768
+TOP = 2
+BLOCK_GRAMS = 1 << 16
+HOT_GRAMS = 1 << 19
 HEAD_SHARE = 1 / (1 << 20)
 MARK = 0xFF
 SMOOTH = 0.1
@@ -52,9 +59,9 @@ class Tally:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held = 0
 
-    def add(self, values: np.ndarray) -> None:
+    def add(self, values: np.ndarray, weight: int = 1) -> None:
         found, counts = np.unique(values, return_counts=True)
-        self.parts.append((found, counts))
+        self.parts.append((found, counts * weight))
         self.held += len(found)
         if self.held > _MERGE_AT:
             self.merge()
@@ -109,11 +116,14 @@ def _counts(depth: int):
         words, grams, texts = Tally(), Tally(), 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                data, offsets = text_bytes(batch.column("text"))
+                held = batch.column("held_out")
+                data, offsets = text_bytes(batch.column("text").filter(held))
+                grams.add(gram_codes(*with_marks(data, offsets, depth), depth), 0)
+                data, offsets = text_bytes(batch.column("text").filter(pc.invert(held)))
                 low = fold(data)
                 words.add(word_hashes(low, *word_bounds(low, offsets)[:2]))
                 grams.add(gram_codes(*with_marks(data, offsets, depth), depth))
-                texts += batch.num_rows
+                texts += len(offsets) - 1
                 for kind, tally in ((_WORD, words), (_GRAM, grams)):
                     if tally.held > _MERGE_AT // 2:
                         yield rows(kind, *tally.take())
@@ -126,8 +136,12 @@ def _counts(depth: int):
 
 
 def count_corpus(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``kind, key, n`` over all texts: how often each word and each byte string of ``depth + 1`` occurs."""
-    counted = texts.select("text").mapInArrow(_counts(depth), "kind int, key long, n long")
+    """``kind, key, n``: how often each word and each byte string of ``depth + 1`` occurs.
+
+    Texts marked ``held_out`` (none without that column) add no counts; byte strings of theirs alone have n = 0.
+    """
+    held_out = F.col("held_out") if "held_out" in texts.columns else F.lit(False)
+    counted = texts.select("text", held_out.alias("held_out")).mapInArrow(_counts(depth), "kind int, key long, n long")
     path = fresh_path(texts.sparkSession, "lm-counts")
     counted.groupBy("kind", "key").agg(F.sum("n").alias("n")).write.parquet(path)
     return texts.sparkSession.read.parquet(path)
@@ -155,6 +169,180 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return half(zeros) + half(ones) - whole
 
 
+@dataclass
+class Level:
+    """Bit decisions of the contexts of one length, sorted by ``codes``: context, then the bits of the byte so far after a 1."""
+
+    codes: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    weighted: np.ndarray  # ln of the weighted probability
+    own: np.ndarray  # how much of it is the node's own estimate
+    one: np.ndarray  # the own estimate that a one follows
+
+
+def level(codes: np.ndarray, zeros: np.ndarray, ones: np.ndarray, product: np.ndarray | None) -> Level:
+    """A level from its counts and the sum of its children's ``weighted``; None for the deepest level."""
+    kt = log_kt(zeros, ones)
+    weighted = kt if product is None else np.logaddexp(kt, product) - _LN2
+    own = np.ones(len(kt)) if product is None else np.exp(kt - _LN2 - weighted)
+    return Level(codes, zeros, ones, weighted, own, (ones + 0.5) / (zeros + ones + 1.0))
+
+
+def code_mask(d: int) -> np.uint64:
+    """The bits of a code at level ``d``: ``d`` bytes of context and one of decision."""
+    return np.uint64((1 << (8 * (d + 1))) - 1)
+
+
+def decision_codes(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each byte string one after the other, and the bit that each took."""
+    byte, k = (grams & np.uint64(255))[:, None], np.arange(8, dtype=np.uint64)
+    prefix = (np.uint64(1) << k) | (byte >> (np.uint64(8) - k))
+    bits = (byte >> (np.uint64(7) - k)) & np.uint64(1)
+    return ((grams & ~np.uint64(255))[:, None] | prefix).reshape(-1), bits.reshape(-1).astype(np.int64)
+
+
+def sums(codes: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct codes, sorted, and the sum of each column of values per code."""
+    found, place = np.unique(codes, return_inverse=True)
+    return found, *(np.bincount(place, weights=v, minlength=len(found)) for v in values)
+
+
+def parent_sums(of: Level, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the level above level ``d``, their counts, and the sum of their children's ``weighted``."""
+    codes, zeros, ones, product = sums(of.codes & code_mask(d - 1), of.zeros, of.ones, of.weighted)
+    return codes, zeros.astype(np.int64), ones.astype(np.int64), product
+
+
+def subtrees(grams: np.ndarray, n: np.ndarray, depth: int) -> list[Level]:
+    """Levels ``min(TOP, depth) + 1`` to ``depth``, the deepest first, from all byte strings of whole subtrees."""
+    codes, bits = decision_codes(grams)
+    times = np.repeat(n, 8)
+    codes, zeros, ones = sums(codes, times * (1 - bits), times * bits)
+    levels = [level(codes, zeros.astype(np.int64), ones.astype(np.int64), None)]
+    for d in range(depth, min(TOP, depth) + 1, -1):
+        levels.append(level(*parent_sums(levels[-1], d)))
+    return levels
+
+
+def mix_level(of: Level, d: int, above: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of a level, the mixture of estimates down to it, and the share left to longer contexts."""
+    mixed, share = 0.0, 1.0
+    if above is not None:
+        place = np.searchsorted(above[0], of.codes & code_mask(d - 1))
+        mixed, share = above[1][place], above[2][place]
+    return of.codes, mixed + share * of.own * of.one, share * (1.0 - of.own)
+
+
+def gram_logs(grams: np.ndarray, mixtures: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 of the probability of each string's last byte after the others; ``mixtures`` from the root down.
+
+    A decision is mixed down to the longest context that has it; the share of longer contexts, which have no counts, goes to 1/2.
+    """
+    codes, bits = decision_codes(grams)
+    p, todo = np.full(len(codes), 0.5), np.arange(len(codes))
+    for d in range(len(mixtures) - 1, -1, -1):
+        known, mixed, share = mixtures[d]
+        if not len(known) or not len(todo):
+            continue
+        looked = codes[todo] & code_mask(d)
+        place = np.minimum(np.searchsorted(known, looked), len(known) - 1)
+        found = known[place] == looked
+        p[todo[found]] = mixed[place[found]] + 0.5 * share[place[found]]
+        todo = todo[~found]
+    p = np.where(bits == 1, p, 1.0 - p)
+    return np.log10(np.clip(p, 1e-300, 1.0)).reshape(-1, 8).sum(axis=1)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Byte strings and counts in blocks that hold whole subtrees; rows come sorted by ``part``."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def arrays(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= BLOCK_GRAMS:
+            table = pa.Table.from_batches(held)
+            part = table["part"].to_numpy()
+            cut = int(np.searchsorted(part, part[-1], side="left"))
+            if cut:
+                yield arrays(table.slice(0, cut))
+            held = table.slice(cut).combine_chunks().to_batches()
+            size = table.num_rows - cut
+    if size:
+        yield arrays(pa.Table.from_batches(held))
+
+
+def _upper_sums(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams, n in _blocks(batches):
+            seen = n > 0
+            if not seen.any():
+                continue
+            last = subtrees(grams[seen], n[seen], depth)[-1]
+            if depth > TOP:
+                codes, zeros, ones, product = parent_sums(last, TOP + 1)
+            else:
+                codes, zeros, ones, product = last.codes, last.zeros, last.ones, np.zeros(len(last.codes))
+            columns = [pa.array(c) for c in (codes.view(np.int64), zeros, ones, product)]
+            yield pa.record_batch(columns, ["code", "zeros", "ones", "product"])
+
+    return run
+
+
+def _all_logs(upper, depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for grams, n in _blocks(batches):
+            mixtures, seen = list(upper.value), n > 0
+            if depth > TOP and seen.any():
+                for d, of in enumerate(reversed(subtrees(grams[seen], n[seen], depth)), TOP + 1):
+                    mixtures.append(mix_level(of, d, mixtures[-1]))
+            logs = gram_logs(grams, mixtures)
+            yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(n), pa.array(logs)], ["key", "n", "log"])
+
+    return run
+
+
+def gram_table(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``key, n, log`` for every byte string of ``count_corpus``: log10 of the probability of its last byte after the others."""
+    spark = counts.sparkSession
+    part = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * min(TOP + 1, depth))) - 1))
+    grams = counts.where(F.col("kind") == _GRAM).select(F.col("key").alias("gram"), "n", part.alias("part"))
+    grams = grams.repartition("part").sortWithinPartitions("part")
+    rows = grams.mapInArrow(_upper_sums(depth), "code long, zeros long, ones long, product double")
+    rows = rows.groupBy("code").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "product")])
+    rows = rows.toArrow().sort_by("code")  # at most 255 decisions of contexts of TOP bytes
+    lowest = min(TOP, depth)
+    product = rows["product"].to_numpy() if depth > TOP else None
+    levels = [level(rows["code"].to_numpy().view(np.uint64), rows["zeros"].to_numpy(), rows["ones"].to_numpy(), product)]
+    for d in range(lowest, 0, -1):
+        levels.append(level(*parent_sums(levels[-1], d)))
+    mixtures: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for d, of in enumerate(reversed(levels)):
+        mixtures.append(mix_level(of, d, mixtures[-1] if mixtures else None))
+    sent = spark.sparkContext.broadcast(mixtures)
+    path = fresh_path(spark, "lm-grams")
+    grams.mapInArrow(_all_logs(sent, depth), "key long, n long, log double").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def least_hot(grams: DataFrame, most: int) -> int:
+    """A count that at most ``most`` byte strings reach; they are counted by the leading 7 bits of their counts."""
+    drop = F.greatest(F.length(F.bin("n")) - 7, F.lit(0))
+    floor = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), drop), drop)
+    total, least = 0, (1 << 62)
+    for bound, times in sorted(grams.groupBy(floor.alias("floor")).count().collect(), reverse=True):
+        total += times
+        if total > most:
+            break
+        least = bound
+    return least
+
+
 class Node:
     """Counts of all bit decisions of the contexts of one level: arrays of (contexts, 256), entry 0 unused."""
 
@@ -171,8 +359,11 @@ class Node:
 
 
 class Model:
-    """The trained tree as tables: ``child`` leads from a context to the one a byte longer, ``table`` has
-    log10 of the probability of each byte after the longest context that is a node."""
+    """A small tree in memory, with one more child per node for contexts it leaves out; ``gram_table`` is tested against it.
+
+    ``child`` leads from a context to the one a byte longer, ``table`` has log10 of the
+    probability of each byte after the longest context that is a node.
+    """
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], depth: int):
         self.depth = depth
@@ -243,8 +434,8 @@ def _byte_logs(one: np.ndarray) -> np.ndarray:
     return logs
 
 
-def train(counts: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE) -> Model:
-    """The model from ``count_corpus``; only nodes reach the driver, at most ``1 / node_share`` of a level."""
+def train(counts: DataFrame, depth: int = DEPTH, node_share: float = 0.0) -> Model:
+    """The tree in the driver's memory, for small corpora; nodes are contexts with ``node_share`` of the training bytes."""
     grams = counts.where(F.col("kind") == _GRAM).select(F.col("key").alias("gram"), "n")
     total = grams.agg(F.sum("n")).first()[0] or 0
     least = max(1, int(total * node_share))
@@ -270,13 +461,32 @@ def train(counts: DataFrame, depth: int = DEPTH, node_share: float = NODE_SHARE)
 
 _SCORED = (
     "row long, doc_id long, held_out boolean, n_bytes long, n_tokens long, known long, base double, score double, "
-    "key long, n long"
+    "kind int, key long, n long"
 )
 
 
-def _score(model, head):
+def _rare_rows(row: int, kind: int, number: np.ndarray, place: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+    """Rows ``row, kind, key, n`` for keys to be joined: ``keys[place]`` occurs in text ``number``."""
+    pairs, times = np.unique(number * len(keys) + place, return_counts=True)
+    m = len(pairs)
+    columns = [pa.array(row + pairs // max(1, len(keys)))]
+    columns += [pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+    columns += [pa.array(np.full(m, kind, dtype=np.int32))]
+    columns += [pa.array(keys[pairs % max(1, len(keys))].view(np.int64)), pa.array(times.astype(np.int64))]
+    return pa.record_batch(columns, [c.split()[0] for c in _SCORED.split(", ")])
+
+
+def _look_up(wanted: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value is among the sorted keys, and its log or 0."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    found = keys[place] == wanted
+    return found, np.where(found, logs[place], 0.0)
+
+
+def _score(hot, head, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, (keys, logs) = model.value, head.value
         row = TaskContext.get().partitionId() << 40
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -286,11 +496,13 @@ def _score(model, head):
                 n = batch.num_rows
                 number = np.repeat(np.arange(n), per_text)
                 found, inverse = np.unique(word_hashes(low, start, end), return_inverse=True)
-                place = np.minimum(np.searchsorted(keys, found), max(0, len(keys) - 1))
-                in_head = keys[place] == found if len(keys) else np.zeros(len(found), dtype=bool)
-                value = np.where(in_head, logs[place], 0.0) if len(keys) else np.zeros(len(found))
+                in_head, value = _look_up(found, *head.value)
                 known = np.bincount(number, weights=in_head[inverse], minlength=n)
                 base = np.bincount(number, weights=value[inverse], minlength=n)
+                grams = pa.array(gram_codes(*with_marks(data, offsets, depth), depth)).dictionary_encode()
+                codes, at = grams.dictionary.to_numpy(), grams.indices.to_numpy().astype(np.int64)
+                is_hot, value = _look_up(codes, *hot.value)
+                of_text = np.repeat(np.arange(n), np.diff(offsets) + 1)
                 empty = pa.nulls(n, pa.int64())
                 yield pa.record_batch(
                     [
@@ -301,33 +513,32 @@ def _score(model, head):
                         pa.array(per_text.astype(np.int64) + 1),
                         pa.array(known.astype(np.int64)),
                         pa.array(base),
-                        pa.array(tree.score(data, offsets)),
+                        pa.array(np.bincount(of_text, weights=value[at], minlength=n)),
+                        pa.nulls(n, pa.int32()),
                         empty,
                         empty,
                     ],
                     [c.split()[0] for c in _SCORED.split(", ")],
                 )
                 rare = ~in_head[inverse]
-                pairs, times = np.unique(number[rare] * len(found) + inverse[rare], return_counts=True)
-                m = len(pairs)
-                columns = [pa.array(row + pairs // max(1, len(found)))]
-                columns += [pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64())]
-                columns += [pa.nulls(m, pa.float64())] * 2
-                columns += [pa.array(found[pairs % max(1, len(found))].view(np.int64)), pa.array(times.astype(np.int64))]
-                yield pa.record_batch(columns, [c.split()[0] for c in _SCORED.split(", ")])
+                yield _rare_rows(row, _WORD, number[rare], inverse[rare], found)
+                rare = ~is_hot[at]
+                yield _rare_rows(row, _GRAM, of_text[rare], at[rare], codes)
                 row += n
 
     return run
 
 
-def score_documents(docs: DataFrame, depth: int = DEPTH, held_out_of: int = 10) -> DataFrame:
+def score_documents(docs: DataFrame, depth: int = DEPTH, held_out_of: int = 10, hot_grams: int = HOT_GRAMS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte`` per document.
 
     Trained on documents whose ``crc32(doc_id as text) mod held_out_of`` is not 0; all are scored.
     """
     spark = docs.sparkSession
     texts = texts_of(docs).withColumn("held_out", crc_bucket(F.col("doc_id"), held_out_of) == 0)
-    counts = count_corpus(texts.where(~F.col("held_out")), depth)
+    counts = count_corpus(texts, depth)
+    grams = gram_table(counts, depth)
+    cold = F.col("n") < least_hot(grams, hot_grams)
     words = counts.where(F.col("kind") == _WORD).select("key", F.col("n").alias("c"))
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     log_c = F.log10(F.col("c") + SMOOTH)
@@ -338,14 +549,22 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, held_out_of: int = 10)
         ends = (words.where(F.col("key") == _END_KEY).agg(F.sum("c")).first()[0]) or 0
     context = spark.sparkContext
     keys = head["key"].to_numpy(np.int64).view(np.uint64)
-    sent = (context.broadcast(train(counts, depth)), context.broadcast((keys, np.log10(head["c"].to_numpy(float) + SMOOTH))))
+    top = grams.where(~cold).select("key", "log").toArrow()  # at most hot_grams rows, keys of 48 bits
+    order = np.argsort(top["key"].to_numpy())
+    hot = context.broadcast((top["key"].to_numpy()[order].view(np.uint64), top["log"].to_numpy()[order]))
+    del top
+    sent = (hot, context.broadcast((keys, np.log10(head["c"].to_numpy(float) + SMOOTH))))
     path = fresh_path(spark, "lm-scores")
-    texts.mapInArrow(_score(*sent), _SCORED).write.parquet(path)
+    texts.mapInArrow(_score(*sent, depth), _SCORED).write.parquet(path)
     scored = spark.read.parquet(path)
-    rare = scored.where(F.col("key").isNotNull()).select("row", "key", "n")
+    rare = scored.where(F.col("kind") == _WORD).select("row", "key", "n")
     rare = rare.join(words.where(~frequent), "key").groupBy("row")
     rare = rare.agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * log_c).alias("more_base"))
-    documents = scored.where(F.col("key").isNull()).drop("key", "n").join(rare, "row", "left")
+    more = scored.where(F.col("kind") == _GRAM).select("row", "key", F.col("n").alias("times"))
+    more = more.join(grams.where(cold).select("key", "log"), "key").groupBy("row")
+    more = more.agg(F.sum(F.col("times") * F.col("log")).alias("more_score"))
+    documents = scored.where(F.col("kind").isNull()).drop("kind", "key", "n").join(rare, "row", "left").join(more, "row", "left")
+    documents = documents.withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
     known = F.col("known") + F.coalesce("more_known", F.lit(0)) + (1 if ends else 0)
     unknown = (F.col("n_tokens") - F.col("n_known")) * float(np.log10(SMOOTH))
     documents = documents.withColumn("n_known", known.cast("long"))

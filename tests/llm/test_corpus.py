@@ -142,6 +142,39 @@ def test_scores_and_base(spark, documents):  # noqa: F811
     assert (only_held_out.train_tokens, only_held_out.n_known) == (0, 0)
 
 
+@pytest.mark.parametrize(("depth", "block"), [(5, 1 << 16), (5, 7), (2, 1 << 16), (1, 3)])
+def test_byte_string_table_equals_the_tree_in_memory(spark, monkeypatch, depth, block):
+    monkeypatch.setattr(ctw, "BLOCK_GRAMS", block)
+    texts = [r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(12).collect()] + ["", None, "éé 日本"]
+    rows = [(i, t, i % 4 == 0) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    counts = ctw.count_corpus(frame, depth)
+    got = {r.key: r.log for r in ctw.gram_table(counts, depth).collect()}
+    model = ctw.train(counts, depth)
+    for _, text, _ in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        marked, places = ctw.with_marks(data, np.array([0, len(data)]), depth)
+        found = sum(got[int(code)] for code in ctw.gram_codes(marked, places, depth))
+        assert found == pytest.approx(model.score(data, np.array([0, len(data)]))[0], rel=1e-4)
+
+
+def test_a_rare_context_counts_however_large_the_corpus(spark, documents):  # noqa: F811
+    """With a share of all bytes as the least count, a context seen five times was not a node here."""
+    random.seed(5)
+    common = "".join(random.choice("abcdefghij ") for _ in range(600_000))
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(100) if not zlib.crc32(str(i).encode()) % 10]
+    rows = [(ids[0], common, "s")] + [(i, "qzxqvwkq", "s") for i in ids[1:6]] + [(held[0], "qzxqvwkq", "s"), (held[1], "zqqxwvkq", "s")]
+    docs = documents(rows)
+    got = {r.doc_id: r.score for r in ctw.score_documents(docs).collect()}
+    # each byte but the first few has been seen five times after its context, and nothing else has
+    assert got[held[0]] > -12 > got[held[1]]
+    # what is sent to the tasks and what is joined give the same scores
+    for hot in (0, 100):
+        again = {r.doc_id: r.score for r in ctw.score_documents(docs, hot_grams=hot).collect()}
+        assert again == pytest.approx(got, rel=1e-9)
+
+
 # --- vector search -----------------------------------------------------------------------------
 
 
