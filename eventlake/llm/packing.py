@@ -2,9 +2,9 @@
 
 Documents longer than the largest length are cut into pieces of that length and a rest, so nothing is lost.
 Pieces are packed in windows of a bounded number of pieces, in decreasing length: a piece goes into the open
-bin it fills best; if none has room, a bin opens. All lengths are optimised together: each window is packed
-once for every choice of lengths that may be opened, a bin opens at the length of least cost per unit
-among those that hold the piece, and after packing every bin is made as small as its contents allow. The cheapest
+bin it fills best; if none has room, a bin opens. All lengths are optimised together: pieces fall into classes by the smallest length that holds them, and
+each window is packed once for every choice of a length to open per class (six for three lengths); every subset of lengths is
+among these, as is every single length. After packing every bin is made as small as its contents allow. The cheapest
 result of the window counts. A window holds a bounded number of rows of one input partition, so memory is
 bounded and no document is shuffled; a task leaves at most its last bins less full than they might be.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -84,17 +85,16 @@ def best_fit(lengths: list[int], order: list[int], open_at: Callable[[int], int]
 
 
 def pack_window(lengths: list[int], options: Lengths) -> list[Bin]:
-    """The cheapest packing of a window over all choices of lengths that may be opened, bins downsized."""
+    """The cheapest packing of a window over all choices of the length that opens for each class of pieces, bins downsized."""
     order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     permitted = sorted(options.permitted)
     best: tuple[float, list[Bin]] | None = None
-    for most in range(len(permitted)):
+    classes = sorted({bisect_left(permitted, n) for n in lengths})
+    for opened in product(*[permitted[c:] for c in classes]):
+        at_class = dict(zip(classes, opened))
 
-        def open_at(need: int, most: int = most) -> int:
-            allowed = [n for i, n in enumerate(permitted) if n >= need and i <= most]
-            if not allowed:  # longer than all lengths of this choice
-                return options.smallest(need)
-            return min(allowed, key=lambda n: (options.cost(n) / n, -n))
+        def open_at(need: int, at_class: dict[int, int] = at_class) -> int:
+            return at_class[bisect_left(permitted, need)]
 
         bins = best_fit(lengths, order, open_at)
         for b in bins:

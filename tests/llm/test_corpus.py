@@ -65,6 +65,22 @@ def test_best_fit_places_and_downsizes():
     assert packing.pack_window([], options) == []
 
 
+@pytest.mark.parametrize("low, high", [(1300, 1300), (1100, 1365), (1, 1365), (1, 4096), (700, 2100)])
+def test_packing_is_no_dearer_than_any_single_length(low, high):
+    random.seed(low)
+    options = packing.Lengths()
+    lengths = [random.randint(low, high) for _ in range(600)]
+    found = sum(options.cost(b.capacity) for b in packing.pack_window(lengths, options))
+    order = sorted(range(600), key=lambda i: (-lengths[i], i))
+    for single in options.permitted:
+        bins = packing.best_fit(lengths, order, lambda n: max(single, options.smallest(n)))
+        assert found <= sum(options.cost(options.smallest(b.used)) for b in bins)
+
+
+def test_three_pieces_share_a_long_bin():
+    assert [(b.capacity, len(b.pieces)) for b in packing.pack_window([1300] * 3, packing.Lengths())] == [(4096, 3)]
+
+
 # --- language model ----------------------------------------------------------------------------
 
 
