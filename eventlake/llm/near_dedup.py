@@ -12,7 +12,7 @@ with equal sets are one node. Then:
 3. The rest. Lists that still have several labels compare all members of different labels, in cells, so that long lists are
    spread over tasks; a pair is looked at in its first common list only. Only pairs become rows that pass the estimate and a
    certain bound on how many values they differ in, from parity bits of the full sets.
-4. A pair passes if its similarity, estimated from the sketch of the union, is within DEVIATIONS of the threshold; it is a
+4. A pair passes if its similarity, estimated from the sketch of the union, is not below what MISS of true links fall short of; it is a
    link if the exact similarity of the full sets reaches it.
 5. Components of the links, by alternating large and small stars.
 
@@ -38,7 +38,6 @@ from eventlake.session import fresh_path
 WORDS = 5
 K = 64
 MISS = 1e-7
-DEVIATIONS = 5.0
 ROUNDS = 2
 CELL_ROWS = 256
 ODD_BITS = 512
@@ -112,6 +111,17 @@ def _sign(k: int):
     return run
 
 
+def tail_cut(threshold: float, k: int) -> int:
+    """The largest count that fewer than MISS of draws of ``k`` values at the threshold's similarity fall short of (binomial tail)."""
+    below, least = 0.0, 0
+    while least < k:
+        below += math.comb(k, least) * threshold**least * (1 - threshold) ** (k - least)
+        if below > MISS:
+            break
+        least += 1
+    return least
+
+
 def least_shared(size: int, threshold: float, k: int) -> int:
     """How many retained values a set with a sketch of ``size`` shares with any set of the threshold's similarity.
 
@@ -121,13 +131,7 @@ def least_shared(size: int, threshold: float, k: int) -> int:
     certain = math.ceil(threshold * size - 1e-9)
     if size <= threshold * k:
         return certain
-    below, least = 0.0, 0
-    while least < k:
-        below += math.comb(k, least) * threshold**least * (1 - threshold) ** (k - least)
-        if below > MISS:
-            break
-        least += 1
-    return max(1, min(certain, least))
+    return max(1, min(certain, tail_cut(threshold, k)))
 
 
 def estimate(a: Column, b: Column, k: int) -> Column:
@@ -215,7 +219,7 @@ class Linker:
 
     def __init__(self, sketches: DataFrame, sets: DataFrame, threshold: float, k: int):
         self.sketches, self.sets, self.threshold, self.k = sketches, sets, threshold, k
-        self.least = threshold - DEVIATIONS * math.sqrt(threshold * (1 - threshold) / k)
+        self.least = tail_cut(threshold, k) / k - 1e-9
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs ``a, b`` that the bound on differing values and the estimate let pass."""

@@ -300,6 +300,14 @@ def test_odd_sketches_bound_the_difference():
             assert differ <= len(np.setxor1d(a, b)) and (i != j or differ == 0)
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_estimate_drops_fewer_true_links_than_promised(threshold):
+    least = near_dedup.Linker(None, None, threshold, near_dedup.K).least
+    k = near_dedup.K
+    dropped = [i for i in range(k + 1) if i / k < least]
+    assert sum(math.comb(k, i) * threshold**i * (1 - threshold) ** (k - i) for i in dropped) <= 1e-7
+
+
 def test_least_shared_is_sound():
     for size in range(1, 80):
         assert 1 <= near_dedup.least_shared(min(size, 64), 0.85, 64) <= size
