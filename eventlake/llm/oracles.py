@@ -187,6 +187,66 @@ SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, min(r.other) AS
 FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id, z.n"""
 
 
+def code_compression(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """All entries are compared with all parts in every round."""
+
+    def assigned(book: str) -> str:
+        return f"""
+  SELECT row, vec_id, label, part, c, m % {entries} AS entry, m // {entries} AS away FROM (
+    SELECT a.row, any_value(a.vec_id) AS vec_id, any_value(a.label) AS label, a.part, any_value(a.c) AS c,
+      min({entries} * list_sum(list_transform(range(1, len(a.c) + 1), lambda i: (a.c[i] - b.c[i]) * (a.c[i] - b.c[i]))) + b.entry) AS m
+    FROM cut a JOIN {book} b ON b.part = a.part GROUP BY a.row, a.part)"""
+
+    steps = "".join(
+        f"""
+of{r} AS MATERIALIZED ({assigned(f"book{r}")}),
+mean{r} AS (
+  SELECT part, entry, list(floor_mean ORDER BY i) AS c FROM (
+    SELECT part, entry, i, CAST(sum(c[i]) - (((sum(c[i]) % count(*)) + count(*)) % count(*)) AS BIGINT) // count(*) AS floor_mean
+    FROM of{r}, range(1, len(c) + 1) r(i) GROUP BY part, entry, i) GROUP BY part, entry),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m ON m.part = b.part AND m.entry = b.entry),"""
+        for r in range(rounds)
+    )
+    return f"""
+WITH finite AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT row, vec_id, label, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS c FROM finite, range({parts}) p(part)),
+book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, c FROM cut WHERE row <= {entries}),{steps}
+coded AS MATERIALIZED ({assigned(f"book{rounds}")}),
+rows AS (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(label) AS label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+    CAST(sum(away) AS BIGINT) AS error FROM coded GROUP BY row),
+books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM rows, books"""
+
+
+def fill_in_middles() -> str:
+    def draw(i: int) -> str:
+        return f"CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}"
+
+    plain = "form = 'plain'"
+    return f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, n, {', '.join(map(draw, range(4)))} FROM texts),
+formed AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN {plain} THEN NULL ELSE CAST(a AS BIGINT) END AS prefix_chars,
+  CASE WHEN {plain} THEN NULL ELSE CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+    AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
+
 def llm_oracles() -> dict[str, str]:
     from eventlake.llm.queries import URL_RULES
 
@@ -196,4 +256,6 @@ def llm_oracles() -> dict[str, str]:
         "op5_exact_top_k": exact_top_k(),
         "op7_quality_rules": quality_filters(),
         "op8_near_duplicates": near_duplicates(),
+        "op12_code_compression": code_compression(),
+        "op13_fill_in_middle": fill_in_middles(),
     }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import ctw, mixing, near_dedup, packing, pivot_index, quality_classifier, quality_rules, secret_scan, token_counts, url_filter
+from eventlake.llm import (
+    ctw,
+    fill_in_middle,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    pivot_index,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    url_filter,
+    vector_codes,
+)
 from eventlake.llm.text import texts_of, word_count
 from eventlake.session import configure, fresh_path
 
@@ -118,6 +132,20 @@ def token_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def language_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs, ~language_id.held_out()))
+
+
+def code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def fill_in_middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = fill_in_middle.write_store(table(spark, sf_dir, "documents"), fresh_path(spark, "text-frames"))
+    return fill_in_middle.digests(fill_in_middle.transform(store))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filters,
@@ -130,4 +158,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": near_duplicates,
         "op9_source_mixing": source_mixing,
         "op10_token_counts": token_counting,
+        "op11_language_id": language_ids,
+        "op12_code_compression": code_compression,
+        "op13_fill_in_middle": fill_in_middles,
     }

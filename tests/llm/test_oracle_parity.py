@@ -26,5 +26,5 @@ def test_query_matches_oracle(spark, name):
 
 def test_one_query_per_operator():
     names = set(driver.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert "pipeline" in names
