@@ -189,6 +189,20 @@ def whole_rows(vectors: pa.Array, dim: int, scale: int) -> Iterator[tuple[np.nda
         yield at, np.array(exact, dtype=object).reshape(len(at), dim)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``most`` bytes, so that the steps of a search are shared by many rows."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _digits(value: int) -> list[int]:
     """Digits of 40 bits with the sign of the value, lowest first."""
     sign, rest, out = (-1 if value < 0 else 1), abs(value), []
@@ -206,7 +220,7 @@ def _sums(sent, scale: int):
         coder, width = Coder(books), books.width
         parts, entries = len(books.entries), len(books.entries[0])
         total = np.zeros((parts, entries, width + 1), dtype=object)
-        for batch in batches:
+        for batch in gathered(batches):
             for _, rows in whole_rows(batch.column("v"), parts * width, scale):
                 codes, _ = coder.assign(rows)
                 for part in range(parts):
@@ -231,7 +245,7 @@ def _codes(sent, scale: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = sent.value
         coder, names = Coder(books), [f"{i:02x}" for i in range(256)]
-        for batch in batches:
+        for batch in gathered(batches):
             codes, errors = [""] * batch.num_rows, [0] * batch.num_rows
             for at, rows in whole_rows(batch.column("v"), len(books.entries) * books.width, scale):
                 found, away = coder.assign(rows)
