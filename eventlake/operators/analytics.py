@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions import boundary_diff, percent, round_half_up, surrogate_key, trunc_ts
+from eventlake.operators.asof import count_in_force
 from eventlake.sources.ndjson import has_field
 
 
@@ -306,16 +307,31 @@ def _counts_by(fact: DataFrame, *keys: str) -> DataFrame:
     return counts.select(*columns, "n")
 
 
+def _with_actor(fact: DataFrame, actors: DataFrame, groups: list[str], attributes: list[str], at_event: bool) -> DataFrame:
+    """Counts per group, actor and actor attributes: of the current version, or of the one in force at the event.
+
+    Either way an event counts once, however many versions its actor has.
+    """
+    if at_event:
+        return count_in_force(fact, actors, groups, attributes)
+    counts = fact.groupBy(*groups, "actor_id").agg(_count().alias("n"))
+    current = actors.where("is_current").select("actor_id", *attributes)
+    return counts.join(current, "actor_id", "left").select(*groups, "actor_id", *attributes, "n")
+
+
 def star_join_rollup(
-    fact: DataFrame, actors: DataFrame, repositories: DataFrame, event_types: DataFrame, k: int = 10
+    fact: DataFrame, actors: DataFrame, repositories: DataFrame, event_types: DataFrame, k: int = 10, at_event: bool = False
 ) -> DataFrame:
-    """The ``k`` largest (date, type, category, login, bot, repository) combinations."""
+    """The ``k`` largest (date, type, category, login, bot, repository) combinations.
+
+    With ``at_event`` an actor has the login of the time of the event instead of the current one.
+    """
     groups = ["event_date", "event_type", "event_category", "actor_login", "is_bot", "repo_name"]
-    counts = fact.groupBy("event_date", F.col("event_type").alias("of_type"), "actor_id", "repo_id").agg(_count().alias("n"))
+    typed = fact.select("event_date", F.col("event_type").alias("of_type"), "actor_id", "repo_id", "created_at")
+    counts = _with_actor(typed, actors, ["event_date", "of_type", "repo_id"], ["actor_login", "is_bot"], at_event)
     types = event_types.select(F.col("event_type").alias("of_type"), "event_type", "event_category")
     return (
         counts.join(types, "of_type", "left")
-        .join(actors.select("actor_id", "actor_login", "is_bot"), "actor_id", "left")
         .join(repositories.select("repo_id", "repo_name"), "repo_id", "left")
         .groupBy(*groups)
         .agg(F.sum("n").alias("event_count"))
@@ -349,13 +365,16 @@ def mart_top_repositories(
     )
 
 
-def developer_daily(fact: DataFrame, actors: DataFrame) -> DataFrame:
-    """Events and repositories touched per day and developer."""
+def developer_daily(fact: DataFrame, actors: DataFrame, at_event: bool = False) -> DataFrame:
+    """Events and repositories touched per day and developer; an unknown repository is one repository.
+
+    With ``at_event`` a developer's login is that of the time of the event.
+    """
+    no_repo = F.max(F.col("repo_id").isNull().cast("bigint"))
     return (
-        _counts_by(fact, "event_date", "actor_key", "repo_key")
-        .join(actors.select("actor_key", "actor_login"), "actor_key", "left")
+        _with_actor(fact, actors, ["event_date", "repo_id"], ["actor_login"], at_event)
         .groupBy("event_date", "actor_login")
-        .agg(F.sum("n").alias("events"), F.countDistinct("repo_key").alias("repos_touched"))
+        .agg(F.sum("n").alias("events"), (F.countDistinct("repo_id") + no_repo).alias("repos_touched"))
     )
 
 
@@ -392,13 +411,14 @@ def type_trend(events: DataFrame, types: list[str]) -> DataFrame:
     return wanted.groupBy(F.to_date("created_at").alias("event_date")).agg(*counts)
 
 
-def bot_share(fact: DataFrame, actors: DataFrame) -> DataFrame:
-    """Events and actors of bots and humans, with their share of all events."""
-    per_actor = _counts_by(fact, "actor_key").join(
-        actors.select("actor_key", "is_bot"), "actor_key", "left"
-    )
-    groups = per_actor.groupBy(F.coalesce("is_bot", F.lit(False)).alias("is_bot")).agg(
-        F.sum("n").alias("event_count"), F.countDistinct("actor_key").alias("actor_count")
+def bot_share(fact: DataFrame, actors: DataFrame, at_event: bool = False) -> DataFrame:
+    """Events and actors of bots and humans, with their share of all events; events without an actor are one actor's.
+
+    With ``at_event`` an actor is a bot if it was one at the time of the event, so it can count on both sides.
+    """
+    no_actor = F.max(F.col("actor_id").isNull().cast("bigint"))
+    groups = _with_actor(fact, actors, [], ["is_bot"], at_event).groupBy(F.coalesce("is_bot", F.lit(False)).alias("is_bot")).agg(
+        F.sum("n").alias("event_count"), (F.countDistinct("actor_id") + no_actor).alias("actor_count")
     )
     total = _grand_total("event_count")
     return groups.withColumn("percent_of_events", percent(F.col("event_count"), total))

@@ -18,13 +18,12 @@ from eventlake.functions import (
 )
 from eventlake.operators.merge import newer_than_loaded, overlapping, upsert_by_key
 from eventlake.plans.staging import (
-    merge_actors,
     merge_repositories,
-    stg_actors,
     stg_repositories,
     with_actor_class,
 )
 from eventlake.schemas import DIM_ACTOR, FACT_EVENTS
+from eventlake.session import fresh_path
 from eventlake.sources import tables
 
 
@@ -185,18 +184,6 @@ def dim_actor_scd2(target: DataFrame, actors: DataFrame, changed_at: datetime) -
     return merged.select("v.*").unionByName(history)
 
 
-def dim_actor_from_batch(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
-    """Type-2 merge of newly loaded events, without reading the older ones again.
-
-    The current versions stand for all earlier events: merged with the staged actors of the batch
-    they give the snapshot that staging everything would give, even if the batch has late rows.
-    """
-    columns = ["actor_id", "actor_login", "actor_type", "first_seen_at", "last_seen_at"]
-    known = target.where("is_current").select(*columns)
-    snapshot = merge_actors(known.unionByName(stg_actors(events).select(*columns)))
-    return dim_actor_scd2(target, snapshot, as_of)
-
-
 def dim_repository_from_batch(target: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
     """Type-1 merge of newly loaded events into the repository dimension."""
     columns = ["repo_id", "repo_name", "first_event_at", "last_event_at"]
@@ -204,11 +191,11 @@ def dim_repository_from_batch(target: DataFrame, events: DataFrame, as_of: datet
     return dim_repository(merge_repositories(parts), as_of)
 
 
-def actor_history(events: DataFrame) -> DataFrame:
-    """All type-2 versions of every actor, rebuilt from the events themselves.
+def actor_runs(events: DataFrame) -> DataFrame:
+    """``actor_id, actor_login, actor_type, first_at, last_at``: what each actor was called, in the order of events.
 
-    A version starts with the event that changes login or type and ends where the next one starts.
-    Late and replayed events are harmless because the whole history is derived again.
+    A run ends with the last event before login or type change. Events without actor, login or time are left out. Of
+    events at one time the smaller login comes first.
 
     Events are first collapsed to one row per (actor, hour, login, type), which combines before the
     shuffle, so an actor holding a large share of the data costs a few rows per hour. Where the
@@ -216,50 +203,154 @@ def actor_history(events: DataFrame) -> DataFrame:
     they alternate go back to the events, and there the search stays inside (actor, hour).
     """
     seen = with_actor_class(events).where(
-        F.col("actor_id").isNotNull() & F.col("actor_login").isNotNull()
+        F.col("actor_id").isNotNull() & F.col("actor_login").isNotNull() & F.col("created_at").isNotNull()
     )
     seen = seen.select(
-        *_VERSION, "created_at", trunc_ts("hour", "created_at").alias("chunk")
-    )
-    runs = seen.groupBy(*_VERSION, "chunk").agg(
-        F.min("created_at").alias("created_at"), F.max("created_at").alias("last_at")
+        *_VERSION, F.col("created_at").alias("first_at"), F.col("created_at").alias("last_at"),
+        trunc_ts("hour", "created_at").alias("chunk"),
     )
+    pieces = seen.groupBy(*_VERSION, "chunk").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
     in_chunk = Window.partitionBy("actor_id", "chunk")
     earlier = in_chunk.orderBy(*_in_time()).rowsBetween(Window.unboundedPreceding, -1)
-    alternates = F.coalesce(F.max("last_at").over(earlier) >= F.col("created_at"), F.lit(False))
-    runs = runs.withColumn("alternates", alternates)
-    runs = runs.withColumn("alternates", F.bool_or("alternates").over(in_chunk))
+    alternates = F.coalesce(F.max("last_at").over(earlier) >= F.col("first_at"), F.lit(False))
+    pieces = pieces.withColumn("alternates", alternates)
+    pieces = pieces.withColumn("alternates", F.bool_or("alternates").over(in_chunk))
 
-    tangled = runs.where("alternates").select("actor_id", "chunk").distinct()
+    tangled = pieces.where("alternates").select("actor_id", "chunk").distinct()
     detail = seen.join(tangled, ["actor_id", "chunk"], "left_semi").select(*seen.columns)
-    starts = runs.where(~F.col("alternates")).select(*_VERSION, "created_at").unionByName(
-        _changes(detail, in_chunk.orderBy(*_in_time())).select(*_VERSION, "created_at")
+    clear = pieces.where(~F.col("alternates")).select(*_RUN)
+    return _runs(clear.unionByName(_runs(detail, "actor_id", "chunk").select(*_RUN)), "actor_id")
+
+
+_VERSION = ["actor_id", "actor_login", "actor_type"]
+_RUN = [*_VERSION, "first_at", "last_at"]
+
+
+def _in_time() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in ("first_at", "actor_login", "actor_type")]
+
+
+def _runs(pieces: DataFrame, *within: str) -> DataFrame:
+    """Put pieces of one login and type together if none of another lies between them."""
+    order = Window.partitionBy(*within).orderBy(*_in_time())
+    version = F.struct("actor_login", "actor_type")
+    starts = (~F.lag(version).over(order).eqNullSafe(version)).cast("int")
+    numbered = pieces.withColumn("_starts", starts).withColumn(
+        "_run", F.sum("_starts").over(order.rowsBetween(Window.unboundedPreceding, 0))
     )
+    keys = list(dict.fromkeys([*within, *_VERSION]))
+    runs = numbered.groupBy(*keys, "_run").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    return runs.drop("_run")
+
 
-    per_actor = Window.partitionBy("actor_id").orderBy(*_in_time())
-    starts = _changes(starts, per_actor)
-    next_start = F.lead("created_at").over(per_actor)
-    return starts.select(
+def _bounded(runs: DataFrame) -> DataFrame:
+    """A version holds from the first event of its run to the first event of the next run."""
+    next_start = F.lead("first_at").over(Window.partitionBy("actor_id").orderBy(*_in_time()))
+    return runs.select(
         surrogate_key("actor_id").alias("actor_key"),
-        *_VERSION,
-        F.col("created_at").alias("valid_from"),
+        *_RUN,
+        F.col("first_at").alias("valid_from"),
         F.coalesce(next_start, _ts(fixed.OPEN_END)).alias("valid_to"),
         next_start.isNull().alias("is_current"),
     )
 
 
-_VERSION = ["actor_id", "actor_login", "actor_type"]
+def actor_history(events: DataFrame) -> DataFrame:
+    """All type-2 versions of every actor, rebuilt from the events themselves; late and replayed events are harmless."""
+    return _bounded(actor_runs(events)).drop("first_at", "last_at")
 
 
-def _in_time() -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in ("created_at", "actor_login", "actor_type")]
+def _dim_rows(runs: DataFrame, as_of: datetime) -> DataFrame:
+    """Dimension rows of whole actors: all runs of an actor are there.
+
+    ``first_seen_at`` is the actor's first event, ``last_seen_at`` the last event of the version.
+    """
+    first_seen = F.min("first_at").over(Window.partitionBy("actor_id"))
+    return _bounded(runs).select(
+        "actor_key",
+        *_VERSION,
+        first_seen.alias("first_seen_at"),
+        F.col("last_at").alias("last_seen_at"),
+        boundary_diff("day", first_seen, F.col("last_at")).alias("days_active"),
+        (F.coalesce(F.col("actor_type"), F.lit("")) == "Bot").alias("is_bot"),
+        "valid_from",
+        "valid_to",
+        "is_current",
+        *_stamps(as_of),
+    ).select(*DIM_ACTOR.names)
+
+
+def dim_actor_history(events: DataFrame, as_of: datetime) -> DataFrame:
+    """Type-2 dimension in event time, from all events."""
+    return _dim_rows(actor_runs(events), as_of)
 
 
-def _changes(rows: DataFrame, window) -> DataFrame:
-    """Rows whose login or type differs from the row before them in the window."""
-    previous = F.lag(F.struct("actor_login", "actor_type")).over(window)
-    same = previous.eqNullSafe(F.struct("actor_login", "actor_type"))
-    return rows.withColumn("_same", same).where(~F.col("_same")).drop("_same")
+def _spans(pieces: DataFrame) -> DataFrame:
+    """Number the groups of pieces that overlap: ``span, lo, hi`` per piece and whether the group has several versions."""
+    order = Window.partitionBy("actor_id").orderBy(*_in_time())
+    reached = F.max("last_at").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("first_at") > reached, F.lit(True)).cast("int")
+    numbered = pieces.withColumn("_opens", opens).withColumn(
+        "span", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    group = Window.partitionBy("actor_id", "span")
+    version = F.struct("actor_login", "actor_type")
+    return numbered.select(
+        *_RUN,
+        F.min("first_at").over(group).alias("lo"),
+        F.max("last_at").over(group).alias("hi"),
+        (F.min(version).over(group) != F.max(version).over(group)).alias("mixed"),
+    )
+
+
+def dim_actor_from_batch(target: DataFrame, batch: DataFrame, events: DataFrame, as_of: datetime) -> DataFrame:
+    """Type-2 merge of newly loaded events in event time: the same versions as from all events, in any order of batches.
+
+    ``target`` is a dimension in event time, where ``valid_from`` and ``last_seen_at`` bound the run of a version. Only actors of
+    the batch are opened: their stored runs and the runs of the batch are spliced. Where these overlap and differ, a late
+    event splits a stored run and its ends alone do not tell where it goes on; there, and only there, the run is taken
+    again from ``events``, all staged events with the batch among them. Other actors' rows stay as they are. A repeated
+    batch changes nothing.
+    """
+    spark = target.sparkSession
+    path = fresh_path(spark, "actor-runs")
+    actor_runs(batch).write.parquet(path)
+    fresh = spark.read.parquet(path)
+    touched = fresh.select("actor_id").distinct()
+    stored = target.select(*_VERSION, F.col("valid_from").alias("first_at"), F.col("last_seen_at").alias("last_at"))
+    pieces = stored.join(touched, "actor_id", "left_semi").select(*_RUN).unionByName(fresh.select(*_RUN))
+    path = fresh_path(spark, "actor-pieces")
+    _spans(pieces).write.parquet(path)
+    spliced = spark.read.parquet(path)
+    clear = spliced.where(~F.col("mixed")).select(*_RUN)
+    mixed = spliced.where("mixed")
+    lo, hi = mixed.agg(F.min("lo"), F.max("hi")).first()
+    if lo is not None:
+        spans = mixed.select("actor_id", "lo", "hi").distinct()
+        within = events.where(F.col("created_at").between(_ts(lo), _ts(hi))).join(spans, "actor_id")
+        within = within.where(F.col("created_at").between(F.col("lo"), F.col("hi")))
+        clear = clear.unionByName(actor_runs(within.select(*events.columns)).select(*_RUN))
+    merged = _dim_rows(_runs(clear, "actor_id"), as_of)
+
+    # a version that is as it was keeps its clocks
+    same = [*_VERSION, "valid_from"]
+    on = [merged[c].eqNullSafe(F.col(f"old_{c}")) for c in same]
+    old = target.join(touched, "actor_id", "left_semi")
+    old = old.select(
+        *[F.col(c).alias(f"old_{c}") for c in same],
+        F.struct("first_seen_at", "last_seen_at", "valid_to").alias("old"),
+        F.col("created_ts").alias("old_created"),
+        F.col("updated_ts").alias("old_updated"),
+    )
+    unchanged = F.col("old").eqNullSafe(F.struct("first_seen_at", "last_seen_at", "valid_to"))
+    merged = merged.join(old, on, "left").withColumns(
+        {
+            "created_ts": F.coalesce("old_created", "created_ts"),
+            "updated_ts": F.when(unchanged, F.col("old_updated")).otherwise(F.col("updated_ts")),
+        }
+    )
+    untouched = target.join(touched, "actor_id", "left_anti")
+    return untouched.select(*DIM_ACTOR.names).unionByName(merged.select(*DIM_ACTOR.names))
 
 
 def dim_repository(repositories: DataFrame, as_of: datetime) -> DataFrame:

@@ -8,13 +8,14 @@ loads are not opened. A step that breaks off is repeated, which its merge does n
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.operators import quality
+from eventlake.operators import distinct, quality
 from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts, staging
 from eventlake.schemas import (
@@ -27,6 +28,7 @@ from eventlake.schemas import (
     STG_EVENTS,
     require_schema,
 )
+from eventlake.session import fresh_path
 from eventlake.sources import audit as loads
 from eventlake.sources import ledger, tables
 
@@ -95,25 +97,71 @@ def build_staging(spark: SparkSession, paths: LakePaths) -> None:
 
 
 def build_dimensions(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
-    """Merge the files not merged yet into the actor and repository dimensions.
+    """Merge the files not merged yet into the dimensions; files may come in any order and more than once.
 
-    Merges are minima, maxima and latest values, so files may come in any order and more than once; what only an
-    earlier load of a file had stays in the activity dates. Only the event type dimension reads all staged
-    events, because its distinct counts cannot be added up; it needs four narrow columns.
+    Actor versions are spliced in event time, repositories merge as minima, maxima and latest values, and the
+    event types come from stored counts and pairs. Older events are read only where a late event splits an actor's version.
+    A file that was loaded again may have taken events away, which no merge can undo: then actors and event types are built
+    from all staged events once.
     """
     work = _pending(spark, paths, "dimensions")
     if not work:
         return
-    fresh = _staged(spark, paths, _files(work))
-    actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), fresh, as_of)
-    tables.overwrite_table(require_schema(actors, DIM_ACTOR), paths.table("dim_actor"))
+    fresh, events = _staged(spark, paths, _files(work)), read(spark, paths, "stg_events")
+    again = any(load.again for load in work)
+    if again:
+        actors = marts.dim_actor_history(events, as_of)
+    else:
+        actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), fresh, events, as_of)
+    tables.overwrite_table(require_schema(actors, DIM_ACTOR), paths.table("dim_actor"), marts.write_dim_actor)
     repositories = marts.dim_repository_from_batch(read(spark, paths, "dim_repository"), fresh, as_of)
     tables.overwrite_table(require_schema(repositories, DIM_REPOSITORY), paths.table("dim_repository"))
-    types = marts.dim_event_type(staging.stg_event_types(read(spark, paths, "stg_events")), as_of)
+    types = marts.dim_event_type(update_event_types(spark, paths, fresh, _batch_of(work), events if again else None), as_of)
     tables.overwrite_table(require_schema(types, DIM_EVENT_TYPE), paths.table("dim_event_type"))
     _done(spark, paths, "dimensions", work)
 
 
+def _batch_of(work: list[ledger.Load]) -> str:
+    """A name for a set of loads, the same whenever the same loads are processed."""
+    return hashlib.sha256("\n".join(sorted(f"{x.file_name} {x.load_ts}" for x in work)).encode()).hexdigest()[:16]
+
+
+def update_event_types(
+    spark: SparkSession, paths: LakePaths, fresh: DataFrame, batch: str, everything: DataFrame | None = None
+) -> DataFrame:
+    """Add a batch of whole files to the stored counts and pairs; staged event types of all events so far.
+
+    Both tables have a folder per batch, which is written as a whole, so a repeated batch replaces its own rows. A batch that
+    broke off and comes again with more files has another name; its files tell which folder of counts to remove. Pairs
+    of such a folder are right all the same. ``everything`` rebuilds both tables from all events.
+    """
+    counts_path, pairs_path = paths.table("type_counts"), paths.table("type_entities")
+    counts, pairs = fresh_path(spark, "type-counts"), fresh_path(spark, "type-entities")
+    source = fresh if everything is None else everything
+    new = distinct.type_entities(source)
+    if everything is None:
+        known = tables.read_table(spark, pairs_path, distinct.TYPE_ENTITIES).where(F.col("batch") != batch)
+        new = distinct.unseen(new, known)
+    for frame, path in ((distinct.type_counts(source), counts), (new, pairs)):
+        frame.withColumn("batch", F.lit(batch)).hint("rebalance").write.parquet(path)
+    counts = spark.read.schema(distinct.TYPE_COUNTS).parquet(counts)
+    pairs = spark.read.schema(distinct.TYPE_ENTITIES).parquet(pairs)
+    if everything is None:
+        before = tables.read_table(spark, counts_path, distinct.TYPE_COUNTS).where(F.col("batch") != batch)
+        broken_off = before.join(counts.select("source_file").distinct(), "source_file", "left_semi")
+        for row in broken_off.select("batch").distinct().collect():
+            tables.delete_partition(spark, counts_path, "batch", row.batch)
+        tables.append_by_partition(counts, counts_path, "batch")
+        tables.append_by_partition(pairs, pairs_path, "batch")
+    else:
+        for frame, path in ((counts, counts_path), (pairs, pairs_path)):
+            tables.overwrite_table(frame, path, lambda df, folder: df.write.partitionBy("batch").parquet(folder))
+    return distinct.event_types(
+        tables.read_table(spark, counts_path, distinct.TYPE_COUNTS),
+        tables.read_table(spark, pairs_path, distinct.TYPE_ENTITIES),
+    )
+
+
 def build_fact(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
     """Merge the files not merged yet; afterwards the fact is what a full build would give.
 

@@ -270,11 +270,13 @@ def backfill(
 
 
 def backfill_outcomes(expected: DataFrame, before: DataFrame, done: DataFrame) -> DataFrame:
-    """Join the expected files with what was loaded before and what this run did."""
-    marks = before.select("file_name", F.lit(True).alias("was_loaded"))
-    joined = expected.join(marks, "file_name", "left").join(
-        done.select("file_name", "status", "row_count", "error_message"), "file_name", "left"
-    )
+    """Join the expected files with what was loaded before and what this run did: one row per expected file.
+
+    ``before`` may name a file once per load, ``done`` may have several attempts of a file; the newest one counts.
+    """
+    marks = before.select("file_name").distinct().withColumn("was_loaded", F.lit(True))
+    attempts = latest_attempt(done.select("file_name", "load_ts", "status", "row_count", "error_message"))
+    joined = expected.join(marks, "file_name", "left").join(attempts.drop("load_ts"), "file_name", "left")
     loaded = (F.col("status") == "SUCCESS") & (F.col("row_count") > 0)
     return joined.select(
         "file_name",

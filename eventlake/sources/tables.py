@@ -8,6 +8,8 @@ or write of the table finishes the plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,14 +120,18 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
-    """Replace a whole table with a frame that may be derived from it.
+def overwrite_table(df: DataFrame, path: str, write: Callable[[DataFrame, str], None] | None = None) -> None:
+    """Replace a whole table with a frame that may be derived from it; ``write`` lays out its files.
 
     The new table is complete before two renames put it in place of the old one, so a failing job
     never costs the old table.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(path + NEXT)
+    if write:
+        drop_path(spark, path + NEXT)
+        write(df, path + NEXT)
+    else:
+        df.write.mode("overwrite").parquet(path + NEXT)
     _recover(spark, path)
     if path_exists(spark, path):
         drop_path(spark, path + OLD)

@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.merge import dedup_by_key
@@ -22,6 +23,17 @@ from eventlake.session import fresh_path
 from eventlake.sources import audit, ndjson, tables
 
 
+ACTOR_LOG = T.StructType(
+    [
+        T.StructField("actor_id", T.LongType()),
+        T.StructField("actor_login", T.StringType()),
+        T.StructField("actor_type", T.StringType()),
+        T.StructField("created_at", T.TimestampNTZType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
 def _run(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> StreamingQuery:
     query = (
         stream.writeStream.foreachBatch(batch)
@@ -139,16 +151,20 @@ def stream_upsert_marts(
 ) -> StreamingQuery:
     """Maintain the fact and the actor and repository dimensions from a stream of staged events.
 
-    The fact is merged by event id, the dimensions with the entities of the batch; all of them give
-    the same tables when a batch is repeated. A batch counts as of its newest load, so that versions of an actor
-    that changes in several batches follow each other; ``as_of`` is for batches without load times.
+    The fact is merged by event id, actor versions are spliced in event time; all tables come out
+    the same when a batch is repeated or batches come in another order. What an actor was called when, without other columns, is
+    logged per batch in ``actor_log``, to be read again where a late event splits a version. Rows are stamped
+    with the batch's newest load, or with ``as_of`` in batches without load times.
     ``fixed_partitions`` is passed on to :func:`tables.upsert_table`.
     """
     start = as_of
+    log = paths.table("actor_log")
 
-    def batch(rows: DataFrame, _: int) -> None:
+    def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         rows = _kept(rows)
+        seen = rows.select(*ACTOR_LOG.names[:-1]).distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        tables.append_by_partition(seen.hint("rebalance"), log, "batch_id")
         as_of = rows.agg(F.max("loaded_at")).first()[0] or start
         fact = marts.fact_events(dedup_by_key(rows), as_of).select(*TABLES["fact_events"].names)
         tables.upsert_table(
@@ -160,8 +176,10 @@ def stream_upsert_marts(
             fixed_partitions,
             cluster=("repo_key", "event_key"),
         )
-        actors = marts.dim_actor_from_batch(read(spark, paths, "dim_actor"), rows, as_of)
-        tables.overwrite_table(actors.select(*TABLES["dim_actor"].names), paths.table("dim_actor"))
+        actors = marts.dim_actor_from_batch(
+            read(spark, paths, "dim_actor"), rows, tables.read_table(spark, log, ACTOR_LOG), as_of
+        )
+        tables.overwrite_table(actors.select(*TABLES["dim_actor"].names), paths.table("dim_actor"), marts.write_dim_actor)
         repositories = marts.dim_repository_from_batch(
             read(spark, paths, "dim_repository"), rows, as_of
         )

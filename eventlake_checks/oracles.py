@@ -118,6 +118,18 @@ def actors(source: str, name: str) -> str:
   WHERE rn = 1)"""
 
 
+# type-2 versions of actors in event time
+HISTORY = f"""SELECT {key('actor_id')} AS actor_key, actor_id, actor_login, actor_type, created_at AS valid_from,
+  coalesce(nxt, TIMESTAMP '2099-12-31') AS valid_to, nxt IS NULL AS is_current
+FROM (
+  SELECT *, lead(created_at) OVER (PARTITION BY actor_id ORDER BY created_at, actor_login, actor_type, event_id) AS nxt
+  FROM (
+    SELECT *, lag(actor_login || '|' || actor_type) OVER
+      (PARTITION BY actor_id ORDER BY created_at, actor_login, actor_type, event_id) AS prev
+    FROM (SELECT * REPLACE (coalesce(actor_type, CASE WHEN actor_login ILIKE '%bot%' THEN 'Bot' ELSE 'User' END) AS actor_type) FROM ev))
+  WHERE prev IS NULL OR prev <> actor_login || '|' || actor_type)"""
+
+
 def repos(source: str, name: str) -> str:
     return f"""{name} AS (
   SELECT repo_id, repo_name, split_part(repo_name, '/', 1) AS repo_owner,
@@ -515,12 +527,13 @@ LEFT JOIN (SELECT source_file AS file_name, count(*) AS n FROM ev GROUP BY ALL)
   (SELECT min(created_at) FROM ev) AS earliest_event, (SELECT max(created_at) FROM ev) AS latest_event,
   (SELECT count(*) FROM ev) > 0 AND (SELECT count(*) FROM lh WHERE status = 'SUCCESS') > 0 AS is_valid
 FROM (
-  SELECT wk.file_name, lh.row_count,
-    CASE WHEN lh.file_hour < {SPLIT} AND status = 'SUCCESS' THEN 'skipped'
-      WHEN lh.file_hour >= {SPLIT} AND status = 'SUCCESS' AND row_count > 0 THEN 'loaded'
-      WHEN lh.file_hour >= {SPLIT} AND status = 'FAILED' THEN 'failed' ELSE 'skipped' END AS outcome
-  FROM wk LEFT JOIN lh USING (file_name))""",
+  SELECT wk.file_name, la.row_count,
+    CASE WHEN la.file_hour < {SPLIT} AND status = 'SUCCESS' THEN 'skipped'
+      WHEN la.file_hour >= {SPLIT} AND status = 'SUCCESS' AND row_count > 0 THEN 'loaded'
+      WHEN la.file_hour >= {SPLIT} AND status = 'FAILED' THEN 'failed' ELSE 'skipped' END AS outcome
+  FROM wk LEFT JOIN la USING (file_name))""",
         LH,
+        LATEST,
         LAST_WEEK,
     )
     o["latest_events"] = query(
@@ -595,16 +608,21 @@ WHERE rn = 1""",
         dim_actor("sb", "db", "TIMESTAMP '2024-01-02'"),
     )
     o["dim_actor_scd2"] = query("SELECT * FROM scd", SA, DA, *SCD)
-    o["dim_actor_scd2_history"] = query(
-        f"""SELECT {key('actor_id')} AS actor_key, actor_id, actor_login, actor_type, created_at AS valid_from,
-  coalesce(nxt, TIMESTAMP '2099-12-31') AS valid_to, nxt IS NULL AS is_current
-FROM (
-  SELECT *, lead(created_at) OVER (PARTITION BY actor_id ORDER BY created_at, actor_login, actor_type, event_id) AS nxt
-  FROM (
-    SELECT *, lag(actor_login || '|' || actor_type) OVER
-      (PARTITION BY actor_id ORDER BY created_at, actor_login, actor_type, event_id) AS prev
-    FROM (SELECT * REPLACE (coalesce(actor_type, CASE WHEN actor_login ILIKE '%bot%' THEN 'Bot' ELSE 'User' END) AS actor_type) FROM ev))
-  WHERE prev IS NULL OR prev <> actor_login || '|' || actor_type)"""
+    o["dim_actor_scd2_history"] = query(HISTORY)
+    o["dim_actor_scd2_batches"] = query(
+        """SELECT v.*, first_seen_at, last_seen_at, date_diff('day', first_seen_at, last_seen_at) AS days_active, is_bot FROM (
+  SELECT h.actor_key, h.valid_from, any_value(h.actor_id) AS actor_id, any_value(h.actor_login) AS actor_login,
+    any_value(h.actor_type) AS actor_type, any_value(h.valid_to) AS valid_to, any_value(h.is_current) AS is_current
+  FROM hist h GROUP BY ALL) v
+JOIN (SELECT h.actor_key, h.valid_from, max(e.created_at) AS last_seen_at, any_value(h.actor_type) = 'Bot' AS is_bot,
+    (SELECT min(created_at) FROM ev f WHERE f.actor_id = any_value(h.actor_id)) AS first_seen_at
+  FROM hist h JOIN ev e ON e.actor_id = h.actor_id AND e.created_at >= h.valid_from AND e.created_at < h.valid_to
+  GROUP BY ALL) USING (actor_key, valid_from)""",
+        "hist AS (" + HISTORY + ")",
+    )
+    o["dim_event_type_batches"] = query("SELECT * FROM dt", ST, DT)
+    o["event_types_approximate"] = query(
+        "SELECT event_type, event_count, unique_actors, unique_repos, TRUE AS near_unique_actors, TRUE AS near_unique_repos FROM st", ST
     )
     o["dim_repository"] = query("SELECT * FROM dr", SR, DR)
     o["dim_event_type"] = query("SELECT * FROM dt", ST, DT)
@@ -691,6 +709,30 @@ WHERE created_at > TIMESTAMP '2024-01-30 12:00:00' GROUP BY event_type"""
 ORDER BY event_count DESC, 1, 2, 3, 4, 5, 6 LIMIT 10""",
         *STAR,
     )
+    at_event = """fv AS (
+  SELECT f.*, coalesce(v.actor_login, e.actor_login) AS login_then, coalesce(v.is_bot, e.is_bot) AS bot_then
+  FROM fa f ASOF LEFT JOIN {versions} v ON v.actor_id = f.actor_id AND f.created_at >= v.valid_from
+  LEFT JOIN (SELECT * FROM {versions} QUALIFY row_number() OVER (PARTITION BY actor_id ORDER BY valid_from) = 1) e
+    ON e.actor_id = f.actor_id)"""
+    over_scd = (*STAR, *(c for c in SCD if c not in STAR), at_event.format(versions="scd"))
+    o["star_join_rollup_at_event"] = query(
+        """SELECT event_date, dt.event_type, dt.event_category, login_then AS actor_login, bot_then AS is_bot, dr.repo_name,
+  count(*) AS event_count FROM fv LEFT JOIN dr USING (repo_key) LEFT JOIN dt USING (event_type_key) GROUP BY ALL
+ORDER BY event_count DESC, 1, 2, 3, 4, 5, 6 LIMIT 10""",
+        *over_scd,
+    )
+    o["developer_daily_at_event"] = query(
+        """SELECT event_date, login_then AS actor_login, count(*) AS events, count(DISTINCT repo_key) AS repos_touched
+FROM fv GROUP BY event_date, login_then""",
+        *over_scd,
+    )
+    o["bot_share_at_event"] = query(
+        f"""SELECT bot_then AS is_bot, count(*) AS event_count, count(DISTINCT actor_key) AS actor_count,
+  {pct('count(*)', '(SELECT count(*) FROM fa)')} AS percent_of_events FROM fv GROUP BY bot_then""",
+        *STAR,
+        "hist AS (SELECT *, actor_type = 'Bot' AS is_bot FROM (" + HISTORY + "))",
+        at_event.format(versions="hist"),
+    )
     o["mart_top_repositories"] = query(
         f"""SELECT dr.repo_name, count(*) AS event_count, count(DISTINCT fa.actor_key) AS unique_contributors,
   count(DISTINCT dt.event_type) AS event_types FROM {joined} GROUP BY dr.repo_name

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlake import functions as fn
 from eventlake.functions import fixed
-from eventlake.operators import analytics, merge, monitoring, quality
+from eventlake.operators import analytics, distinct, merge, monitoring, quality
 from eventlake.plans import marts, pipeline, staging
 from eventlake.schemas import (
     DIM_ACTOR,
@@ -278,7 +278,7 @@ def backfill(lake: Lake) -> DataFrame:
 def backfill_summary(lake: Lake) -> DataFrame:
     split = F.lit(_BACKFILL_SPLIT).cast("timestamp_ntz")
     before = loads.loaded_files(lake.audit.where(F.col("file_hour") < split))
-    done = lake.audit.where((F.col("file_hour") >= split) & (F.col("status") != "RETRY"))
+    done = lake.audit.where(F.col("file_hour") >= split)
     expected = hours.expected_hours(lake.spark, AS_OF, 7)
     outcomes = loads.backfill_outcomes(expected, before, done)
     return loads.backfill_summary(outcomes, lake.staged, lake.audit)
@@ -344,6 +344,53 @@ def dim_actor_incremental(lake: Lake) -> DataFrame:
     return marts.dim_actor_incremental(target, actors, AS_OF).drop(*_CLOCKS)
 
 
+_ORDER = (2, 0, 1)  # in which thirds of the hours arrive
+
+
+def _in_batches(lake: Lake) -> list[tuple[str, DataFrame]]:
+    """The staged files dealt out hour by hour, so that every batch but the first splits what is stored; one comes twice."""
+    hour = F.expr("unix_seconds(cast(created_at as timestamp)) div 3600")
+    return [(str(i), lake.staged.where(hour % 3 == i)) for i in (*_ORDER, _ORDER[1])]
+
+
+def dim_actor_scd2_batches(lake: Lake) -> DataFrame:
+    """The type-2 dimension after batches in another order than that of the events."""
+    path = lake.path("dim-actor")
+    for _, batch in _in_batches(lake):
+        target = tables.read_table(lake.spark, path, DIM_ACTOR)
+        merged = marts.dim_actor_from_batch(target, batch, lake.staged, AS_OF)
+        tables.overwrite_table(merged, path, marts.write_dim_actor)
+    return tables.read_table(lake.spark, path, DIM_ACTOR).drop(*_CLOCKS)
+
+
+def _event_type_tables(lake: Lake) -> pipeline.LakePaths:
+    paths = pipeline.LakePaths(lake.path("types"))
+    for name, batch in _in_batches(lake):
+        pipeline.update_event_types(lake.spark, paths, batch, name)
+    return paths
+
+
+def dim_event_type_batches(lake: Lake) -> DataFrame:
+    """The event type dimension from the stored counts and pairs of several batches."""
+    paths = _event_type_tables(lake)
+    counts = tables.read_table(lake.spark, paths.table("type_counts"), distinct.TYPE_COUNTS)
+    pairs = tables.read_table(lake.spark, paths.table("type_entities"), distinct.TYPE_ENTITIES)
+    return marts.dim_event_type(distinct.event_types(counts, pairs), AS_OF).drop(*_CLOCKS)
+
+
+def event_types_approximate(lake: Lake) -> DataFrame:
+    """Exact counts of a type with whether the merged sketches come within five per cent of the distinct ones."""
+    approximate = distinct.approximate_event_types(distinct.type_counts(lake.staged))
+    near = [
+        (F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= F.col(f"e.{c}") * 0.05).alias(f"near_{c}")
+        for c in ("unique_actors", "unique_repos")
+    ]
+    exact = staging.stg_event_types(lake.staged).alias("e")
+    return exact.join(approximate.alias("a"), F.col("a.event_type") == F.col("e.event_type")).select(
+        "e.event_type", "a.event_count", "e.unique_actors", "e.unique_repos", *near
+    )
+
+
 def mart_layout(lake: Lake) -> DataFrame:
     path = lake.path("fact")
     marts.write_fact(lake.fact, path)
@@ -554,6 +601,9 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         "dim_actor_incremental": dim_actor_incremental,
         "dim_actor_scd2": lambda k: k.scd2.drop(*_CLOCKS),
         "dim_actor_scd2_history": lambda k: marts.actor_history(k.staged),
+        "dim_actor_scd2_batches": dim_actor_scd2_batches,
+        "dim_event_type_batches": dim_event_type_batches,
+        "event_types_approximate": event_types_approximate,
         "dim_repository": lambda k: k.repositories.drop(*_CLOCKS),
         "dim_event_type": lambda k: k.types.drop(*_CLOCKS),
         "fact_push_events": lambda k: marts.fact_push_events(k.raw),
@@ -572,6 +622,13 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         "duplicate_events": lambda k: analytics.duplicate_events(k.doubled),
         "future_events": lambda k: analytics.future_events(k.staged, datetime(2024, 1, 30, 12)),
         "star_join_rollup": lambda k: analytics.star_join_rollup(k.fact, k.actors, k.repositories, k.types),
+        "star_join_rollup_at_event": lambda k: analytics.star_join_rollup(
+            k.fact, k.scd2, k.repositories, k.types, at_event=True
+        ),
+        "developer_daily_at_event": lambda k: analytics.developer_daily(k.fact, k.scd2, at_event=True),
+        "bot_share_at_event": lambda k: analytics.bot_share(
+            k.fact, marts.dim_actor_history(k.staged, AS_OF), at_event=True
+        ),
         "mart_top_repositories": lambda k: analytics.mart_top_repositories(
             k.fact, k.repositories, k.types
         ),

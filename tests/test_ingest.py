@@ -134,6 +134,21 @@ def test_backfill_outcomes(spark, tmp_path, write_hour):
     assert kinds["2024-01-01-3.json.gz"] == ("skipped", "missing", 0)
 
 
+def test_backfill_has_one_outcome_per_file(spark):
+    """Also for a file loaded twice before and for one that failed and then succeeded."""
+    hours = [(f"{k}.json.gz", at(1, k)) for k in range(4)]
+    expected = spark.createDataFrame(hours, "file_name STRING, expected_hour TIMESTAMP_NTZ")
+    before = spark.createDataFrame([("0.json.gz",), ("0.json.gz",)], "file_name STRING")
+    done = spark.createDataFrame(
+        [("1.json.gz", at(2), "FAILED", 0, "timeout"), ("1.json.gz", at(3), "SUCCESS", 5, None), ("2.json.gz", at(2), "RETRY", 0, "later")],
+        "file_name STRING, load_ts TIMESTAMP_NTZ, status STRING, row_count BIGINT, error_message STRING",
+    )
+    rows = audit.backfill_outcomes(expected, before, done).orderBy("file_name").collect()
+    assert [(r.file_name, r.outcome, r.row_count) for r in rows] == [
+        ("0.json.gz", "skipped", 0), ("1.json.gz", "loaded", 5), ("2.json.gz", "skipped", 0), ("3.json.gz", "skipped", 0),
+    ]
+
+
 def test_delete_file_events(spark, tmp_path, write_hour):
     landing = write_hour("2024-01-01-0.json.gz", [event("1"), event("2")])
     write_hour("2024-01-01-1.json.gz", [event("3")])

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import SF_DIR, at
 from pyspark.sql import functions as F
 
-from eventlake.operators import analytics, merge
-from eventlake.plans import marts, staging
+from eventlake.operators import analytics, asof, merge
+from eventlake.plans import marts, pipeline, staging
+from eventlake.schemas import DIM_ACTOR
+from eventlake.sources import tables
 from eventlake_checks import fixtures as fx
 
 DDL = (
@@ -85,9 +88,6 @@ def test_merging_any_split_equals_staging_everything(spark, seed):
     frames = [spark.createDataFrame(p, DDL) for p in parts]
     everything = spark.createDataFrame(rows, DDL)
 
-    def bag(df):
-        return sorted(tuple(r) for r in df.collect())
-
     actors = [staging.stg_actors(f).drop("days_active") for f in frames]
     merged = staging.merge_actors(actors[0].unionByName(actors[1]).unionByName(actors[2]).unionByName(actors[1]))
     assert bag(merged) == bag(staging.stg_actors(everything))
@@ -96,6 +96,10 @@ def test_merging_any_split_equals_staging_everything(spark, seed):
     assert bag(merged) == bag(staging.stg_repositories(everything))
 
 
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
 def versions(df):
     rows = df.orderBy("actor_id", "valid_from").collect()
     return [(r.actor_id, r.actor_login, r.valid_from, r.valid_to, r.is_current) for r in rows]
@@ -145,14 +149,155 @@ def test_events_without_a_time_never_win_as_latest(spark):
     assert (alone.actor_login, alone.last_seen_at) == ("old", None)
 
 
-def test_late_rows_do_not_flip_the_login_back(spark):
+def dimension(spark, tmp_path, batches, events):
+    path = str(tmp_path / "dim")
+    for batch in batches:
+        merged = marts.dim_actor_from_batch(tables.read_table(spark, path, DIM_ACTOR), batch, events, at(9))
+        tables.overwrite_table(merged, path, marts.write_dim_actor)
+    return tables.read_table(spark, path, DIM_ACTOR)
+
+
+def test_late_rows_do_not_flip_the_login_back(spark, tmp_path):
     early = spark.createDataFrame([("1", "PushEvent", 1, "old", None, 1, "o/r", at(3), "f", at(9))], DDL)
     newer = spark.createDataFrame([("2", "PushEvent", 1, "new", None, 1, "o/r", at(5), "f", at(6))], DDL)
-    target = marts.dim_actor_from_batch(
-        marts.dim_actor(staging.stg_actors(newer.limit(0)), at(6)), newer, at(6)
+    merged = dimension(spark, tmp_path, [newer, early], newer.unionByName(early))
+    rows = merged.orderBy("valid_from").collect()
+    assert [(r.actor_login, r.is_current, r.first_seen_at) for r in rows] == [("old", False, at(3)), ("new", True, at(3))]
+
+
+def renaming_events(seed, n):
+    """Actors that change login and type often, also within an hour and at equal times, and one dominant actor."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        actor = 1 if rng.random() < 0.4 else rng.choice([2, 3, None])
+        login = rng.choice(["ann", "bob", "bot-x", None]) if rng.random() < 0.3 else "ann"
+        when = at(1 + rng.randrange(2), rng.randrange(4), rng.choice([0, 10, 10, 20]))
+        rows.append((str(i), "PushEvent", actor, login, rng.choice([None, "User"]), 1, "o/r", when, "f", at(9)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_batches_in_any_order_give_the_same_history(spark, tmp_path, seed):
+    rows = renaming_events(seed, 90)
+    rng = random.Random(seed)
+    parts = [[], [], []]
+    for row in rows:
+        parts[rng.randrange(3)].append(row)
+    events = spark.createDataFrame(rows, DDL)
+    batches = [spark.createDataFrame(p, DDL) for p in parts]
+    found = dimension(spark, tmp_path, [*batches, batches[1]], events)
+    full = marts.dim_actor_history(events, at(9))
+    assert bag(found) == bag(full.select(*found.columns))
+    # by hand: the order of events, ties by login and type
+    classed = sorted(
+        (r[7], r[3], r[4] or ("Bot" if "bot" in r[3] else "User"), r[2]) for r in rows if r[2] is not None and r[3] is not None
     )
-    merged = marts.dim_actor_from_batch(target, early, at(9))
-    assert [(r.actor_login, r.is_current, r.first_seen_at) for r in merged.collect()] == [("new", True, at(3))]
+    expected = []
+    for actor in {c[3] for c in classed}:
+        last = None
+        for when, login, kind, _ in (c for c in classed if c[3] == actor):
+            if (login, kind) != last:
+                expected.append((actor, login, kind, when))
+            last = (login, kind)
+    assert sorted(expected) == sorted((r.actor_id, r.actor_login, r.actor_type, r.valid_from) for r in found.collect())
+
+
+def test_a_batch_leaves_other_actors_and_clocks_alone(spark, tmp_path):
+    def events(*rows):
+        full = [(str(i), "PushEvent", a, login, None, 1, "o/r", when, "f", at(9)) for i, (a, login, when) in enumerate(rows)]
+        return spark.createDataFrame(full, DDL)
+
+    first, second = events((1, "a", at(1)), (2, "b", at(1)), (2, "b", at(3))), events((2, "c", at(2)))
+    both = first.unionByName(second)
+    target = tables.read_table(spark, str(tmp_path / "none"), DIM_ACTOR)
+    one = marts.dim_actor_from_batch(target, first, both, at(10))
+    path = str(tmp_path / "one")
+    one.write.parquet(path)
+    two = marts.dim_actor_from_batch(spark.read.parquet(path), second, both, at(11))
+    clocks = [(r.actor_login, r.valid_from, r.valid_to, r.created_ts, r.updated_ts) for r in two.orderBy("actor_id", "valid_from").collect()]
+    far = datetime(2099, 12, 31)
+    assert clocks == [
+        ("a", at(1), far, at(10), at(10)),
+        ("b", at(1), at(2), at(10), at(11)),
+        ("c", at(2), at(3), at(11), at(11)),
+        ("b", at(3), far, at(11), at(11)),
+    ]
+
+
+def plain_versions(fact_rows, versions):
+    """The version in force per event by a loop."""
+    out = []
+    for actor, when, *groups in fact_rows:
+        mine = sorted(v for v in versions if v[0] == actor)
+        past = [v for v in mine if when is not None and v[1] <= when] or mine[:1]
+        out.append((*groups, actor, past[-1][3] if past else None))
+    return Counter(out)
+
+
+def test_counts_go_by_the_version_in_force(spark, monkeypatch):
+    rng = random.Random(3)
+    facts = []
+    for _ in range(900):
+        actor = 1 if rng.random() < 0.5 else rng.choice([2, 3, 4, None, 9])
+        when = None if rng.random() < 0.05 else at(1 + rng.randrange(3), rng.randrange(3), rng.choice([0, 15, 30]))
+        facts.append((actor, when, rng.choice(["x", "y"])))
+    versions = [
+        (1, at(1, 1), at(2), "one"), (1, at(2), at(2), "never"), (1, at(2), at(3, 1, 15), "two"), (1, at(3, 1, 15), at(30), "three"),
+        (2, at(2, 1, 30), at(30), "only"), (3, at(1), at(2, 1, 15), "p"), (3, at(2, 1, 15), at(30), "q"),
+    ]
+    fact = spark.createDataFrame(facts, "actor_id BIGINT, created_at TIMESTAMP_NTZ, g STRING")
+    dim = spark.createDataFrame(versions, "actor_id BIGINT, valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, actor_login STRING")
+    for most in (10, 1):
+        monkeypatch.setattr(asof, "MOST_SENT", most)
+        got = asof.count_in_force(fact, dim, ["g"], ["actor_login"])
+        counts = Counter({(r.g, r.actor_id, r.actor_login): 0 for r in got.collect()})
+        for r in got.collect():
+            counts[(r.g, r.actor_id, r.actor_login)] += r.n
+        assert counts == plain_versions([(a, w, g) for a, w, g in facts], versions)
+    empty = asof.count_in_force(fact, dim.limit(0), [], ["actor_login"])
+    assert sum(r.n for r in empty.collect()) == len(facts)
+    assert asof.count_in_force(fact.limit(0), dim, [], ["actor_login"]).collect() == []
+
+
+def test_reports_count_each_event_once_over_several_versions(spark):
+    events = fx.staged(spark, SF_DIR.replace("sf0.01", "sf0.001"))
+    fact, dim = marts.fact_events(events, at(31)), marts.dim_actor_history(events, at(31))
+    assert dim.where("NOT is_current").count() > 0
+    repos = marts.dim_repository(staging.stg_repositories(events), at(31))
+    types = marts.dim_event_type(staging.stg_event_types(events), at(31))
+    for at_event in (False, True):
+        for df, column in (
+            (analytics.star_join_rollup(fact, dim, repos, types, 10**6, at_event), "event_count"),
+            (analytics.developer_daily(fact, dim, at_event), "events"),
+            (analytics.bot_share(fact, dim, at_event), "event_count"),
+        ):
+            assert df.agg(F.sum(column)).first()[0] == fact.count()
+
+
+@pytest.mark.parametrize("seed", [21])
+def test_event_types_from_batches_equal_those_of_all_events(spark, tmp_path, seed):
+    rows = random_events(seed)
+    rng = random.Random(seed)
+    parts = [[], [], []]
+    for row in rows:
+        part = rng.randrange(3)
+        parts[part].append((*row[:8], f"file{part}-{rng.randrange(2)}", row[9]))
+    frames = [spark.createDataFrame(p, DDL) for p in parts]
+    paths = pipeline.LakePaths(str(tmp_path))
+    pipeline.update_event_types(spark, paths, frames[2], "c")
+    pipeline.update_event_types(spark, paths, frames[0], "a")
+    # broke off, then came again with more files under another name; and a batch that is simply repeated
+    for _ in range(2):
+        found = pipeline.update_event_types(spark, paths, frames[0].unionByName(frames[1]), "ab")
+    full = staging.stg_event_types(frames[0].unionByName(frames[1]).unionByName(frames[2]))
+    assert bag(found.select(*full.columns)) == bag(full)
+    # a file that was loaded again lost events
+    left = frames[0].unionByName(frames[2])
+    rebuilt = pipeline.update_event_types(spark, paths, frames[2], "d", left)
+    assert bag(rebuilt.select(*full.columns)) == bag(staging.stg_event_types(left))
+    again = pipeline.update_event_types(spark, paths, frames[1], "e")
+    assert bag(again.select(*full.columns)) == bag(full)
 
 
 def test_incremental_over_any_cut_equals_full_build(spark):
