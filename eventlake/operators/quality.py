@@ -405,13 +405,14 @@ class ColumnTest:
     values: tuple[str, ...] = ()
     parent: str | None = None
     severity: str = "warn"
+    among: str = "true"  # condition on the rows that are tested
 
 
 def declare(model: str, not_null: str, unique: str = "", accepted: dict | None = None,
-            parents: dict[str, str] | None = None) -> list[ColumnTest]:
-    """Declarations of one model; column lists are blank-separated."""
+            parents: dict[str, str] | None = None, unique_among: str = "true") -> list[ColumnTest]:
+    """Declarations of one model; column lists are blank-separated. ``unique_among`` limits the unique tests to some rows."""
     tests = [ColumnTest(model, c, "not_null") for c in not_null.split()]
-    tests += [ColumnTest(model, c, "unique") for c in unique.split()]
+    tests += [ColumnTest(model, c, "unique", among=unique_among) for c in unique.split()]
     tests += [ColumnTest(model, c, "accepted_values", tuple(v)) for c, v in (accepted or {}).items()]
     tests += [ColumnTest(model, c, "relationships", parent=p) for c, p in (parents or {}).items()]
     return tests
@@ -451,6 +452,8 @@ def declared_tests() -> list[ColumnTest]:
             "valid_to is_current created_ts updated_ts",
             "actor_key",
             {"actor_type": fixed.ACTOR_TYPES},
+            # all versions of an actor share its key, one of them is current
+            unique_among="is_current",
         ),
         *declare(
             "dim_repository",
@@ -485,7 +488,7 @@ def declared_tests() -> list[ColumnTest]:
 
 def failing_rows(test: ColumnTest, models: dict[str, DataFrame]) -> DataFrame:
     """The rows or values that fail one test."""
-    df = models[test.model]
+    df = models[test.model].where(test.among)
     if test.test == "not_null":
         return df.where(F.col(test.column).isNull())
     if test.test == "unique":
@@ -497,6 +500,34 @@ def failing_rows(test: ColumnTest, models: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test {test.test!r}")
 
 
+def _inline(model: DataFrame, structs: list[str]) -> DataFrame:
+    return model.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def _null_counts(model: DataFrame, tests: list[tuple[int, ColumnTest]]) -> DataFrame:
+    """``test_no, failures`` of the not_null tests of a model: one pass, one row."""
+    counts = model.selectExpr(*[f"count_if(({t.among}) AND `{t.column}` IS NULL) AS t{i}" for i, t in tests])
+    return _inline(counts, [f"struct({i} AS test_no, t{i} AS failures)" for i, _ in tests])
+
+
+def _key_values(model: DataFrame, tests: list[tuple[int, ColumnTest]], parent_of: list[tuple[int, ColumnTest]]) -> DataFrame:
+    """``test_no, value, here, there``: a row per value that a test of this model looks at, or that a child of it looks for."""
+
+    def quoted(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def entry(i: int, column: str, condition: str, here: int, there: int) -> str:
+        value = f"CASE WHEN {condition} THEN CAST(`{column}` AS STRING) END"
+        return f"struct({i} AS test_no, {value} AS value, {here}L AS here, {there}L AS there)"
+
+    entries = []
+    for i, t in tests:
+        odd = f" AND `{t.column}` NOT IN ({', '.join(map(quoted, t.values))})" if t.test == "accepted_values" and t.values else ""
+        entries.append(entry(i, t.column, f"({t.among}){odd}", 1, 0))
+    entries += [entry(i, t.column, "true", 0, 1) for i, t in parent_of]
+    return _inline(model, entries).where("value IS NOT NULL")
+
+
 def run_dq_suite(
     models: dict[str, DataFrame],
     tests: list[ColumnTest] | None = None,
@@ -504,48 +535,57 @@ def run_dq_suite(
 ) -> DataFrame:
     """Run declared tests: model, test, column, failures, severity, status.
 
-    All ``not_null`` tests of a model share one scan. With ``failures_path`` the rows behind every
-    failed test are written below it, one folder per test.
+    Two passes per model, whatever the number of tests. One counts nulls. The other sends the values of all its keys, as a
+    child and as a parent, to one grouping by (test, value) that all models share and that combines before the shuffle: a
+    value that occurs twice is not unique, one outside the list that occurs at all is not accepted, and one that occurs here but not
+    there has no parent. With ``failures_path`` the rows behind every failed test are written below it, one folder per test.
     """
     tests = [t for t in (declared_tests() if tests is None else tests) if t.model in models]
-    severities = {(t.model, t.test, t.column): t.severity for t in tests}
-    parts = []
-    for model in dict.fromkeys(t.model for t in tests):
-        columns = [t.column for t in tests if t.model == model and t.test == "not_null"]
-        if columns:
-            counts = not_null_failures(models[model], columns)
-            parts.append(_labelled(counts, model, "not_null", F.col("column_name")))
-    for t in tests:
+    numbered = list(enumerate(tests))
+    kinds = {"unique": [], "accepted_values": [], "relationships": []}
+    for i, t in numbered:
         if t.test != "not_null":
-            counts = failing_rows(t, models).agg(_count().alias("failures"))
-            parts.append(_labelled(counts, t.model, t.test, F.lit(t.column)))
-    severity = F.create_map(
-        *[x for key, s in severities.items() for x in (F.lit("/".join(key)), F.lit(s))]
+            if t.test not in kinds:
+                raise ValueError(f"unknown test {t.test!r}")
+            kinds[t.test].append(i)
+    counts, values = [], []
+    for name, model in models.items():
+        nulls = [(i, t) for i, t in numbered if t.model == name and t.test == "not_null"]
+        keys = [(i, t) for i, t in numbered if t.model == name and t.test != "not_null"]
+        parent_of = [(i, t) for i, t in numbered if t.parent == name]
+        if nulls:
+            counts.append(_null_counts(model, nulls))
+        if keys or parent_of:
+            values.append(_key_values(model, keys, parent_of))
+    if values:
+        here, there, no = F.col("here"), F.col("there"), F.col("test_no")
+        fails = (
+            F.when(no.isin(kinds["unique"]), here > 1)
+            .when(no.isin(kinds["relationships"]), (here > 0) & (there == 0))
+            .otherwise(here > 0)
+        )
+        grouped = _union(values).groupBy("test_no", "value").agg(F.sum("here").alias("here"), F.sum("there").alias("there"))
+        counts.append(grouped.groupBy("test_no").agg(F.count_if(fails).alias("failures")))
+    spark = next(iter(models.values())).sparkSession
+    listed = spark.createDataFrame(
+        [(i, t.model, t.test, t.column, t.severity) for i, t in numbered],
+        "test_no INT, model_name STRING, test_name STRING, column_name STRING, severity STRING",
     )
-    results = _union(parts)
-    level = severity[F.concat_ws("/", "model_name", "test_name", "column_name")]
-    results = results.select(
-        "*",
-        level.alias("severity"),
-        F.when(F.col("failures") == 0, "pass")
-        .when(level == "error", "error")
-        .otherwise("warn")
-        .alias("status"),
+    found = listed.join(_union(counts), "test_no", "left") if counts else listed.withColumn("failures", F.lit(0))
+    failures = F.coalesce("failures", F.lit(0)).cast("bigint")
+    results = found.select(
+        "model_name",
+        "test_name",
+        "column_name",
+        failures.alias("failures"),
+        "severity",
+        F.when(failures == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn").alias("status"),
     )
     if failures_path is not None:
         store_failures(models, tests, results, failures_path)
     return results
 
 
-def _labelled(counts: DataFrame, model: str, test: str, column: Column) -> DataFrame:
-    return counts.select(
-        F.lit(model).alias("model_name"),
-        F.lit(test).alias("test_name"),
-        column.alias("column_name"),
-        "failures",
-    )
-
-
 def store_failures(
     models: dict[str, DataFrame], tests: list[ColumnTest], results: DataFrame, path: str
 ) -> None:

@@ -261,7 +261,7 @@ def _suite() -> str:
         if t.test == "not_null":
             failing = f"SELECT 1 FROM {model} WHERE {column} IS NULL"
         elif t.test == "unique":
-            failing = f"SELECT 1 FROM {model} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
+            failing = f"SELECT 1 FROM {model} WHERE {t.among} AND {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1"
         elif t.test == "accepted_values":
             values = ", ".join(f"'{v}'" for v in t.values)
             failing = f"SELECT DISTINCT {column} FROM {model} WHERE {column} NOT IN ({values})"

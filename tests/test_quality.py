@@ -101,6 +101,39 @@ def test_suite_stores_failing_rows(spark, tmp_path):
     }
 
 
+def test_suite_counts_what_single_tests_find_in_two_scans_per_model(spark, tmp_path):
+    events = [(str(i % 40), ["PushEvent", "it's \\ odd", None][i % 3], i % 7 or None, i % 11, at(1 + i % 2)) for i in range(200)]
+    # stored, so that a scan of the plan is a read of the table
+    spark.createDataFrame(events, EVENTS).write.parquet(str(tmp_path / "events"))
+    spark.createDataFrame([(i, i in (2, None)) for i in (1, 1, 2, 2, 3, None)], "repo_id BIGINT, is_current BOOLEAN").write.parquet(
+        str(tmp_path / "repos")
+    )
+    models = {name: spark.read.parquet(str(tmp_path / name)) for name in ("events", "repos")}
+    models["empty"] = models["events"].limit(0)
+    tests = [
+        *quality.declare("events", "event_id event_type actor_id", "event_id actor_id", {"event_type": ["PushEvent", "it's \\ odd"]},
+                         {"repo_id": "repos"}),
+        quality.ColumnTest("events", "event_type", "accepted_values", ("PushEvent",), among="repo_id > 3"),
+        *quality.declare("repos", "repo_id", "repo_id", unique_among="is_current"),
+        *quality.declare("empty", "event_id", "event_id", parents={"repo_id": "repos"}),
+    ]
+    results = quality.run_dq_suite(models, tests)
+    expected = Counter((t.model, t.test, t.column, quality.failing_rows(t, models).count()) for t in tests)
+    assert Counter((r.model_name, r.test_name, r.column_name, r.failures) for r in results.collect()) == expected
+    plan = results._jdf.queryExecution().optimizedPlan().toString()
+    # the empty model reads the same files as the events
+    assert plan.count("Relation [") <= 2 * len(models)
+    assert quality.run_dq_suite(models, []).collect() == []
+
+
+def test_type_2_keys_are_unique_among_current_versions(spark):
+    dim = spark.createDataFrame([("k", False), ("k", True), ("j", True)], "actor_key STRING, is_current BOOLEAN")
+    test = [t for t in quality.declared_tests() if t.model == "dim_actor" and t.test == "unique"]
+    assert quality.run_dq_suite({"dim_actor": dim}, test).first().status == "pass"
+    twice = dim.withColumn("is_current", F.lit(True))
+    assert quality.run_dq_suite({"dim_actor": twice}, test).first().failures == 1
+
+
 def test_error_severity(spark):
     events = spark.createDataFrame([(None, "x", 1, 1, at(1))], EVENTS)
     test = quality.ColumnTest("events", "event_id", "not_null", severity="error")
