@@ -109,31 +109,35 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <=
 def quality_filters() -> str:
     rate = {
         "word_length": "100 * word_chars // greatest(n_words, 1)",
+        "length_class": "CASE WHEN n_words = 0 THEN 0 ELSE 8 * (length(bin(n_words)) - 1) + ((8 * n_words) >> (length(bin(n_words)) - 1)) - 8 END",
         "symbol_rate": "1000 * n_symbols // greatest(word_chars, 1)",
-        "dup_line_rate": "1000 * n_dup_lines // greatest(n_words, 1)",
+        "dup_line_rate": "1000 * n_dup_lines // greatest(n_lines, 1)",
         "repeat_rate": "1000 * n_repeat_words // greatest(n_words, 1)",
     }
     bucket = "(v >> greatest(length(bin(v)) - {b}, 0)) << greatest(length(bin(v)) - {b}, 0)".format(b=quality_rules.BITS)
-    measures = list(quality_rules.FLOORS)
-    values = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM rated" for m in measures)
+    values = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, CAST({m} AS BIGINT) AS v FROM rated" for m in rate)
+
+    def bound(limit: str) -> str:
+        side, measure = limit.split("_", 1)
+        fence = quality_rules.MEASURES[measure]
+        away = f"{fence.reach} * greatest(q3 - q1, {fence.slack})"
+        return f"max({f'q3 + {away}' if side == 'max' else f'q1 - {away}'}) FILTER (WHERE measure = '{measure}') AS {limit}"
 
     def fences(name: str, keys: str) -> str:
         group = f"{keys}, measure" if keys else "measure"
-        columns = ", ".join(
-            f"max(greatest(q3 + {quality_rules.REACH} * (q3 - q1), {floor})) FILTER (WHERE measure = '{m}') AS max_{m}"
-            for m, floor in quality_rules.FLOORS.items()
-        )
         select, by = (f"{keys}, ", f"GROUP BY {keys}") if keys else ("", "")
         return f"""{name} AS (
-  SELECT {select}max(n) AS n, {columns} FROM (
+  SELECT {select}max(n) AS n, {', '.join(map(bound, quality_rules.LIMITS))} FROM (
     SELECT {group}, count(*) AS n, quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM valued GROUP BY {group}) {by})"""
 
     chosen = ", ".join(
-        f"CAST(CASE WHEN f.n >= {quality_rules.MIN_ROWS} THEN f.max_{m} WHEN c.n >= {quality_rules.MIN_ROWS} THEN c.max_{m} "
-        f"ELSE w.max_{m} END AS BIGINT) AS max_{m}"
-        for m in measures
+        f"CAST(CASE WHEN f.n >= {quality_rules.MIN_ROWS} THEN f.{x} WHEN c.n >= {quality_rules.MIN_ROWS} THEN c.{x} "
+        f"ELSE w.{x} END AS BIGINT) AS {x}"
+        for x in quality_rules.LIMITS
+    )
+    within = " AND ".join(
+        f"{x.split('_', 1)[1]} {'<=' if x.startswith('max') else '>='} {x}" for x in quality_rules.LIMITS
     )
-    within = " AND ".join(f"{m} <= max_{m}" for m in measures)
     return rf"""
 WITH docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 words AS (
@@ -148,13 +152,13 @@ covered AS (
   SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, place + j AS place FROM twice, range(5) r(j)) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
 repeats AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
 counted AS (
   SELECT d.doc_id, lang, source,
     len(regexp_extract_all(text, '{WORD}')) AS n_words,
     length(regexp_replace(text, '{WS}', '', 'g')) AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-    coalesce(r.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+    coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
   FROM docs d LEFT JOIN repeats r ON r.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id),
 rated AS (SELECT *, {', '.join(f'{e} AS {m}' for m, e in rate.items())} FROM counted),
 valued AS (SELECT *, {bucket} AS b FROM ({values})),
@@ -164,7 +168,7 @@ judged AS (
   FROM rated r LEFT JOIN fine f ON f.lang IS NOT DISTINCT FROM r.lang AND f.source IS NOT DISTINCT FROM r.source
   LEFT JOIN coarse c ON c.lang IS NOT DISTINCT FROM r.lang CROSS JOIN whole w)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {within} AS kept,
-  {', '.join(f'max_{m}' for m in measures)} FROM judged"""
+  {', '.join(quality_rules.LIMITS)} FROM judged"""
 
 
 def near_duplicates(percent: int = 85) -> str:

@@ -106,7 +106,7 @@ def quality_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         "kept",
-        *[f"max_{m}" for m in quality_rules.FLOORS],
+        *quality_rules.LIMITS,
     )
 
 

@@ -79,6 +79,58 @@ def test_quality_rules_edges(spark, documents):
     assert quality_rules.judge(documents([])).count() == 0
 
 
+def prose(rng, n_words, letters=(4, 6), per_line=12, symbol_every=0):
+    """Random words; with ``symbol_every`` every so manyth word has a symbol."""
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(*letters))) for _ in range(n_words)]
+    words = [w + "#" if symbol_every and i % symbol_every == 0 else w for i, w in enumerate(words)]
+    return "\n".join(" ".join(words[i : i + per_line]) for i in range(0, n_words, per_line))
+
+
+def test_every_measure_rejects_what_the_base_rule_keeps_and_groups_differ(spark, documents):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, rng.randint(90, 110)), "plain") for i in range(120)]
+    # a noisy source: short and long words, symbols, texts of many lengths
+    rows += [(1000 + i, prose(rng, rng.choice([20, 90, 400, 1500]), rng.choice([(2, 4), (4, 8), (9, 14)]), symbol_every=rng.choice([3, 5, 40])), "noisy") for i in range(120)]
+    odd = {
+        "short words": prose(rng, 100, (1, 2)),
+        "long words": prose(rng, 100, (9, 12)),
+        "many words": prose(rng, 3000),
+        "few words": prose(rng, 12),
+        "symbols": prose(rng, 100, symbol_every=2),
+        "lines": "\n".join(line for _ in range(9) for line in (prose(rng, 10, per_line=99), "again")),
+        "repeats": " ".join([prose(rng, 50)] + [prose(rng, 10)] * 2 + [prose(rng, 50)]),
+    }
+    rows += [(2000 + k, text, "plain") for k, text in enumerate(odd.values())]
+    rows += [(3000 + k, text, "noisy") for k, text in enumerate(odd.values())]
+    judged = quality_rules.judge(documents(rows))
+    got = {r.doc_id: r for r in judged.collect()}
+    assert not any(got[2000 + k].base_failed for k in range(len(odd)))
+    named = {name: got[2000 + k] for k, name in enumerate(odd)}
+    reasons = {
+        name: {limit for limit in quality_rules.LIMITS
+               if (r[limit[4:]] > r[limit] if limit.startswith("max") else r[limit[4:]] < r[limit])}
+        for name, r in named.items()
+    }
+    assert reasons == {
+        "short words": {"min_word_length"},
+        "long words": {"max_word_length"},
+        "many words": {"max_length_class"},
+        "few words": {"min_length_class"},
+        "symbols": {"max_symbol_rate"},
+        "lines": {"max_dup_line_rate"},
+        "repeats": {"max_repeat_rate"},
+    }
+    assert not any(r.kept for r in named.values())
+    # the same documents are usual in the noisy source, but for those that repeat themselves
+    noisy = {name for k, name in enumerate(odd) if got[3000 + k].kept}
+    assert {"long words", "many words", "few words", "symbols"} <= noisy
+    assert all(got[i].kept for i in range(120))
+    fences = {r.source: r for r in judged.collect()}
+    assert fences["plain"].max_word_length < fences["noisy"].max_word_length
+    assert fences["plain"].max_symbol_rate < fences["noisy"].max_symbol_rate
+    assert fences["plain"].max_length_class < fences["noisy"].max_length_class
+
+
 def test_quality_sketches_merge_exactly(spark, documents):
     random.seed(1)
     rows = [(i, " ".join("x" * random.randint(1, 12) for _ in range(random.randint(5, 60))), f"s{i % 3}") for i in range(200)]
