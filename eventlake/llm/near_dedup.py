@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.text import combine, fold, mix, run_starts, slices, text_bytes, texts_of, word_bounds, word_hashes
 from eventlake.session import fresh_path
+from eventlake.sources.tables import drop_path
 
 WORDS = 5
 K = 64
@@ -210,8 +211,9 @@ def full_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     sent = spark.sparkContext.broadcast(bitmap)
     rows = texts.select("doc_id", "text", slot("doc_id").alias("slot"))
     rows = rows.mapInArrow(_full_sets(sent), "doc_id long, node binary, full array<bigint>")
-    same = (rows["node"] == wanted["node"]) & rows["doc_id"].eqNullSafe(wanted["first_id"])
-    return rows.join(wanted, same, "left_semi").select("node", "full")
+    # by node alone, so that rows alike are dropped where they meet
+    found = rows.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    return found.select("node", "full").dropDuplicates(["node"])
 
 
 class Linker:
@@ -314,9 +316,14 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
 
+    last = None
+
     def stored(df: DataFrame) -> tuple[DataFrame, tuple]:
+        nonlocal last
         path = fresh_path(spark, "near-stars")
         df.distinct().write.parquet(path)
+        release(spark, last)
+        last = path
         df = spark.read.parquet(path)
         mark = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         return df, tuple(mark)
@@ -343,14 +350,31 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def release(spark: SparkSession, *paths: str | None) -> None:
+    """Remove intermediate tables that nothing reads any longer, and let the shuffles of finished jobs go.
+
+    Spark keeps shuffle files until the driver's garbage collector finds their jobs unused, which with much free memory is long
+    after. What comes later reads tables only, so a lost executor does not ask for either.
+    """
+    for path in paths:
+        if path:
+            drop_path(spark, path)
+    spark.sparkContext._jvm.System.gc()
+
+
 def classes(docs: DataFrame, threshold: float = 0.85, k: int = K) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept, node`` per document."""
     spark = docs.sparkSession
     texts = texts_of(docs)
 
+    held: dict[str, str] = {}
+
     def table(df: DataFrame, label: str) -> DataFrame:
+        """Write a table and read it; the earlier one of that label has been read for the last time."""
         path = fresh_path(spark, label)
         df.write.parquet(path)
+        release(spark, held.get(label))
+        held[label] = path
         return spark.read.parquet(path)
 
     signed = texts.mapInArrow(_sign(k), "doc_id long, n_shingles long, node binary, sketch array<bigint>, odd array<bigint>")
@@ -362,28 +386,29 @@ def classes(docs: DataFrame, threshold: float = 0.85, k: int = K) -> DataFrame:
         F.first("odd").alias("odd"),
     )
     nodes = table(nodes, "near-nodes")
+    signed = table(signed.drop("sketch", "odd"), "near-sketches")
     lists = table(inverted_lists(nodes, threshold, k), "near-lists")
     members = lists.select("node").distinct()
     wanted = table(nodes.join(members, "node", "left_semi"), "near-members")
-    linker = Linker(
-        wanted.select("node", "n_shingles", "sketch", "odd"),
-        table(full_sets(texts, wanted.select("node", "first_id")).dropDuplicates(["node"]), "near-sets"),
-        threshold,
-        k,
-    )
+    nodes = table(nodes.select("node", "first_id"), "near-nodes")
+    sets = table(full_sets(texts, wanted.select("node", "first_id")), "near-sets")
+    linker = Linker(wanted.select("node", "n_shingles", "sketch", "odd"), sets, threshold, k)
     links = None
     lists = lists.withColumn("label", F.col("node")).withColumn("open", F.lit(True))
     for _ in range(ROUNDS):
-        found = linker.links(linker.likely(leader_pairs(lists, threshold)))
+        likely = table(linker.likely(leader_pairs(lists, threshold)), "near-likely")
+        found = linker.links(likely)
         links = table(found if links is None else links.unionByName(found).distinct(), "near-links")
         lists = table(relabel(lists, links), "near-lists")
-    rest = linker.links(remaining_pairs(lists, linker.sketches, linker).distinct())
-    links = links.unionByName(rest)
+    likely = table(remaining_pairs(lists, linker.sketches, linker).distinct(), "near-likely")
+    links = table(links.unionByName(linker.links(likely)), "near-links")
+    release(spark, *(held.pop(label) for label in ("near-lists", "near-members", "near-sets", "near-likely")))
     roots = components(links)
-    named = nodes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = table(named.join(smallest, "root").select("node", "component_id"), "near-classes")
-    result = signed.drop("sketch", "odd").join(named, "node", "left")
+    release(spark, held.pop("near-nodes"), held.pop("near-links"))
+    result = signed.join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     result = result.withColumn("component_id", component)
     return result.select(
