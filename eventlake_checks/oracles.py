@@ -442,6 +442,9 @@ def build_oracles() -> dict[str, str]:
   count(*) FILTER (WHERE n % 107 <> 0 AND n % 109 <> 0) AS parsed_count
 FROM ev GROUP BY source_file"""
     )
+    o["well_formed_rows"] = query(
+        "SELECT event_id, event_type, source_file AS file_name FROM ev WHERE n % 107 <> 0 AND n % 109 <> 0"
+    )
     o["validate_required_fields"] = query(
         """SELECT source_file AS file_name,
   count(*) FILTER (WHERE actor_id IS NOT NULL AND repo_id IS NOT NULL) AS valid_count,
@@ -1053,7 +1056,7 @@ WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM ev) - INTER
     )
 
     # pipeline and scalars
-    steps = [("ingest", "done", "ev"), ("staging", "done", "ev"), ("fact", "done", "ev"), ("dim_actor", "done", "sa"),
+    steps = [("ingest", "done", "ev"), ("staging", "done", "ev"), ("fact", "done", "ev"), ("dim_actor", "done", "hist"),
              ("dim_repository", "done", "sr"), ("dim_event_type", "done", "st")]
     o["run_pipeline"] = query(
         "\nUNION ALL ".join(
@@ -1065,7 +1068,8 @@ WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM ev) - INTER
 UNION ALL SELECT {big('7')}, 'tests', CASE WHEN x = 0 THEN 'pass' ELSE 'warn' END, x FROM (
   SELECT 2 * count(DISTINCT event_type) AS x FROM ev WHERE event_type NOT IN ({KNOWN}))
 UNION ALL SELECT {big('8')}, 'freshness', 'pass', {big('1')}""",
-        SA,
+        # the actor dimension has a row per version, in event time
+        "hist AS (" + HISTORY + ")",
         SR,
         ST,
     )

@@ -177,6 +177,13 @@ def scan_hourly_ndjson(lake: Lake) -> DataFrame:
     )
 
 
+def well_formed_rows(lake: Lake) -> DataFrame:
+    """The rows that are left of lines some of which are blank or broken."""
+    raw = ndjson.skip_malformed_lines(fx.with_bad_lines(lake.lines))
+    fields = (("event_id", "$.id"), ("event_type", "$.type"))
+    return raw.select(*[F.variant_get("raw_data", path, "string").alias(name) for name, path in fields], "file_name")
+
+
 def expected_hours(lake: Lake) -> DataFrame:
     series = {
         "loaded_span": hours.loaded_span(lake.audit),
@@ -558,6 +565,7 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         # sources, sinks, ingest
         "scan_hourly_ndjson": scan_hourly_ndjson,
         "skip_malformed_lines": lambda k: ndjson.line_counts(fx.with_bad_lines(k.lines)),
+        "well_formed_rows": well_formed_rows,
         "validate_required_fields": lambda k: ndjson.validity_counts(k.gappy_raw),
         "strip_nul_chars": lambda k: k.staged.select(
             "event_id",
