@@ -16,41 +16,42 @@ def lower(column: str) -> str:
     return f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def url_filters(rules: list[url_filter.Rule], default: str = "block", support: float = 0.01, confidence: float = 0.8) -> str:
-    fields = url_filter.FIELDS
+def url_filters(rules: list[url_filter.Rule], default: str = "block", least: int = 10, confidence: float = 0.8) -> str:
+    """All subsets of the frequent tokens of a URL are counted; tokens that decide alone are not set apart."""
     listed = ", ".join(f"('{r.pattern}', '{r.host}', '{r.path}', '{r.verdict}')" for r in rules)
-    present = " AND ".join(f"(grouping({f}) = 1 OR {f} IS NOT NULL)" for f in fields)
-    tokens = "list_sort(list_filter([" + ", ".join(f"'{f}=' || {f}" for f in fields) + "], lambda x: x IS NOT NULL))"
     return rf"""
 WITH listed(pattern, rule_host, rule_path, verdict) AS (VALUES {listed}),
 parts AS (
   SELECT page_id, url,
-    {lower(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS full_host,
-    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    {lower(r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query
   FROM pages),
-fields AS (
-  SELECT page_id, full_host, path,
-    nullif(regexp_extract(full_host, '([^.]+)$', 1), '') AS tld,
-    nullif(regexp_extract(full_host, '([^.]+\.[^.]+)$', 1), '') AS domain,
-    nullif(full_host, '') AS host,
-    nullif(regexp_extract(path, '^/([^/]+)', 1), '') AS dir,
-    nullif(regexp_extract(path, '\.([A-Za-z0-9]{{1,5}})$', 1), '') AS kind,
-    nullif(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^=&#]+)', 1), '') AS query,
-    (SELECT first({{'rule': pattern, 'verdict': verdict}} ORDER BY length(pattern) DESC, length(rule_host) DESC, pattern)
-     FROM listed WHERE (full_host = rule_host OR ends_with(full_host, '.' || rule_host)) AND starts_with(path, rule_path)) AS hit
+cut AS (
+  SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments,
+    regexp_extract(path, '\.([A-Za-z0-9]{{1,5}})$', 1) AS kind,
+    list_filter(list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1]), lambda x: x <> '') AS keys
   FROM parts),
-judged AS (SELECT *, {tokens} AS tokens FROM fields),
-labelled AS (SELECT * FROM judged WHERE hit IS NOT NULL),
-total AS (SELECT count(*) AS n FROM labelled),
+judged AS (
+  SELECT page_id, host, path,
+    list_sort(list_distinct(
+      list_transform(labels, lambda x, i: CASE WHEN i = len(labels) THEN 'tld=' ELSE 'label=' END || x)
+      || list_transform(segments, lambda x, i: 'seg' || i || '=' || x)
+      || CASE WHEN kind <> '' THEN ['kind=' || kind] ELSE [] END
+      || list_transform(keys, lambda x: 'key=' || x))) AS tokens,
+    (SELECT first({{'rule': pattern, 'verdict': verdict}} ORDER BY length(pattern) DESC, length(rule_host) DESC, pattern)
+     FROM listed WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS hit
+  FROM cut),
+labelled AS (SELECT row_number() OVER () AS row, tokens, hit.verdict AS verdict FROM judged WHERE hit IS NOT NULL),
+single AS (SELECT row, verdict, unnest(tokens) AS token FROM labelled),
+frequent AS (SELECT token FROM single GROUP BY token HAVING count(*) >= {least}),
+narrow AS (SELECT row, any_value(verdict) AS verdict, list(token ORDER BY token) AS tokens FROM single JOIN frequent USING (token) GROUP BY row),
 sets AS (
-  SELECT {tokens} AS tokens, count(*) AS total,
-    count(*) FILTER (WHERE hit.verdict = 'allow') AS allowed, count(*) FILTER (WHERE hit.verdict = 'block') AS blocked
-  FROM labelled GROUP BY CUBE ({', '.join(fields)})
-  HAVING {present} AND NOT ({' AND '.join(f'grouping({f}) = 1' for f in fields)})),
-mined AS (
-  SELECT s.tokens, s.total, v.verdict, CASE v.verdict WHEN 'allow' THEN allowed ELSE blocked END AS hits
-  FROM sets s, (VALUES ('allow'), ('block')) v(verdict)),
-sure AS (SELECT m.* FROM mined m, total WHERE hits >= ceil(n * {support}) AND hits >= m.total * {confidence}),
+  SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS tokens, verdict, mask FROM (
+    SELECT tokens, verdict, unnest(range(1, CAST(1 << len(tokens) AS BIGINT))) AS mask FROM narrow)),
+counted AS (SELECT tokens, verdict, count(*) AS hits FROM sets GROUP BY ALL),
+mined AS (SELECT *, sum(hits) OVER (PARTITION BY tokens) AS total FROM counted),
+sure AS (SELECT * FROM mined WHERE hits >= {least} AND hits >= total * {confidence}),
 pruned AS (
   SELECT * FROM sure a WHERE NOT EXISTS (
     SELECT 1 FROM sure b WHERE b.verdict = a.verdict AND len(b.tokens) < len(a.tokens)
@@ -59,7 +60,7 @@ open AS (SELECT DISTINCT tokens FROM judged WHERE hit IS NULL),
 best AS (
   SELECT o.tokens, first(p.verdict ORDER BY p.hits / p.total DESC, p.total DESC, len(p.tokens) DESC, p.tokens, p.verdict) AS verdict
   FROM open o JOIN pruned p ON list_has_all(o.tokens, p.tokens) GROUP BY o.tokens)
-SELECT j.page_id, j.full_host AS host, j.path, j.hit.rule AS rule,
+SELECT j.page_id, j.host, j.path, j.hit.rule AS rule,
   coalesce(j.hit.verdict, b.verdict, '{default}') AS verdict,
   CASE WHEN j.hit IS NOT NULL THEN 'rule' WHEN b.verdict IS NOT NULL THEN 'mined' ELSE 'default' END AS decided_by
 FROM judged j LEFT JOIN best b ON j.hit IS NULL AND b.tokens = j.tokens"""

@@ -64,6 +64,64 @@ def test_url_filter_without_labels_and_empty(spark):
     assert [r.verdict for r in got.values()] == ["allow", "allow"]
 
 
+def test_url_tokens_hold_every_part(spark):
+    url = F.col("u")
+    rows = spark.createDataFrame(
+        [("http://A.b.c.Org:80//x/y.d/z.html?k=1&k=2&&l&=3#f?g=1",), ("http://",), ("none",), (None,), ("a://b",)], "u string"
+    )
+    got = rows.select(url_filter.url_tokens(url, url_filter.host_of(url), url_filter.path_of(url)).alias("t")).collect()
+    assert got[0].t == ["tld=org:80", "label=a", "label=b", "label=c", "seg1=x", "seg2=y.d", "seg3=z.html", "kind=html", "key=k", "key=l"]
+    assert [r.t for r in got[1:]] == [[], [], [], ["tld=b"]]
+
+
+def test_a_rule_on_any_part_is_mined(spark):
+    # labelled by the first segment; only the part named goes along with it
+    urls = [f"http://s.com/{'de' if i % 2 else 'fr'}/{'old' if i % 2 else 'new'}/{i}" for i in range(40)]
+    urls += [f"http://{'spam' if i % 2 else 'good'}.w.com/{'de' if i % 2 else 'fr'}/{i}" for i in range(40)]
+    urls += [f"http://s.com/{'de' if i % 2 else 'fr'}/?a={i}&{'x' if i % 2 else 'y'}=1" for i in range(40)]
+    asked = ["http://m.net/it/old/1", "http://m.net/it/new/1", "http://a.good.m.net", "http://spam.net", "http://m.net?z=1&y", "http://m.net?x"]
+    got = judge(spark, urls + asked, default="none")
+    assert [got[120 + i].verdict for i in range(6)] == ["block", "allow", "allow", "block", "allow", "block"]
+    # 20 URLs are enough in a table of any size, 9 are not
+    more = [f"http://s.com/{'de' if i % 2 else 'fr'}/x/{i}" for i in range(4000)] + [f"http://s.com/de/{i}/rare" for i in range(9)]
+    got = judge(spark, urls + asked + more + ["http://m.net/a/b/rare"], default="none")
+    assert [got[120 + i].verdict for i in range(6)] == ["block", "allow", "allow", "block", "allow", "block"]
+    assert got[len(urls) + len(asked) + len(more)].decided_by == "default"
+
+
+def brute_rules(rows, least, confidence):
+    from itertools import combinations
+
+    sets = {}
+    for tokens, verdict in rows:
+        for size in range(1, len(tokens) + 1):
+            for chosen in combinations(sorted(tokens), size):
+                sets.setdefault(chosen, {}).setdefault(verdict, 0)
+                sets[chosen][verdict] += 1
+    found = {(t, v): (n, sum(by.values())) for t, by in sets.items() for v, n in by.items()}
+    found = {k: (n, total) for k, (n, total) in found.items() if n >= least and n >= total * confidence}
+    return {
+        (t, v, n, total) for (t, v), (n, total) in found.items()
+        if not any(w == v and set(s) < set(t) and m * total >= n * all_ for (s, w), (m, all_) in found.items())
+    }
+
+
+def test_mined_rules_equal_brute_force_and_wide_urls_end(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(400):
+        tokens = [f"t{k}" for k in range(9) if rng.random() < 0.4]
+        rows.append((tokens, "allow" if {"t1", "t2"} <= set(tokens) or rng.random() < 0.2 else "block"))
+    rows += [(["t1", "only"], "allow")] * 30 + [([], "block")] * 5
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    for least, confidence in ((10, 0.8), (40, 0.6)):
+        got = {(tuple(r.tokens), r.verdict, r.hits, r.total) for r in url_filter.mine_rules(df, least, confidence).collect()}
+        assert got == brute_rules(rows, least, confidence) and got
+    wide = [([f"w{k:02d}" for k in range(60)], v) for v in ("allow", "block") for _ in range(30)] + [(["w59"], "allow")] * 200
+    df = spark.createDataFrame(wide, "tokens array<string>, verdict string")
+    assert {tuple(r.tokens) for r in url_filter.mine_rules(df).collect()} == {("w59",)}
+
+
 def test_quality_rules_edges(spark, documents):
     prose = " ".join(f"word{i % 97}x{i}" for i in range(300))
     repeated = " ".join(["a b c d e f g"] * 30)
