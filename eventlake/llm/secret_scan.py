@@ -25,6 +25,8 @@ from eventlake.sources.tables import path_exists
 
 LEDGER = "blob binary, rule string, version string, spans array<struct<start:int,end:int>>"
 _SPANS = "array<struct<start:int,end:int>>"
+# matches placed at a time; appending to one array copies it, so a text's spans grow by pieces
+_PIECE = 256
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,15 @@ RULES = (
     ),
     SecretRule("access", r"AKIA[A-Z0-9]{16,}", needles=("AKIA",)),
     SecretRule("hex", r"[0-9a-f]{24,}"),
-    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", needles=("PRIVATE KEY-----",)),
+    # header, perhaps lines on its encryption, body and footer; the header alone where no footer follows the body
+    SecretRule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:(?:[\x20\x09-\x0D]*Proc-Type: [0-9A-Z,]+[\x20\x09-\x0D]+DEK-Info: [A-Z0-9-]+,[0-9A-Fa-f]+)?"
+        r"[A-Za-z0-9+/=\\\x20\x09-\x0D]*-----END [A-Z ]*PRIVATE KEY-----)?",
+        version="2",
+        needles=("PRIVATE KEY-----",),
+    ),
     SecretRule("repo_token", r"gh[pousr]_[A-Za-z0-9]{36,}", needles=("gh",)),
     SecretRule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", needles=("xox",)),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needles=("eyJ",)),
@@ -88,8 +98,18 @@ def match_spans(text: Column, rule: SecretRule) -> Column:
         return F.struct(end.alias("at"), out.alias("out"))
 
     none = F.array().cast(_SPANS)
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    found = F.aggregate(parts, start.cast(f"struct<at:int,out:{_SPANS}>"), step, lambda state: state["out"])
+
+    def begin(at: Column, kind: str) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(kind).alias("out")).cast(f"struct<at:int,out:{kind}>")
+
+    def piece(state: Column, first: Column) -> Column:
+        some = F.slice(parts, first, _PIECE)
+        spans = F.aggregate(some, begin(state["at"], _SPANS), step, lambda inner: inner["out"])
+        upto = F.aggregate(some, state["at"], lambda at, part: at + part["gap"] + part["hit"])
+        return F.struct(upto.alias("at"), F.array_append(state["out"], spans).alias("out"))
+
+    firsts = F.when(F.size(parts) > 0, F.sequence(F.lit(1), F.size(parts), F.lit(_PIECE))).otherwise(F.array().cast("array<int>"))
+    found = F.aggregate(firsts, begin(F.lit(0), f"array<{_SPANS}>"), piece, lambda state: F.flatten(state["out"]))
     return F.when(rule.may_match(text), found).otherwise(none)
 
 

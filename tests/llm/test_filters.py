@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 from llm_fixtures import documents  # noqa: F401
@@ -263,6 +264,27 @@ def test_secret_spans(spark, documents):
     assert secret_scan.read_ledger(spark, ledger).where("version = '2'").select("blob").distinct().count() == blobs
 
 
+def test_whole_private_keys_are_one_span(spark, documents):
+    body = "MIIEow" + "aB3/+\n" * 400 + "=="
+    kinds = ["", "RSA ", "ENCRYPTED "]
+    texts = [f"x -----BEGIN {k}PRIVATE KEY-----\n{body}\n-----END {k}PRIVATE KEY----- y" for k in kinds]
+    texts.append("x -----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0AF1\n\n" + body + "\n-----END RSA PRIVATE KEY----- y")
+    texts.append("x -----BEGIN PRIVATE KEY-----\\nabc\\n-----END PRIVATE KEY----- y")
+    texts.append("x -----BEGIN PRIVATE KEY----- y: never ended. -----END PRIVATE KEY-----")
+    docs = documents([(i, t, "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.text for r in secret_scan.redact_documents(docs, fresh_path(spark, "test-ledger")).collect()}
+    assert [got[i] for i in range(5)] == ["x [SECRET] y"] * 5
+    assert got[5] == "x [SECRET] y: never ended. -----END PRIVATE KEY-----"
+
+
+def test_spans_of_very_many_matches(spark, documents):
+    text = "".join(f"é{'ab' * (12 + i % 3)}é" if i % 4 else "token=abc " for i in range(1300))
+    docs = documents([(1, text, "s"), (2, "0" * 24, "s")])
+    got = {r.doc_id: [(s.start, s.end, s.kind) for s in r.spans] for r in secret_scan.scan_documents(docs, fresh_path(spark, "test-ledger")).collect()}
+    assert got[1] == [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]{24,}", text)] and len(got[1]) == 975
+    assert got[2] == [(0, 24, "hex")]
+
+
 def test_secret_redaction(spark, documents):
     docs = documents([(1, "a token=abcdefgh b AKIA" + "B" * 16, "s"), (2, "clean", "s"), (3, None, "s")])
     got = {r.doc_id: r for r in secret_scan.redact_documents(docs, fresh_path(spark, "test-ledger")).collect()}
