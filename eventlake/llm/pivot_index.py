@@ -276,12 +276,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
         (F.col("near") <= F.col("high")) & (F.col("far") >= F.col("low"))
     )
     left = left.select("q_block", "block", "pivot", "near", "far")
-    work = left.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)).cast("long")).join(payload, "block")
-    # a block of queries goes to each of its slices once, not along with every block of the index
+    path = fresh_path(spark, "pivot-work")
+    left.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)).cast("long")).write.parquet(path)
+    work = spark.read.parquet(path)
+    # a block of queries goes once to each slice in which a block is left to look at, not along with every block of the index
     floors = bounds.where(F.col("pivot") == 0).select("q_block", "floors")
     asked = queries.select("q_block", "q_ids", "q_rows").join(floors, "q_block")
-    asked = asked.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
-    best = asked.groupBy("q_block", "slice").cogroup(work.groupBy("q_block", "slice")).applyInPandas(
+    asked = asked.join(spark.read.parquet(path).select("q_block", "slice").distinct(), "q_block")
+    best = asked.groupBy("q_block", "slice").cogroup(work.join(payload, "block").groupBy("q_block", "slice")).applyInPandas(
         _search(sent, k), "q_block long, q long, query_id long, vec_id long, score long"
     )
     place = F.row_number().over(Window.partitionBy("q_block", "q").orderBy(F.desc("score"), "vec_id"))
