@@ -8,12 +8,13 @@ size is ``k``; for the others Spark decides from measured sizes.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions import boundary_diff, percent, round_half_up, surrogate_key, trunc_ts
+from eventlake.operators import summaries
 from eventlake.operators.asof import count_in_force
 from eventlake.sources.ndjson import has_field
 
@@ -92,11 +93,38 @@ def _top_groups(events: DataFrame, keys: list[str], k: int) -> DataFrame:
     return events.join(winners, on, "left_semi")
 
 
-def top_repositories(events: DataFrame, k: int = 100) -> DataFrame:
-    """The ``k`` busiest repositories with contributors and event types."""
-    keys = ["repo_id", "repo_name"]
+REPOSITORY, DEVELOPER = ["repo_id", "repo_name"], ["actor_id", "actor_login", "actor_type"]
+
+
+def _span_of_candidates(
+    events: DataFrame, leaders: DataFrame, keys: list[str], k: int, first: date | None, last: date | None
+) -> tuple[DataFrame, bool]:
+    found = summaries.candidates(leaders, keys, k, first, last)
+    span = summaries.within(summaries.with_day(events), first, last)
+    return summaries.narrowed(span, found, keys), found.certain
+
+
+def top_repositories_over(
+    events: DataFrame, leaders: DataFrame, k: int = 100, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """:func:`top_repositories` of a span of days; daily leaders take the place of the pass that counts all groups."""
+    rows, certain = _span_of_candidates(events, leaders, REPOSITORY, k, first, last)
+    return top_repositories(rows, k, counted=certain)
+
+
+def top_developers_over(
+    events: DataFrame, leaders: DataFrame, k: int = 100, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """:func:`top_developers` of a span of days, in the same way."""
+    rows, certain = _span_of_candidates(events, leaders, DEVELOPER, k, first, last)
+    return top_developers(rows, k, counted=certain)
+
+
+def top_repositories(events: DataFrame, k: int = 100, counted: bool = False) -> DataFrame:
+    """The ``k`` busiest repositories with contributors and event types; ``counted`` if only few groups are left."""
+    keys = REPOSITORY
     per_actor = (
-        _top_groups(events, keys, k)
+        (events if counted else _top_groups(events, keys, k))
         .groupBy(*keys, "actor_id", "event_type")
         .agg(_count().alias("n"), F.min("created_at").alias("lo"), F.max("created_at").alias("hi"))
     )
@@ -116,11 +144,11 @@ def top_repositories(events: DataFrame, k: int = 100) -> DataFrame:
     )
 
 
-def top_developers(events: DataFrame, k: int = 100) -> DataFrame:
-    """The ``k`` most active actors with repositories and event types."""
-    keys = ["actor_id", "actor_login", "actor_type"]
+def top_developers(events: DataFrame, k: int = 100, counted: bool = False) -> DataFrame:
+    """The ``k`` most active actors with repositories and event types; ``counted`` if only few groups are left."""
+    keys = DEVELOPER
     return (
-        _top_groups(events, keys, k)
+        (events if counted else _top_groups(events, keys, k))
         .groupBy(*keys)
         .agg(
             _count().alias("total_events"),

