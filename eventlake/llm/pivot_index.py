@@ -10,8 +10,12 @@ left are visited in the order of how near they may come, the bound shrinking, un
 Pivots come from a bounded sample; any pivots give exact results. Queries are handled in blocks as well: each task
 has one block of queries and a bounded number of blocks of the index, and its best rows are merged at the end.
 
-Defined results: a row without id, without vector, or with a null, non-finite or very large component
-(``|scale * x| >= 2 ** 31``) takes no part. Shorter vectors count as filled up with zeros. Ties go to the smaller id.
+Vectors with a very large component (``|scale * x| >= 2 ** 31``) would blow up the annuli of all others, so the index does not hold them.
+They are kept in blocks of their own, met by every block of queries, and as queries they meet every block of the index; only
+scores that rounding leaves open are computed again with whole numbers of any size.
+
+Defined results: a row without id, without vector, or with a null or non-finite component takes no part. A score beyond 64 bits is
+returned as the nearest long, ranks go by the true score. Shorter vectors count as filled up with zeros. Ties go to the smaller id.
 Rows with the query's id are no candidates; a repeated query row is answered as often as it occurs, candidates that share an
 id are each ranked. An empty table gives an empty result. Other columns are ignored.
 """
@@ -39,11 +43,28 @@ _BLOCK = "block long, pivot int, near double, far double, n int, ids binary, row
 _EXACT = float(1 << 53)
 
 
+def finite(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """The rows that take part."""
+    v = F.col(vector_col)
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & fine)
+
+
+def in_index(v: Column, scale: int) -> Column:
+    return F.forall(v, lambda x: F.abs(x.cast("double")) * scale < float(1 << 31))
+
+
+def wide_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    """``vec_id, v`` with the components as doubles, for the rows that take part but have no place in the index."""
+    v = F.col(vector_col)
+    rows = finite(vectors, id_col, vector_col).where(~in_index(v, scale))
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: x.cast("double")).alias("v"))
+
+
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``vec_id, v`` with ``v = floor(scale * x)`` per component, for the rows that take part."""
+    """``vec_id, v`` with ``v = floor(scale * x)`` per component, for the rows of the index."""
     v = F.col(vector_col)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < float(1 << 31)))
-    rows = vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & fine)
+    rows = finite(vectors, id_col, vector_col).where(in_index(v, scale))
     scaled = F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int"))
     return rows.select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("v"))
 
@@ -243,14 +264,118 @@ def _search(sent, k: int):
     return run
 
 
+_WIDE = "block long, ids binary, rows binary, width int"
+_OPEN = "q_block long, q long, query_id long, vec_id long, score long, place string"
+
+
+def _wide_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most BLOCK_ROWS vectors a block, filled up with zeros to the widest of them."""
+    number = (1 << 62) + (TaskContext.get().partitionId() << 40)
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            some, number = batch.slice(at, BLOCK_ROWS), number + 1
+            vectors = some.column("v").to_pylist()
+            rows = np.zeros((len(vectors), max(map(len, vectors))))
+            for row, v in zip(rows, vectors):
+                row[: len(v)] = v
+            ids = some.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            values = (number, ids.tobytes(), rows.tobytes(), rows.shape[1])
+            yield pa.record_batch([pa.array([x], t) for x, t in zip(values, (pa.int64(), pa.binary(), pa.binary(), pa.int32()))],
+                                  [c.split()[0] for c in _WIDE.split(", ")])
+
+
+def place_of(score: int) -> str:
+    """Text that sorts as whole numbers of any size do, the largest first."""
+    digits = str(abs(score))
+    rising = f"{len(digits):05d}{digits}"
+    return "1" + rising if score < 0 else "0" + rising.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _wide_scores(k: int, scale: int):
+    """Per pair of blocks the ``k`` best rows of each query, exact."""
+
+    def decoded(rows: bytes, width: int | None, count: int, dim: int):
+        """Scaled components as floats, and a function that gives a row as whole numbers."""
+        wide = width is not None and not np.isnan(width)
+        held = np.frombuffer(rows, np.float64 if wide else np.int32).reshape(count, -1)
+        full = np.zeros((count, dim))
+        with np.errstate(over="ignore"):
+            full[:, : held.shape[1]] = np.floor(held * float(scale)) if wide else held
+
+        def whole(i: int) -> list[int]:
+            # a component too large to be scaled as a float is a whole number
+            return [int(f) if np.isfinite(f) else int(x) * scale for f, x in zip(full[i], held[i])] + [0] * (dim - held.shape[1])
+
+        return full, whole
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for pair in frame.itertuples():
+                q_ids, ids = np.frombuffer(pair.q_ids, np.int64), np.frombuffer(pair.ids, np.int64)
+                sizes = [len(pair.q_rows) // len(q_ids) // (8 if pair.q_width == pair.q_width else 4),
+                         len(pair.rows) // len(ids) // (8 if pair.width == pair.width else 4)]
+                dim = max(sizes)
+                a, whole_a = decoded(pair.q_rows, pair.q_width, len(q_ids), dim)
+                b, whole_b = decoded(pair.rows, pair.width, len(ids), dim)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    about = a @ b.T
+                    wrong = (np.abs(a) @ np.abs(b).T) * ((dim + 2) * 2.0**-51)
+                out = []
+                for q in range(len(q_ids)):
+                    others = np.flatnonzero(ids != q_ids[q])
+                    low, high = about[q, others] - wrong[q, others], about[q, others] + wrong[q, others]
+                    if len(others) > k and np.isfinite(low).all() and np.isfinite(high).all():
+                        others = others[high >= np.partition(low, -k)[-k]]
+                    left = whole_a(q)
+                    exact = sorted((-sum(x * y for x, y in zip(left, whole_b(i))), int(ids[i])) for i in others)[:k]
+                    out += [(pair.q_block, q, q_ids[q], row, max(min(-s, 2**63 - 1), -(2**63)), place_of(-s)) for s, row in exact]
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in _OPEN.split(", ")])
+
+    return run
+
+
+def wide_scores(queries: DataFrame, blocks: DataFrame, k: int, scale: int) -> DataFrame:
+    """Every block of queries with every given block: ``q_block, q, query_id, vec_id, score, place``.
+
+    A block of queries goes to every slice of the blocks; pairs are made and scored one after the other.
+    """
+    slices = max(1, -(-blocks.count() // SLICE_BLOCKS))
+    dealt = blocks.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)).cast("long"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))
+    work = queries.withColumn("slice", F.explode(every)).join(dealt, "slice")
+    return work.select("q_block", "q_ids", "q_rows", "q_width", "ids", "rows", "width").mapInPandas(_wide_scores(k, scale), _OPEN)
+
+
+def _with_wide(vectors, wide, is_query, k, scale, id_col, vector_col, queries, blocks) -> DataFrame:
+    """Scores of pairs with a vector that the index does not hold."""
+    spark = vectors.sparkSession
+    paths = [fresh_path(spark, f"wide-{name}") for name in ("blocks", "queries")]
+    asking = wide_vectors(vectors.where(is_query), id_col, vector_col, scale)
+    for rows, path in zip((wide, asking), paths):
+        rows.mapInArrow(_wide_block, _WIDE).write.parquet(path)
+    stored, asked = (spark.read.parquet(path) for path in paths)
+    asked = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("width").alias("q_width"))
+    narrow = F.lit(None).cast("int")
+    usual = queries.select("q_block", "q_ids", "q_rows", narrow.alias("q_width"))
+    indexed = blocks.select("block", "ids", "rows", narrow.alias("width"))
+    to_wide = wide_scores(usual.unionByName(asked), stored, k, scale)
+    return to_wide.unionByName(wide_scores(asked, indexed, k, scale))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of largest inner product for each query row."""
     spark = vectors.sparkSession
     rows = whole_vectors(vectors, id_col, vector_col, scale)
+    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     space = choose_space(rows)
+    wide = wide_vectors(vectors, id_col, vector_col, scale)
+    has_wide = bool(wide.take(1))
     if space is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        if not has_wide:
+            return empty
+        # an index without rows
+        space = Space(1, 0.0, np.zeros((1, 2)))
     sent = spark.sparkContext.broadcast(space)
     blocks = build_blocks(rows, sent, fresh_path(spark, "pivot-index"), BLOCK_ROWS)
     wanted = whole_vectors(vectors.where(is_query), id_col, vector_col, scale)
@@ -286,6 +411,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     best = asked.groupBy("q_block", "slice").cogroup(work.join(payload, "block").groupBy("q_block", "slice")).applyInPandas(
         _search(sent, k), "q_block long, q long, query_id long, vec_id long, score long"
     )
-    place = F.row_number().over(Window.partitionBy("q_block", "q").orderBy(F.desc("score"), "vec_id"))
+    order = [F.desc("score"), "vec_id"]
+    if has_wide:
+        best = best.withColumn("place", F.lit(None).cast("string"))
+        extra = _with_wide(vectors, wide, is_query, k, scale, id_col, vector_col, queries, blocks)
+        # scores of the index fit a long, so their places can be told from them
+        digits = F.abs(F.when(F.col("place").isNull(), F.col("score"))).cast("string")
+        rising = F.concat(F.lpad(F.length(digits).cast("string"), 5, "0"), digits)
+        told = F.when(F.col("score") < 0, F.concat(F.lit("1"), rising)).otherwise(
+            F.concat(F.lit("0"), F.translate(rising, "0123456789", "9876543210"))
+        )
+        best = best.unionByName(extra).withColumn("place", F.coalesce("place", told))
+        order = ["place", "vec_id"]
+    place = F.row_number().over(Window.partitionBy("q_block", "q").orderBy(*order))
     ranked = best.withColumn("rank", place).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -205,6 +206,29 @@ def brute_force(vectors, k):
     return sorted(out)
 
 
+def test_search_with_very_large_components(spark):
+    rng = np.random.default_rng(3)
+    large = [2.0**25, -(2.0**25) - 0.25, 2.0**31 / 64, 3.0e38, -3.0e38, 1e150, 1.7e308, 2.0**53 + 2]
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(150)]
+    rows += [(200 + 5 * i, [float(x), 0.5] + [float(y) for y in rng.normal(size=3)]) for i, x in enumerate(large)]
+    rows += [(301, [2.0**40] * 6), (302, [2.0**40] * 6), (303, [float("inf")] * 6), (304, [2.0**40, None]), (0, [1e30] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def whole(x):
+        return math.floor(Fraction(x) * 64)
+
+    kept = [(i, [whole(x) for x in v]) for i, v in rows if all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for q, v in kept:
+        if q % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in kept if i != q)[:20]
+            want += [(q, n + 1, i, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, i) in enumerate(scored)]
+    got = [tuple(r) for r in pivot_index.top_k(df, F.col("vec_id") % 20 == 0, 20).collect()]
+    assert sorted(got) == sorted(want)
+    only = df.where("vec_id >= 200 AND vec_id < 240")
+    assert pivot_index.top_k(only, F.col("vec_id") % 20 == 0, 3).count() == 6
+
+
 def test_search_equals_brute_force(spark):
     random.seed(5)
     vectors = [(i, [random.gauss(0, 0.3) for _ in range(6)]) for i in range(600)]
