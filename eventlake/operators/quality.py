@@ -159,14 +159,18 @@ def _against_previous(counts: DataFrame, at: str, value: str, rows: int, low: fl
     A row without predecessors has no mean and counts as NORMAL.
     """
     before = Window.orderBy(at).rowsBetween(-rows, -1)
-    mean = F.avg(value).over(before)
+    return against_mean(counts.withColumn("mean", F.avg(value).over(before)), (at,), value, low, high)
+
+
+def against_mean(counts: DataFrame, keys: tuple[str, ...], value: str, low: float, high: float) -> DataFrame:
+    """Flag ``value`` by its ratio to the column ``mean``; without a mean it counts as NORMAL."""
     flag = (
         F.when(F.col(value) < low * F.col("mean"), "LOW")
         .when(F.col(value) > high * F.col("mean"), "HIGH")
         .otherwise("NORMAL")
     )
-    return counts.withColumn("mean", mean).select(
-        at,
+    return counts.select(
+        *keys,
         value,
         round_half_up("mean", 0).alias("avg_before"),
         round_half_up(F.col(value) * 100.0 / F.col("mean"), 1).alias("pct_of_avg"),

@@ -9,6 +9,7 @@ loads are not opened. A step that breaks off is repeated, which its merge does n
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import analytics, distinct, quality, summaries
 from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts, staging
+from eventlake.plans.together import run_together
 from eventlake.schemas import (
     DIM_ACTOR,
     DIM_EVENT_TYPE,
@@ -261,33 +263,34 @@ def run_pipeline(
     build_fact(spark, paths, as_of)
     build_summaries(spark, paths)
 
+    return report(spark, paths, as_of, failed, test)
+
+
+def report(spark: SparkSession, paths: LakePaths, as_of: datetime, failed: int = 0, test: bool = True) -> DataFrame:
+    """Row counts, declared tests and freshness of the stored tables, all at the same time; one row per step.
+
+    They only read, so none waits for another: a stale source is known before the tests have ended. Only one count and
+    one status per step reach the driver.
+    """
     models = lake_models(spark, paths)
-    fresh = quality.source_freshness({"raw_events": models["raw_events"]}, as_of)
-    done = F.lit("done")
-    steps = [
-        ("ingest", models["raw_events"]),
-        ("staging", models["stg_events"]),
-        ("fact", models["fact_events"]),
-        ("dim_actor", models["dim_actor"]),
-        ("dim_repository", models["dim_repository"]),
-        ("dim_event_type", models["dim_event_type"]),
-    ]
-    ingest = F.lit("failed" if failed else "done")
-    reports = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("step"), (ingest if name == "ingest" else done).alias("status"), "row_count"
-        )
-        for name, df in steps
-    ]
+
+    def rows_of(name: str) -> Callable[[], tuple[str, int]]:
+        status = "failed" if failed and name == "raw_events" else "done"
+        return lambda: (status, models[name].count())
+
+    def tested() -> tuple[str, int]:
+        bad = quality.run_dq_suite(models).where(F.col("status") != "pass").count()
+        return ("warn" if bad else "pass"), bad
+
+    def freshness() -> tuple[str, int]:
+        return quality.source_freshness({"raw_events": models["raw_events"]}, as_of).first()["status"], 1
+
+    names = ("fact_events", "dim_actor", "dim_repository", "dim_event_type")
+    steps = {"ingest": rows_of("raw_events"), "staging": rows_of("stg_events")}
+    steps |= {"fact" if name == "fact_events" else name: rows_of(name) for name in names}
     if test:
-        suite = quality.run_dq_suite(models).agg(F.count_if(F.col("status") != "pass").alias("row_count"))
-        status = F.when(F.col("row_count") == 0, "pass").otherwise("warn").alias("status")
-        reports.append(suite.select(F.lit("tests").alias("step"), status, "row_count"))
-    reports.append(
-        fresh.select(F.lit("freshness").alias("step"), "status", F.lit(1).cast("bigint").alias("row_count"))
-    )
-    numbered = [r.withColumn("step_no", F.lit(i + 1).cast("bigint")) for i, r in enumerate(reports)]
-    result = numbered[0]
-    for report in numbered[1:]:
-        result = result.unionByName(report)
-    return result.select("step_no", "step", "status", "row_count")
+        steps["tests"] = tested
+    steps["freshness"] = freshness
+    found = run_together(spark, steps)
+    rows = [(number, step, *found[step]) for number, step in enumerate(steps, 1)]
+    return spark.createDataFrame(rows, "step_no BIGINT, step STRING, status STRING, row_count BIGINT").coalesce(1)

@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from eventlake.operators import quality
 from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts
 from eventlake.plans.pipeline import TABLES, LakePaths, read
 from eventlake.session import fresh_path
 from eventlake.sources import audit, ndjson, tables
+from eventlake.streaming.anomaly import OUTPUT, CountsBefore
 
 
 ACTOR_LOG = T.StructType(
@@ -105,6 +107,38 @@ def counts_stream(events: DataFrame, width: str = "1 hour", delay: str = "2 hour
     )
 
 
+def hourly_anomaly_stream(
+    events: DataFrame,
+    series: str | None = None,
+    delay: str = "2 hours",
+    before: int = 24,
+    low: float = 0.8,
+    high: float = 1.2,
+    idle_hours: int = 24 * 30,
+) -> DataFrame:
+    """Each finished hour's count against the mean of the ``before`` hours with events before it.
+
+    ``series`` names a string column with a series of its own per value; NULL is one of them. Without it all events are one
+    series, called ``all``. Events are counted in windows first, so a keyed task sees one row per hour and series, however many
+    events there are. Hours the watermark has not passed are not reported yet; events later than it are not counted.
+    A series without events for ``idle_hours`` starts anew. Needs the RocksDB state store that the session settings choose.
+    """
+    name = F.col(series) if series else F.lit("all")
+    hours = (
+        with_event_time(events, delay)
+        .groupBy(F.window("event_time", "1 hour").alias("w"), name.alias("series"))
+        .agg(F.count(F.lit(1)).alias("event_count"))
+        .select("series", F.col("w.start").alias("event_hour"), F.window_time("w").alias("event_time"), "event_count")
+    )
+    counted = hours.groupBy("series").transformWithStateInPandas(
+        CountsBefore(before, idle_hours), OUTPUT, outputMode="append", timeMode="eventTime"
+    )
+    means = counted.withColumns(
+        {"event_hour": F.col("event_hour").cast("timestamp_ntz"), "mean": F.col("sum_before") / F.col("hours_before")}
+    )
+    return quality.against_mean(means, ("series", "event_hour"), "event_count", low, high)
+
+
 def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once, and stop when nothing is left."""
     query = (
@@ -119,6 +153,41 @@ def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return query
 
 
+def stream_dedup_stored(
+    events: DataFrame, path: str, checkpoint: str, window: str = "2 hours", partition_col: str = "event_date"
+) -> StreamingQuery:
+    """Append events that the table does not hold yet, however long ago their first copy came.
+
+    Copies that arrive within ``window`` of each other meet in the state, whose size that bounds: its clock is the time of arrival,
+    so an event that happened long ago is never too late for it. What is left of a batch is anti-joined with the stored ids of
+    the batch's dates; folders of other dates are not opened. That is exact if copies of an event have the same
+    ``created_at``. Rows without an id or a date are kept, as nothing tells that they are copies.
+
+    A folder per date and batch is written as a whole, so a batch repeated after a failure replaces its own rows and is not
+    compared with them. The batch is named by the query, so a new checkpoint goes on with the same table.
+    """
+    arrived = events.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", window)
+    # rows without an id would all be copies of one another
+    own = F.coalesce(F.concat(F.lit("i"), F.col("event_id")), F.concat(F.lit("n"), F.expr("uuid()")))
+    once = arrived.withColumn("copy_of", own).dropDuplicatesWithinWatermark(["copy_of"]).drop("copy_of", "arrived_at")
+    dated = once.withColumn(partition_col, F.to_date("created_at"))
+    schema = T.StructType([*dated.schema.fields, T.StructField("batch", T.StringType())])
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        rows = _kept(rows)
+        name = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        dates = [r[0] for r in rows.where(F.col(partition_col).isNotNull()).select(partition_col).distinct().collect()]
+        stored = tables.read_partitions(spark, path, schema, partition_col, dates).where(F.col("batch") != name)
+        new = rows.join(stored.select("event_id", partition_col), ["event_id", partition_col], "left_anti")
+        new = new.select(*dated.columns).withColumn("batch", F.lit(name))
+        new.hint("rebalance", partition_col).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(partition_col, "batch").parquet(path)
+
+    return _run(dated, checkpoint, batch)
+
+
 def _kept(rows: DataFrame) -> DataFrame:
     """The rows of a batch as a table, so that the source is read once however often they are used."""
     path = fresh_path(rows.sparkSession, "batch")

@@ -1067,6 +1067,16 @@ WHERE db.actor_key IS NULL AND fa.actor_key IS NOT NULL GROUP BY fa.actor_key"""
 FROM (SELECT date_trunc('hour', created_at) AS window_start, event_type, count(*) AS event_count FROM ev GROUP BY ALL)
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM ev) - INTERVAL 2 HOUR"""
     )
+    o["stream_hourly_anomaly"] = query(
+        f"""SELECT series, event_hour, event_count, {rnd('m', 0)} AS avg_before,
+  {rnd('event_count * CAST(100.0 AS DOUBLE) / m', 1)} AS pct_of_avg,
+  CASE WHEN event_count < 0.8 * m THEN 'LOW' WHEN event_count > 1.2 * m THEN 'HIGH' ELSE 'NORMAL' END AS anomaly_flag
+FROM (
+  SELECT *, avg(event_count) OVER (PARTITION BY series ORDER BY event_hour ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS m
+  FROM (SELECT event_type AS series, date_trunc('hour', created_at) AS event_hour, count(*) AS event_count FROM ev GROUP BY ALL))
+WHERE event_hour + INTERVAL 1 HOUR <= (SELECT max(created_at) FROM ev) - INTERVAL 2 HOUR"""
+    )
+    o["stream_dedup_stored"] = o["stream_dedup"]
     o["stream_late_data"] = query(
         """SELECT event_id, created_at, loaded_at,
   CASE WHEN loaded_at > created_at + INTERVAL 2 HOUR THEN 'late' ELSE 'kept' END AS part FROM late""",

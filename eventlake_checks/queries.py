@@ -551,6 +551,21 @@ def stream_hourly_counts(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(path).drop("approx_actors")
 
 
+def stream_hourly_anomaly(lake: Lake) -> DataFrame:
+    path = lake.path("anomaly")
+    jobs.write_stream(jobs.hourly_anomaly_stream(event_stream(lake), "event_type"), path, lake.path("checkpoint"))
+    return lake.spark.read.parquet(path)
+
+
+def stream_dedup_stored(lake: Lake) -> DataFrame:
+    """Events loaded before a day, then all events with copies by a query that has no state of the first."""
+    path, columns = lake.path("stored"), ("event_id", "event_type", "created_at", "loaded_at")
+    rows = fx.with_duplicates(event_stream(lake)).select(*columns)
+    for part in (fx.loaded_before(rows, fx.BASE_CUTOFF), rows):
+        jobs.stream_dedup_stored(part, path, lake.path("checkpoint"))
+    return lake.spark.read.parquet(path).select("event_id", "event_type", "created_at")
+
+
 def stream_late_data(lake: Lake) -> DataFrame:
     kept, late = lake.path("kept"), lake.path("late")
     rows = fx.with_late_rows(event_stream(lake)).select("event_id", "created_at", "loaded_at")
@@ -763,6 +778,8 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         "stream_ingest_files": stream_ingest_files,
         "stream_dedup": stream_dedup,
         "stream_hourly_counts": stream_hourly_counts,
+        "stream_hourly_anomaly": stream_hourly_anomaly,
+        "stream_dedup_stored": stream_dedup_stored,
         "stream_late_data": stream_late_data,
         "stream_upsert_marts": stream_upsert_marts,
         # pipeline and scalars

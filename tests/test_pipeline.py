@@ -183,6 +183,72 @@ def test_stream_counts_by_minute(spark, tmp_path):
     assert bag(spark.read.parquet(out), "window_start", "event_count") == [(at(1, 1, 5), 2), (at(1, 1, 7), 1)]
 
 
+def test_stored_events_are_copies_however_late(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    # copies in one batch, and rows without an id or a time, which are nobody's copies
+    first = [("1", at(1, 1), 1), ("1", at(1, 1), 2), ("2", at(2, 1), 1), (None, at(2, 1), 1), (None, at(2, 1), 1)]
+    staged = staged_rows(*first) + [("9", "PushEvent", 1, "ann", None, 7, "o/r", None, "f", None)]
+    spark.createDataFrame(staged, STAGED).coalesce(1).write.parquet(source)
+    jobs.stream_dedup_stored(parquet_stream(spark, source), out, str(tmp_path / "a"), window="1 second")
+    rows = spark.read.parquet(out)
+    assert sorted(str(r.event_id) for r in rows.collect()) == ["1", "2", "9", "None", "None"]
+    # two days late: a copy goes, an event that was never seen stays, also when older than all watermarks
+    spark.createDataFrame(staged_rows(("1", at(1, 1), 48), ("3", at(1, 1), 48)), STAGED).coalesce(1).write.mode("append").parquet(source)
+    jobs.stream_dedup_stored(parquet_stream(spark, source), out, str(tmp_path / "a"), window="1 second")
+    kept = sorted(str(r.event_id) for r in spark.read.parquet(out).collect())
+    assert kept == ["1", "2", "3", "9", "None", "None"]
+    # a lost checkpoint replays all batches: rows with an id and a time are not written again
+    jobs.stream_dedup_stored(parquet_stream(spark, source), out, str(tmp_path / "b"), window="1 second")
+    again = [r.event_id for r in spark.read.parquet(out).where("event_id IS NOT NULL AND created_at IS NOT NULL").collect()]
+    assert sorted(again) == ["1", "2", "3"]
+
+
+def test_stored_events_of_other_dates_are_not_opened(spark, tmp_path):
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    spark.createDataFrame(staged_rows(("1", at(1, 1), 1), ("2", at(2, 1), 1)), STAGED).coalesce(1).write.parquet(source)
+    jobs.stream_dedup_stored(parquet_stream(spark, source), str(out), str(tmp_path / "a"))
+    for part in (out / "event_date=2024-01-01").rglob("*.parquet"):
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+        part.write_bytes(b"no parquet")
+    spark.createDataFrame(staged_rows(("2", at(2, 1), 30), ("4", at(2, 3), 30)), STAGED).coalesce(1).write.mode("append").parquet(source)
+    jobs.stream_dedup_stored(parquet_stream(spark, source), str(out), str(tmp_path / "a"))
+    assert bag(spark.read.parquet(str(out / "event_date=2024-01-02")), "event_id") == [("2",), ("4",)]
+
+
+def test_hourly_anomaly_over_batches_equals_the_window(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    counts = [5, 5, 9, 1, 0, 4, 5, 6, 2, 8, 3, 3]
+    rows = [(f"{h}-{i}", at(1, h, i), 1) for h, n in enumerate(counts) for i in range(n)]
+    for part in (rows[:12], rows[12:30], rows[30:]):
+        spark.createDataFrame(staged_rows(*part), STAGED).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.hourly_anomaly_stream(parquet_stream(spark, source), delay="1 hour", before=3)
+        jobs.write_stream(stream, out, checkpoint)
+    expected, seen = [], []
+    for h, n in enumerate(counts[:10]):
+        if n:
+            mean = sum(seen[-3:]) / len(seen[-3:]) if seen else None
+            flag = "NORMAL" if mean is None or 0.8 * mean <= n <= 1.2 * mean else "LOW" if n < mean else "HIGH"
+            expected.append((at(1, h), n, flag))
+            seen.append(n)
+    assert bag(spark.read.parquet(out), "event_hour", "event_count", "anomaly_flag") == expected
+
+
+def test_idle_series_starts_anew(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    kinds = [("a", at(1, 1), "X"), ("b", at(1, 1), None), ("c", at(3, 1), None), ("d", at(3, 9), None), ("e", at(3, 10), "X"),
+             ("f", at(3, 11), None), ("g", at(4, 1), None)]
+    for event_id, created, kind in kinds:
+        row = (event_id, kind, 1, "ann", None, 7, "o/r", created, "f", created)
+        spark.createDataFrame([row], STAGED).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.hourly_anomaly_stream(parquet_stream(spark, source), "event_type", delay="1 hour", idle_hours=24)
+        jobs.write_stream(stream, out, checkpoint)
+    rows = {(r.series, r.event_hour): r.avg_before for r in spark.read.parquet(out).collect()}
+    # X was idle for two days; the series of events without a type had its own
+    assert rows[("X", at(1, 1))] is None and rows[("X", at(3, 10))] is None
+    assert rows[(None, at(3, 9))] == 1 and rows[(None, at(3, 11))] == 1
+
+
 def test_stream_keeps_late_rows_aside(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [("1", at(1, 1), 1), ("2", at(1, 1), 5)]
