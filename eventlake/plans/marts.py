@@ -24,7 +24,7 @@ from eventlake.plans.staging import (
 )
 from eventlake.schemas import DIM_ACTOR, FACT_EVENTS
 from eventlake.session import fresh_path
-from eventlake.sources import tables
+from eventlake.sources import layout, tables
 
 
 def _ts(value: datetime | str) -> Column:
@@ -388,17 +388,18 @@ def dim_event_type(event_types: DataFrame, as_of: datetime) -> DataFrame:
 # --- physical layout ------------------------------------------------------------------------
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Fact laid out by ``event_date``, clustered by ``repo_key`` inside each date.
+def write_fact(fact: DataFrame, path: str, **options: str) -> None:
+    """Fact laid out by ``event_date``, along a curve over repository and actor inside each date.
 
-    The event key closes the range so that one busy repository still splits over several files;
-    sorted files give tight row-group bounds for scans that filter by repository.
+    The event key closes the range, so one busy repository still splits over several files; row-group bounds
+    are tight for filters by either key, Bloom filters serve filters by id. ``options`` go to the Parquet writer.
     """
     (
         fact.select(*FACT_EVENTS.names)
-        .repartitionByRange("event_date", "repo_key", "event_key")
-        .sortWithinPartitions("event_date", "repo_key")
+        .repartitionByRange("event_date", *layout.fact_order())
+        .sortWithinPartitions("event_date", *layout.fact_order())
         .write.mode("overwrite")
+        .options(**layout.filter_options(layout.FACT_FILTERS), **options)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")
         .parquet(path)

@@ -32,7 +32,7 @@ from eventlake.schemas import (
 )
 from eventlake.session import fresh_path
 from eventlake.sources import audit as loads
-from eventlake.sources import ledger, tables
+from eventlake.sources import layout, ledger, tables
 
 
 @dataclass(frozen=True)
@@ -196,7 +196,15 @@ def build_fact(spark: SparkSession, paths: LakePaths, as_of: datetime) -> None:
     fact = require_schema(marts.fact_events(events, as_of), FACT_EVENTS)
     # an event's date is fixed by its time; only another content of a file can move it
     tables.upsert_table(
-        fact, path, "event_id", "event_date", FACT_EVENTS, not again, deletes, cluster=("repo_key", "event_key")
+        fact,
+        path,
+        "event_id",
+        "event_date",
+        FACT_EVENTS,
+        not again,
+        deletes,
+        cluster=layout.fact_order(),
+        options=layout.filter_options(layout.FACT_FILTERS),
     )
     _done(spark, paths, "fact", work)
 
@@ -258,6 +266,7 @@ def run_pipeline(
     """
     new = loads.load_once(spark, landing, paths.table("raw_events"), paths.table("load_history"), as_of, expected=expected)
     failed = new.where(F.col("status") == "FAILED").count()
+    loads.compact_audit(spark, paths.table("load_history"))
     build_staging(spark, paths)
     build_dimensions(spark, paths, as_of)
     build_fact(spark, paths, as_of)

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from eventlake.functions import fixed, hour_of_file_name, trunc_ts
 from eventlake.schemas import LOAD_HISTORY, RAW_EVENTS
 from eventlake.session import fresh_path
-from eventlake.sources import ledger, tables
+from eventlake.sources import layout, ledger, tables
 from eventlake.sources.hours import expected_hours
 from eventlake.sources.ndjson import discover_files, scan_hourly_ndjson
 
+# a month of hourly appends
+MOST_AUDIT_FILES = 24 * 31
+
 
 # --- reads ----------------------------------------------------------------------------------
 
@@ -86,10 +89,21 @@ def archive_loads(spark: SparkSession, audit_path: str, archive_path: str, as_of
         path = fresh_path(spark, "archive-rows")
         new.select(*LOAD_HISTORY.names).coalesce(1).write.parquet(path)
         tables.append_rows(spark.read.schema(LOAD_HISTORY).parquet(path), archive_path)
-        tables.overwrite_table(kept, audit_path)
+        tables.overwrite_table(kept, audit_path, layout.write_audit)
     return moved
 
 
+def compact_audit(spark: SparkSession, audit_path: str, most_files: int = MOST_AUDIT_FILES) -> bool:
+    """Rewrite the audit once its appends have left more than ``most_files`` files; True if it did.
+
+    Every hourly load appends a small file. No load may run meanwhile, as for other rewrites of the audit.
+    """
+    if tables.file_count(spark, audit_path) <= most_files:
+        return False
+    tables.overwrite_table(tables.read_table(spark, audit_path, LOAD_HISTORY), audit_path, layout.write_audit)
+    return True
+
+
 def without_file(table: DataFrame, file_name: str) -> DataFrame:
     """All rows but those of one file."""
     return table.where(F.col("file_name") != file_name)
@@ -336,7 +350,7 @@ def delete_file_events(
     audit = tables.read_table(spark, audit_path, LOAD_HISTORY)
     gone = audit.where(F.col("file_name") == file_name).count()
     if gone:
-        tables.overwrite_table(without_file(audit, file_name), audit_path)
+        tables.overwrite_table(without_file(audit, file_name), audit_path, layout.write_audit)
     if ledger_path is not None:
         ledger.forget(spark, ledger_path, file_name)
     return events, gone

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,10 +73,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def append_by_partition(df: DataFrame, path: str, partition_col: str) -> None:
+def append_by_partition(df: DataFrame, path: str, partition_col: str, options: dict[str, str] | None = None) -> None:
     """Replace exactly the partitions present in ``df``; repeating the call changes nothing."""
     (
         df.write.mode("overwrite")
+        .options(**options or {})
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)
@@ -116,6 +117,14 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Data files of a table without folders."""
+    if not has_data(spark, path):
+        return 0
+    jvm_path, fs = _hadoop_path(spark, path)
+    return sum(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(jvm_path))
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -148,7 +157,8 @@ def upsert_table(
     schema: T.StructType,
     fixed_partitions: bool = False,
     deletes: DataFrame | None = None,
-    cluster: tuple[str, ...] = (),
+    cluster: tuple[str | Column, ...] = (),
+    options: dict[str, str] | None = None,
 ) -> int:
     """MERGE ``source`` (unique per ``key``) into a Parquet table; returns partitions rewritten.
 
@@ -158,14 +168,15 @@ def upsert_table(
 
     ``fixed_partitions`` promises that a key never changes its partition. Then the key column of
     the other partitions is not read, which matters once the table is much larger than a batch.
-    ``deletes`` has ``key`` and ``partition_col`` of rows to remove. Files are sorted by ``cluster``.
+    ``deletes`` has ``key`` and ``partition_col`` of rows to remove. Files are sorted by ``cluster``;
+    ``options`` go to the Parquet writer.
     """
     spark = source.sparkSession
     staged_source = fresh_path(spark, "upsert-source")
     source.write.parquet(staged_source)
     source = spark.read.schema(source.schema).parquet(staged_source)
     if not has_data(spark, path):
-        append_by_partition(_balanced(source, partition_col, cluster), path, partition_col)
+        append_by_partition(_balanced(source, partition_col, cluster), path, partition_col, options)
         return source.select(partition_col).distinct().count()
 
     target = read_table(spark, path, schema)
@@ -181,7 +192,7 @@ def upsert_table(
             part = part.join(deletes.select(key), key, "left_anti").select(*schema.names)
         merged = upsert_by_key(part, source, key)
         drop_path(spark, path + PLAN)
-        _balanced(merged, partition_col, cluster).write.mode("overwrite").option(
+        _balanced(merged, partition_col, cluster).write.mode("overwrite").options(**options or {}).option(
             "partitionOverwriteMode", "static"
         ).partitionBy(partition_col).parquet(path + MERGED)
         folders = [f"{partition_col}={value}" for value in touched]
@@ -198,7 +209,7 @@ def _values(partitions: DataFrame) -> set:
     return {row[0] for row in partitions.distinct().collect()}
 
 
-def _balanced(df: DataFrame, partition_col: str, cluster: tuple[str, ...] = ()) -> DataFrame:
+def _balanced(df: DataFrame, partition_col: str, cluster: tuple[str | Column, ...] = ()) -> DataFrame:
     """Group rows by partition value for writing; AQE splits large groups and joins small ones. Files are sorted."""
     grouped = df.hint("rebalance", partition_col)
     return grouped.sortWithinPartitions(partition_col, *cluster) if cluster else grouped

@@ -21,7 +21,7 @@ from eventlake.operators.merge import dedup_by_key
 from eventlake.plans import marts
 from eventlake.plans.pipeline import TABLES, LakePaths, read
 from eventlake.session import fresh_path
-from eventlake.sources import audit, ndjson, tables
+from eventlake.sources import audit, layout, ndjson, tables
 from eventlake.streaming.anomaly import OUTPUT, CountsBefore
 
 
@@ -243,7 +243,8 @@ def stream_upsert_marts(
             "event_date",
             TABLES["fact_events"],
             fixed_partitions,
-            cluster=("repo_key", "event_key"),
+            cluster=layout.fact_order(),
+            options=layout.filter_options(layout.FACT_FILTERS),
         )
         actors = marts.dim_actor_from_batch(
             read(spark, paths, "dim_actor"), rows, tables.read_table(spark, log, ACTOR_LOG), as_of
