@@ -637,6 +637,25 @@ JOIN (SELECT h.actor_key, h.valid_from, max(e.created_at) AS last_seen_at, any_v
         "SELECT event_date, count(*) AS event_count, count(DISTINCT repo_key) AS repo_count FROM fa GROUP BY event_date",
         FA,
     )
+    o["layout_lookups"] = query(
+        "\nUNION ALL ".join(
+            (
+                f"SELECT 'repository' AS lookup, count(*) AS row_count FROM fa WHERE repo_key = {key('7')}",
+                f"SELECT 'actor', count(*) FROM fa WHERE actor_key = {key('25')}",
+                "SELECT 'event', count(*) FROM fa WHERE event_id = '500'",
+                "SELECT 'failed loads', count(*) FROM lh WHERE status = 'FAILED' AND file_hour >= TIMESTAMP '2024-01-20'",
+                "SELECT 'current actors', count(*) FROM scd WHERE is_current",
+            )
+        ),
+        SA,
+        DA,
+        *SCD,
+        FA,
+        LH,
+    )
+    o["new_duplicate_keys"] = query(
+        f"SELECT event_id, {big('2')} AS row_count FROM ev WHERE CAST(event_id AS BIGINT) % 50 = 0"
+    )
 
     # reports
     o["raw_overview"] = query(

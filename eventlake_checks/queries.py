@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventlake import functions as fn
 from eventlake.functions import fixed
-from eventlake.operators import analytics, distinct, merge, monitoring, quality, summaries
+from eventlake.operators import analytics, distinct, keyfilter, merge, monitoring, quality, summaries
 from eventlake.plans import marts, pipeline, staging
 from eventlake.schemas import (
     DIM_ACTOR,
@@ -25,7 +25,7 @@ from eventlake.schemas import (
 )
 from eventlake.session import configure, fresh_path
 from eventlake.sources import audit as loads
-from eventlake.sources import hours, ndjson, tables
+from eventlake.sources import hours, layout, ndjson, tables
 from eventlake.streaming import jobs
 from eventlake_checks import fixtures as fx
 from eventlake_checks.fixtures import AS_OF
@@ -457,6 +457,37 @@ def mart_layout(lake: Lake) -> DataFrame:
     )
 
 
+def layout_lookups(lake: Lake) -> DataFrame:
+    """Counts by each column the stored layouts are clustered by."""
+    fact, history, actors = (lake.path(n) for n in ("fact", "history", "actors"))
+    marts.write_fact(lake.fact, fact)
+    layout.write_audit(lake.audit, history)
+    marts.write_dim_actor(lake.scd2.select(*DIM_ACTOR.names), actors)
+    stored = marts.read_fact(lake.spark, fact)
+    audit = tables.read_table(lake.spark, history, LOAD_HISTORY)
+    current = tables.read_table(lake.spark, actors, DIM_ACTOR).where("is_current")
+    parts = (
+        ("repository", stored, F.col("repo_key") == fn.surrogate_key(F.lit(7))),
+        ("actor", stored, F.col("actor_key") == fn.surrogate_key(F.lit(25))),
+        ("event", stored, F.col("event_id") == "500"),
+        ("failed loads", audit, (F.col("status") == "FAILED") & (F.col("file_hour") >= F.lit(fx.BASE_CUTOFF).cast("timestamp_ntz"))),
+        ("current actors", current, F.lit(True)),
+    )
+    counts = [df.agg(F.count_if(where).alias("row_count")).withColumn("lookup", F.lit(name)) for name, df, where in parts]
+    return _union(*counts).select("lookup", "row_count")
+
+
+def new_duplicate_keys(lake: Lake) -> DataFrame:
+    """A batch against a stored fact by its Bloom filters: new events, and a copy of every 50th event of all."""
+    path, filters = lake.path("fact"), lake.path("filters")
+    marts.write_fact(marts.fact_events(fx.loaded_before(lake.staged, fx.BASE_CUTOFF), AS_OF), path)
+    keyfilter.store_filters(marts.read_fact(lake.spark, path), "event_id", "event_date", filters)
+    new = lake.staged.where(F.col("loaded_at") >= F.lit(fx.BASE_CUTOFF).cast("timestamp_ntz"))
+    batch = new.unionByName(lake.staged.where(F.col("event_id").cast("bigint") % 50 == 0))
+    stored = keyfilter.stored_rows(lake.spark, batch, path, FACT_EVENTS, filters, "event_id", "event_date")
+    return keyfilter.new_duplicates(batch, stored, "event_id")
+
+
 # --- reports --------------------------------------------------------------------------------
 
 
@@ -681,6 +712,8 @@ def _registry() -> dict[str, Callable[[Lake], DataFrame]]:
         "dim_event_type": lambda k: k.types.drop(*_CLOCKS),
         "fact_push_events": lambda k: marts.fact_push_events(k.raw),
         "mart_layout": mart_layout,
+        "layout_lookups": layout_lookups,
+        "new_duplicate_keys": new_duplicate_keys,
         # reports
         "raw_overview": lambda k: analytics.raw_overview(k.staged),
         "null_profile": lambda k: analytics.null_profile(k.gappy_raw, fixed.REQUIRED_FIELDS),
