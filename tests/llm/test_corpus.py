@@ -78,6 +78,36 @@ def test_packing_is_no_dearer_than_any_single_length(low, high):
         assert found <= sum(options.cost(options.smallest(b.used)) for b in bins)
 
 
+def least_cost(lengths, options):
+    """The cheapest packing of a few pieces, by trying every way to put them into bins."""
+    best = [math.inf]
+
+    def place(i, bins):
+        if i == len(lengths):
+            best[0] = min(best[0], sum(options.cost(options.smallest(n)) for n in bins))
+            return
+        for j, used in enumerate(bins):
+            if used + lengths[i] <= max(options.permitted):
+                place(i + 1, [*bins[:j], used + lengths[i], *bins[j + 1 :]])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_small_windows_against_every_packing():
+    random.seed(8)
+    options = packing.Lengths((8, 16, 32), fixed=1.0, quadratic=64.0)
+    ratios = []
+    for _ in range(150):
+        lengths = [random.randint(1, 32) for _ in range(random.randint(1, 7))]
+        found = sum(options.cost(b.capacity) for b in packing.pack_window(lengths, options))
+        ratios.append(found / least_cost(lengths, options))
+    # never below the optimum, mostly at it
+    assert min(ratios) >= 1 - 1e-9 and max(ratios) <= 1.35
+    assert sum(r <= 1 + 1e-9 for r in ratios) >= 0.75 * len(ratios)
+
+
 def test_three_pieces_share_a_long_bin():
     assert [(b.capacity, len(b.pieces)) for b in packing.pack_window([1300] * 3, packing.Lengths())] == [(4096, 3)]
 
@@ -450,6 +480,43 @@ def test_pipeline_stage_by_stage(spark):
         assert "".join(t for _, t in parts[::n]) == redacted[i].text and len(texts) == n * len(redacted[i].text)
 
 
+@pytest.fixture(scope="module")
+def odd_tables(spark):
+    """A folder with labels and a frame of odd documents: nulls, white space, repeats, clashing columns."""
+    folder = fresh_path(spark, "odd-tables")
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_pipeline_stages_on_odd_rows(spark, documents, odd_tables):  # noqa: F811
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \n\t ", None), (4, words, "a"), (4, words, "a"), (5, words, None),
+            (None, words + " x y z", "b"), (6, "key AKIA" + "A" * 20 + " end", "b"), (7, "  lead " + "w " * 50_000, None), (8, "x", "c")]
+    docs, empty = documents(rows), documents([])
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, odd_tables).collect()
+        assert stage(spark, empty, odd_tables).count() == 0
+        texts = Counter((r.doc_id, r.text) for r in found)
+        given = Counter((i, t) for i, t, _ in rows)
+        if name == "best_fit_packing":
+            pieces = defaultdict(list)
+            for r in found:
+                pieces[r.doc_id].append((r.start, r.text))
+            for i, t, _ in rows:
+                times = 2 if i == 4 else 1
+                assert "".join(text for _, text in sorted(pieces[i])[::times]) == (t or "")
+        else:
+            assert all(r.score == "x" and r.words == "x" for r in found)
+        if name == "quality_classifier":
+            # the labels are of other documents: both classes are not known here, so all are kept or each is judged
+            assert set(texts) <= set(given)
+        if name == "near_dedup":
+            assert {i for i, _ in texts} >= {1, 2, 3, 6, 7, 8} and max(texts.values()) == 1
+        if name == "secret_scans":
+            assert {k: n for k, n in texts.items() if k[0] != 6} == {k: n for k, n in given.items() if k[0] != 6}
+            assert sum(texts.values()) == len(rows) and ("key AKIA" not in str(texts))
+
+
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.count() > 0 and {"doc_id", "bin_id", "text"} <= set(rows.columns)

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
@@ -218,6 +219,33 @@ def test_classifier_learns_and_handles_edges(spark, documents):
     assert quality_classifier.score_documents(nothing, quality_classifier.train(nothing, labels)).count() == 0
 
 
+def test_fit_reaches_the_optimum_of_the_dual():
+    """Duality gap against a plain solver: projected gradients on the full dual problem."""
+    rng, size, cost = np.random.default_rng(5), 40, 0.5
+    labels = rng.integers(0, 2, 60)
+    rows = [np.flatnonzero(rng.random(size) < np.where(np.arange(size) % 2 == y, 0.25, 0.15)) for y in labels]
+    model = quality_classifier.fit(rows, labels, cost=cost, rounds=5000)
+    counts = np.ones((2, 1 << quality_classifier.BITS))
+    for places, label in zip(rows, labels):
+        counts[label][places] += 1
+    ratio = (np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum()))[:size]
+    values = np.zeros((60, size + 1))
+    for i, places in enumerate(rows):
+        values[i, places] = ratio[places] / np.sqrt(max(1, len(places)))
+        values[i, size] = 1.0
+    sign = np.where(labels == 1, 1.0, -1.0)
+    bound = np.where(labels == 1, cost * 30 / (labels == 1).sum(), cost * 30 / (labels == 0).sum())
+    signed = values * sign[:, None]
+    products = signed @ signed.T
+    dual, step = np.zeros(60), 1.0 / np.linalg.eigvalsh(products).max()
+    for _ in range(50_000):
+        dual = np.clip(dual + step * (1.0 - products @ dual), 0.0, bound)
+    best = dual.sum() - 0.5 * dual @ products @ dual
+    weights = np.append(np.divide(model.weights[:size], ratio, where=ratio != 0, out=np.zeros(size)), model.bias)
+    found = 0.5 * weights @ weights + bound @ np.maximum(0.0, 1.0 - signed @ weights)
+    assert best * (1 - 1e-4) <= found <= best * 1.002
+
+
 def test_classifier_on_given_tables(spark):
     rows = queries.quality_classes(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id"
