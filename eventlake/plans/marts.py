@@ -395,9 +395,7 @@ def write_fact(fact: DataFrame, path: str, **options: str) -> None:
     are tight for filters by either key, Bloom filters serve filters by id. ``options`` go to the Parquet writer.
     """
     (
-        fact.select(*FACT_EVENTS.names)
-        .repartitionByRange("event_date", *layout.fact_order())
-        .sortWithinPartitions("event_date", *layout.fact_order())
+        layout.sort_files(fact.select(*FACT_EVENTS.names), "event_date", *layout.fact_order(), by_range=True)
         .write.mode("overwrite")
         .options(**layout.filter_options(layout.FACT_FILTERS), **options)
         .option("partitionOverwriteMode", "dynamic")

@@ -20,11 +20,10 @@ CURVE_BITS = 16
 FACT_FILTERS = ("event_id", "actor_id", "repo_id")
 
 
-def _spread(bits: Column) -> Column:
-    """The low 16 bits of a number with a zero bit before each."""
-    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
-        bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return bits
+def _spread(key: str) -> Column:
+    """The leading 16 bits of a hexadecimal key with a zero bit before each: its binary digits, read in base 4."""
+    bits = F.conv(F.substring(key, 1, CURVE_BITS // 4), 16, 2)
+    return F.coalesce(F.conv(bits, 4, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def curve(first: str, second: str) -> Column:
@@ -33,16 +32,26 @@ def curve(first: str, second: str) -> Column:
     Surrogate keys are hashes, so their leading hexadecimal digits are spread evenly and need no ranks. A third of
     all rows may share one key: they are then spread by the other. NULL counts as zero.
     """
-    sides = [
-        F.coalesce(F.conv(F.substring(key, 1, CURVE_BITS // 4), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
-        for key in (first, second)
-    ]
-    return F.shiftleft(_spread(sides[0]), 1).bitwiseOR(_spread(sides[1]))
+    return F.shiftleft(_spread(first), 1).bitwiseOR(_spread(second))
 
 
-def fact_order() -> tuple[Column, ...]:
+def fact_order() -> tuple[str | Column, ...]:
     """Sort order of a date of the fact; the event key splits rows of one repository and actor."""
-    return curve("repo_key", "actor_key"), F.col("event_key")
+    return curve("repo_key", "actor_key"), "event_key"
+
+
+def sort_files(df: DataFrame, *order: str | Column, by_range: bool = False) -> DataFrame:
+    """Sort within partitions, dealt by ranges of the same order first if ``by_range``.
+
+    An expression becomes a column for the time of the sort: a sort works out its expressions anew for both rows of every
+    comparison, which costs more than all else that is done with a row.
+    """
+    made = {f"_order_{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
+    names = [f"_order_{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
+    rows = df.withColumns(made) if made else df
+    if by_range:
+        rows = rows.repartitionByRange(*names)
+    return rows.sortWithinPartitions(*names).drop(*made)
 
 
 def filter_options(columns: tuple[str, ...]) -> dict[str, str]:

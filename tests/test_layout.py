@@ -83,12 +83,43 @@ def test_filters_by_id_have_bloom_filters_also_after_an_upsert(spark, tmp_path,
     assert metrics.apply("numOutputRows").value() == 0
 
 
+def test_a_sort_compares_stored_columns_only(spark, tmp_path, fact, monkeypatch):
+    """Where the curve stays in the sort, it is worked out for both rows of every comparison."""
+    frame, orders = type(fact), []
+
+    def sort(self, *cols, f=frame.sortWithinPartitions, **kw):
+        out = f(self, *cols, **kw)
+        orders.append(out._jdf.queryExecution().optimizedPlan().toString().splitlines()[0])
+        return out
+
+    monkeypatch.setattr(frame, "sortWithinPartitions", sort)
+    path, part = str(tmp_path / "fact"), fact.where("actor_id < 300")
+    marts.write_fact(part.where("repo_id = 7"), path)
+    tables.upsert_table(part, path, "event_id", "event_date", FACT_EVENTS, True, cluster=layout.fact_order())
+    assert len(orders) == 2
+    for order in orders:
+        assert order.startswith("Sort [") and "conv(" not in order and "shiftleft(" not in order
+    stored = marts.read_fact(spark, path)
+    assert stored.exceptAll(part).isEmpty() and part.exceptAll(stored).isEmpty()
+    place = layout.curve("repo_key", "actor_key").alias("place")
+    for name in glob(f"{path}/**/*.parquet", recursive=True):
+        rows = [tuple(r) for r in spark.read.parquet(name).select(place, "event_key").collect()]
+        assert rows == sorted(rows)
+
+
 def test_curve_is_in_order_of_both_keys(spark):
     rows = spark.createDataFrame([("0000a", "0000b"), ("ffffa", "0000b"), ("0000a", "ffffb"), ("ffffa", "ffffb"), (None, None)], "a STRING, b STRING")
     at_curve = [r[0] for r in rows.select(layout.curve("a", "b")).collect()]
     assert at_curve == [0, 0xAAAAAAAA, 0x55555555, 0xFFFFFFFF, 0]
 
 
+def test_curve_interleaves_the_bits_of_both_keys(spark):
+    rows = spark.range(2000).select(surrogate_key("id").alias("a"), surrogate_key(F.col("id") + 7).alias("b"))
+    for r in rows.select("a", "b", layout.curve("a", "b").alias("c")).collect():
+        x, y = (format(int(k[:4], 16), "016b") for k in (r.a, r.b))
+        assert r.c == int("".join(i + j for i, j in zip(x, y)), 2)
+
+
 def test_raw_and_audit_layouts(spark, tmp_path):
     raw, history = str(tmp_path / "raw"), str(tmp_path / "history")
     audit.bulk_append(fx.raw(spark, SF_DIR).where("file_name < '2024-01-03'").select(*RAW_EVENTS.names), raw)
