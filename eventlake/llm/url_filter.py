@@ -8,8 +8,8 @@ its rarest token, and a URL's tokens look up the rules it may match.
 
 Two things keep mining within bounds and lose no rule. A token below the support can be in no rule. A token that only goes with
 one verdict is a rule by itself that makes all its combinations superfluous, so it is no item of the mining. What is left of a URL is
-one transaction; a URL with more than WIDTH such tokens, in order of their text, makes several of at most WIDTH, so
-that every token is mined but no transaction has more than 2 ** WIDTH combinations.
+one whole transaction. FP-growth gives all its combinations; if a URL has more than WIDTH such tokens, these may be too many, and
+the sets are mined level by level instead, without those that cannot be part of a rule that stays. The rules are the same.
 
 Support is a number of URLs, ``min_count``, whatever the size of the table; only beyond ``min_count * most_items`` labelled URLs does it
 grow, as FP-growth keeps the frequent items on the driver.
@@ -97,32 +97,35 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def transactions(sets: DataFrame, items: DataFrame) -> DataFrame:
-    """``tokens, verdict, n``: the tokens of each set that are among ``items``, at most WIDTH to a row.
+    """``tokens, verdict, n``: the tokens of each set that are among ``items``, all of them, sorted.
 
     ``sets`` has ``tokens, verdict, n`` with ``n`` URLs each, ``items`` has ``token``.
     """
     rows = sets.select(F.col("tokens").alias("all"), "verdict", "n", F.explode("tokens").alias("token"))
     kept = rows.join(items, "token").groupBy("all", "verdict", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    cut = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / WIDTH).cast("int")),
-        lambda i: F.slice("tokens", i * WIDTH + 1, F.lit(WIDTH)),
-    )
-    return (
-        kept.select("verdict", "n", F.explode(cut).alias("tokens"))
-        .groupBy("tokens", "verdict")
-        .agg(F.sum("n").alias("n"))
-    )
+    return kept.groupBy("tokens", "verdict").agg(F.sum("n").alias("n"))
 
 
-def frequent_sets(rows: DataFrame, least: int) -> DataFrame:
-    """``tokens, verdict, freq`` by FP-growth: token sets with (or, verdict null, whatever) the verdict of ``least`` URLs or more."""
-    spark = rows.sparkSession
-    path = fresh_path(spark, "url-transactions")
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    path = fresh_path(rows.sparkSession, label)
     rows.write.parquet(path)
-    rows = spark.read.parquet(path)
-    number = rows.agg(F.sum("n")).first()[0]
+    return rows.sparkSession.read.parquet(path)
+
+
+def mined_sets(rows: DataFrame, least: int) -> DataFrame:
+    """``tokens, verdict, freq``: token sets with (or, verdict null, whatever) the verdict of ``least`` URLs or more.
+
+    Sets that are missing can only make rules that a more general one makes superfluous.
+    """
+    rows = _stored(rows, "url-transactions")
+    number, width = rows.agg(F.sum("n"), F.max(F.size("tokens"))).first()
     if not number:
         return rows.select("tokens", "verdict", F.col("n").alias("freq"))
+    return frequent_sets(rows, least, number) if width <= WIDTH else free_sets(rows, least)
+
+
+def frequent_sets(rows: DataFrame, least: int, number: int) -> DataFrame:
+    """All sets of transactions of ``number`` URLs, by FP-growth."""
     # n copies, made from arrays of bounded length
     lots = rows.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _COPIES))))
     left = F.least(F.col("n") - F.col("lot") * _COPIES, F.lit(_COPIES))
@@ -137,6 +140,44 @@ def frequent_sets(rows: DataFrame, least: int) -> DataFrame:
     ).where(F.size("tokens") > 0)
 
 
+def free_sets(rows: DataFrame, least: int) -> DataFrame:
+    """Sets of whole transactions, however wide, one token more at a level; only those that a rule that stays may have.
+
+    A set that is in as many URLs as one with a token less says nothing more than that one, nor does any set that holds
+    it; a set that goes with one verdict only makes all larger ones superfluous. Neither grows. So tokens that always come together cost
+    a pair each, not their combinations. Sets of one level that differ in their last token meet within their transaction.
+    """
+    rows = _stored(rows.withColumn("id", F.monotonically_increasing_id()), "url-numbered")
+    numbers = rows.select("id", "verdict", "n")
+    held = rows.select("id", F.explode("tokens").alias("token")).select("id", F.array("token").alias("tokens"))
+    alive, found, level = None, None, 1
+    while True:
+        by_verdict = held.join(numbers, "id").groupBy("tokens", "verdict").agg(F.sum("n").alias("freq"))
+        sums = by_verdict.groupBy("tokens").agg(
+            F.sum("freq").alias("total"), F.max("freq").alias("most"), F.collect_list(F.struct("verdict", "freq")).alias("parts")
+        )
+        sums = sums.where(F.col("most") >= least)
+        if alive is not None:
+            less = F.transform(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: F.filter("tokens", lambda _, j: j != i))
+            part = alive.select(F.col("tokens").alias("part"), F.col("total").alias("part_total"))
+            parts = sums.select("tokens", F.explode(less).alias("part")).join(part, "part").groupBy("tokens")
+            free = parts.agg(F.count(F.lit(1)).alias("parts_alive"), F.min("part_total").alias("least_part"))
+            sums = sums.join(free, "tokens").where((F.col("parts_alive") == level) & (F.col("least_part") > F.col("total")))
+        sums = _stored(sums.select("tokens", "total", "most", "parts"), "url-level")
+        all_verdicts = F.array_append("parts", F.struct(F.lit(None).cast("string").alias("verdict"), F.col("total").alias("freq")))
+        mined = sums.select("tokens", F.inline(all_verdicts)).where(F.col("freq") >= least)
+        found = mined if found is None else found.unionByName(mined)
+        alive = sums.where(F.col("most") < F.col("total"))
+        if alive.isEmpty():
+            return found
+        held = _stored(held.join(alive.select("tokens"), "tokens", "left_semi"), "url-held")
+        ends = held.select("id", F.slice("tokens", 1, level - 1).alias("start"), F.element_at("tokens", -1).alias("end"))
+        a, b = ends.alias("a"), ends.alias("b")
+        pairs = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("a.start") == F.col("b.start")) & (F.col("a.end") < F.col("b.end")))
+        held = pairs.select("a.id", F.concat("a.start", F.array("a.end", "b.end")).alias("tokens"))
+        level += 1
+
+
 def mine_rules(
     labelled: DataFrame, min_count: int = 10, min_confidence: float = 0.8, most_items: int = 1_000_000
 ) -> DataFrame:
@@ -158,7 +199,7 @@ def mine_rules(
     single.where(F.col("total") >= least).write.parquet(path)
     single = spark.read.parquet(path)
     pure = single.where("pure").select(F.array("token").alias("tokens"), "verdict", F.col("total").alias("hits"), "total")
-    mined = frequent_sets(transactions(sets, single.where("not pure").select("token")), least)
+    mined = mined_sets(transactions(sets, single.where("not pure").select("token")), least)
     totals = mined.where(F.col("verdict").isNull()).select("tokens", F.col("freq").alias("total"))
     found = (
         mined.where(F.col("verdict").isNotNull())
@@ -166,7 +207,7 @@ def mine_rules(
         .where(F.col("freq") >= F.col("total") * min_confidence)
         .select("tokens", "verdict", F.col("freq").alias("hits"), "total")
     )
-    # each rule looks for the rules of one token less, two tokens less and so on: at most 2 ** WIDTH subsets
+    # each rule looks for the rules of one token less, two tokens less and so on: no more subsets than were mined, or 2 ** WIDTH
     subsets = F.transform(
         F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.size("tokens")) - 2),
         lambda mask: F.filter("tokens", lambda _, i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == 1),

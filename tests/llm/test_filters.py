@@ -124,6 +124,28 @@ def test_mined_rules_equal_brute_force_and_wide_urls_end(spark):
     assert {tuple(r.tokens) for r in url_filter.mine_rules(df).collect()} == {("w59",)}
 
 
+def test_rules_of_wide_urls_hold_tokens_from_all_over_the_url(spark):
+    rng, rows = random.Random(5), []
+    for _ in range(300):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        tokens = ["a"] * a + [f"m{k:02d}" for k in range(40)] + ["z"] * b + [f"t{k}" for k in range(4) if rng.random() < 0.5]
+        rows.append((tokens, "allow" if a and b or rng.random() < 0.1 else "block"))
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    got = {(tuple(r.tokens), r.verdict, r.hits, r.total) for r in url_filter.mine_rules(df).collect()}
+    assert (("a", "z"), "allow") in {r[:2] for r in got}
+    # one of the tokens that always come together stands for all in the plain search; each makes rules of its own
+    rest = [([t for t in tokens if t[0] != "m" or t == "m00"], v) for tokens, v in rows]
+    wanted = brute_rules(rest, 10, 0.8)
+    of_m = {(tuple(sorted(f"m{k:02d}" if t == "m00" else t for t in s)), *x) for s, *x in wanted for k in range(40)}
+    assert got == of_m
+    # narrow URLs give the same sets both ways
+    narrow = [(sorted(t for t in tokens if t[0] != "m"), v) for tokens, v in rows]
+    df = spark.createDataFrame([(t, v, 1) for t, v in narrow], "tokens array<string>, verdict string, n long")
+    every = {(tuple(r.tokens), r.verdict, r.freq) for r in url_filter.frequent_sets(df, 10, len(narrow)).collect()}
+    free = {(tuple(r.tokens), r.verdict, r.freq) for r in url_filter.free_sets(df, 10).collect()}
+    assert free <= every and {x for x in every if len(x[0]) == 1} <= free
+
+
 def test_quality_rules_edges(spark, documents):
     prose = " ".join(f"word{i % 97}x{i}" for i in range(300))
     repeated = " ".join(["a b c d e f g"] * 30)
