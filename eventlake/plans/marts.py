@@ -197,31 +197,55 @@ def actor_runs(events: DataFrame) -> DataFrame:
     A run ends with the last event before login or type change. Events without actor, login or time are left out. Of
     events at one time the smaller login comes first.
 
-    Events are first collapsed to one row per (actor, hour, login, type), which combines before the
-    shuffle, so an actor holding a large share of the data costs a few rows per hour. Where the
-    versions of an hour follow each other their first times tell the order. Only hours in which
-    they alternate go back to the events, and there the search stays inside (actor, hour).
+    Events are first collapsed to one row per (actor, login, type), which combines before the shuffle. Where an actor's
+    versions follow each other, as with most actors, these rows are the runs. Only actors whose versions overlap go back to
+    their events, see :func:`_runs_by_hour`. The collapsed rows are stored, so it is known here whether there are such actors.
     """
+    spark = events.sparkSession
     seen = with_actor_class(events).where(
         F.col("actor_id").isNotNull() & F.col("actor_login").isNotNull() & F.col("created_at").isNotNull()
     )
-    seen = seen.select(
-        *_VERSION, F.col("created_at").alias("first_at"), F.col("created_at").alias("last_at"),
-        trunc_ts("hour", "created_at").alias("chunk"),
-    )
-    pieces = seen.groupBy(*_VERSION, "chunk").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
-    in_chunk = Window.partitionBy("actor_id", "chunk")
-    earlier = in_chunk.orderBy(*_in_time()).rowsBetween(Window.unboundedPreceding, -1)
-    alternates = F.coalesce(F.max("last_at").over(earlier) >= F.col("first_at"), F.lit(False))
-    pieces = pieces.withColumn("alternates", alternates)
-    pieces = pieces.withColumn("alternates", F.bool_or("alternates").over(in_chunk))
-
+    seen = seen.select(*_VERSION, F.col("created_at").alias("first_at"), F.col("created_at").alias("last_at"))
+    path = fresh_path(spark, "actor-versions")
+    _alternating(_spanned(seen, *_VERSION), "actor_id").write.parquet(path)
+    versions = spark.read.parquet(path)
+    clear = versions.where(~F.col("alternates")).select(*_RUN)
+    # a table of its own, whose size tells Spark whether to send it to the events
+    path = fresh_path(spark, "actors-tangled")
+    versions.where("alternates").select("actor_id").distinct().write.parquet(path)
+    tangled = spark.read.parquet(path)
+    if tangled.isEmpty():
+        return clear
+    return clear.unionByName(_runs_by_hour(seen.join(tangled, "actor_id", "left_semi").select(*_RUN)).select(*_RUN))
+
+
+def _runs_by_hour(seen: DataFrame) -> DataFrame:
+    """Runs of actors whose versions overlap, from one row per event.
+
+    Events are collapsed to one row per (actor, hour, login, type), so an actor holding a large share of the data costs
+    a few rows per hour. Where the versions of an hour follow each other their first times tell the order. Only hours in which
+    they alternate go back to the events, and there the search stays inside (actor, hour).
+    """
+    seen = seen.withColumn("chunk", trunc_ts("hour", "first_at"))
+    pieces = _alternating(_spanned(seen, *_VERSION, "chunk"), "actor_id", "chunk")
     tangled = pieces.where("alternates").select("actor_id", "chunk").distinct()
     detail = seen.join(tangled, ["actor_id", "chunk"], "left_semi").select(*seen.columns)
     clear = pieces.where(~F.col("alternates")).select(*_RUN)
     return _runs(clear.unionByName(_runs(detail, "actor_id", "chunk").select(*_RUN)), "actor_id")
 
 
+def _spanned(seen: DataFrame, *keys: str) -> DataFrame:
+    return seen.groupBy(*keys).agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+
+
+def _alternating(pieces: DataFrame, *within: str) -> DataFrame:
+    """Add ``alternates``: does any piece of the group begin before another has ended, or at its end?"""
+    group = Window.partitionBy(*within)
+    earlier = group.orderBy(*_in_time()).rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce(F.max("last_at").over(earlier) >= F.col("first_at"), F.lit(False))
+    return pieces.withColumn("alternates", begins).withColumn("alternates", F.bool_or("alternates").over(group))
+
+
 _VERSION = ["actor_id", "actor_login", "actor_type"]
 _RUN = [*_VERSION, "first_at", "last_at"]
 

@@ -233,7 +233,7 @@ def stream_upsert_marts(
         spark = rows.sparkSession
         rows = _kept(rows)
         seen = rows.select(*ACTOR_LOG.names[:-1]).distinct().withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        tables.append_by_partition(seen.hint("rebalance"), log, "batch_id")
+        tables.append_by_partition(seen, log, "batch_id")
         as_of = rows.agg(F.max("loaded_at")).first()[0] or start
         fact = marts.fact_events(dedup_by_key(rows), as_of).select(*TABLES["fact_events"].names)
         tables.upsert_table(

@@ -78,6 +78,30 @@ def test_actor_history_brute_force(spark, seed):
     assert sorted(tuple(r) for r in again) == sorted(expected)
 
 
+def test_runs_go_back_to_the_events_only_for_versions_that_overlap(spark, tmp_path):
+    def rows(actor, *seen):
+        return [(str(i), "PushEvent", actor, login, "User", 7, "o/r", when, "f", when) for i, (login, when) in enumerate(seen)]
+
+    apart = rows(1, ("a", at(1, 1)), ("a", at(5, 2)), ("b", at(5, 2, 1)), ("b", at(9))) + rows(2, ("c", at(3)))
+    tied = rows(3, ("e", at(1)), ("e", at(2, 1)), ("d", at(2, 1)), ("d", at(4)))
+    nested = rows(4, ("f", at(1)), ("g", at(2, 1)), ("f", at(2, 1, 30)), ("g", at(8)), ("f", at(9)))
+
+    def runs(part, events):
+        path = str(tmp_path / part)
+        spark.createDataFrame(events, DDL).write.parquet(path)
+        found = marts.actor_runs(spark.read.parquet(path))
+        again = any(f"/{part}/" in name for name in found.inputFiles())
+        return sorted(tuple(r) for r in found.drop("actor_type").collect()), again
+
+    clear = [(1, "a", at(1, 1), at(5, 2)), (1, "b", at(5, 2, 1), at(9)), (2, "c", at(3), at(3))]
+    assert runs("apart", apart) == (clear, False)
+    # of events at one time the smaller login comes first, so e is seen on both sides of d
+    ends = [(3, "d", at(2, 1), at(2, 1)), (3, "d", at(4), at(4)), (3, "e", at(1), at(1)), (3, "e", at(2, 1), at(2, 1))]
+    back = [(4, "f", at(1), at(1)), (4, "f", at(2, 1, 30), at(2, 1, 30)), (4, "f", at(9), at(9)), (4, "g", at(2, 1), at(2, 1)), (4, "g", at(8), at(8))]
+    assert runs("all", apart + tied + nested) == (clear + ends + back, True)
+    assert runs("none", []) == ([], False)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_merging_any_split_equals_staging_everything(spark, seed):
     rows = random_events(seed)
